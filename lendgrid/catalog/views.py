@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lendgrid.functions.defaults import SEGMENT_INPUTS
+
 _LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
 _PAST_DUE = "CAST(CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE 0 END AS INTEGER)"
 MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -121,6 +123,91 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+def _standard_views(tag: str, source: str, columns: tuple[str, ...]) -> None:
+    """Views ``<tag>_imputed`` and ``<tag>_standard`` with the standardised columns of ``source``."""
+    medians = ", ".join(f"quantile_cont({c}::DOUBLE, 0.5) AS m{i}" for i, c in enumerate(columns))
+    imputed = ", ".join(f"coalesce({c}::DOUBLE, m{i}) AS {c}" for i, c in enumerate(columns))
+    moments = "count(*) * pow(2, -52) AS e, " + ", ".join(
+        f"avg({c}) AS a{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(columns)
+    )
+    standard = ", ".join(
+        f"({c} - a{i}) / CASE WHEN s{i} * s{i} <= e * s{i} * s{i} + (e * a{i}) * (e * a{i}) THEN 1 ELSE s{i} END AS {c}"
+        for i, c in enumerate(columns)
+    )
+    VIEW_SQL[f"{tag}_medians"] = ((source,), f"SELECT {medians} FROM {source} WHERE IS_TRAIN = 1")
+    VIEW_SQL[f"{tag}_imputed"] = (
+        (source, f"{tag}_medians"), f"SELECT SK_ID_CURR, IS_TRAIN, TARGET, {imputed} FROM {source}, {tag}_medians"
+    )
+    VIEW_SQL[f"{tag}_moments"] = ((f"{tag}_imputed",), f"SELECT {moments} FROM {tag}_imputed WHERE IS_TRAIN = 1")
+    VIEW_SQL[f"{tag}_standard"] = (
+        (f"{tag}_imputed", f"{tag}_moments"),
+        f"SELECT SK_ID_CURR, IS_TRAIN, TARGET, {standard} FROM {tag}_imputed, {tag}_moments",
+    )
+
+
+VIEW_SQL["years"] = (("features",), """
+    SELECT *, -DAYS_BIRTH / 365.0::DOUBLE AS AGE_YEARS, -DAYS_EMPLOYED / 365.0::DOUBLE AS EMPLOYED_YEARS FROM features""")
+_standard_views("segment", "years", SEGMENT_INPUTS)
+
+# group centres (applicants by number of children) as fixed, data-derived cluster centres
+VIEW_SQL["centres"] = (("segment_standard", "years"), f"""
+    SELECT CAST(y.CNT_CHILDREN AS INTEGER) AS cluster, {', '.join(f'avg(s.{c}) AS {c}' for c in SEGMENT_INPUTS)}
+    FROM segment_standard s JOIN years y USING (SK_ID_CURR) WHERE s.IS_TRAIN = 1 GROUP BY y.CNT_CHILDREN""")
+VIEW_SQL["clusters"] = (("segment_standard", "centres"), f"""
+    SELECT SK_ID_CURR, IS_TRAIN, arg_min(cluster, distance) AS cluster FROM (
+      SELECT s.SK_ID_CURR, s.IS_TRAIN, c.cluster, {' + '.join(f'(s.{c} - c.{c}) * (s.{c} - c.{c})' for c in SEGMENT_INPUTS)} AS distance
+      FROM segment_standard s, centres c) GROUP BY SK_ID_CURR, IS_TRAIN""")
+
+# a linear score whose weights are the correlations with the target
+LINEAR_INPUTS = (
+    "AMT_CREDIT", "AMT_INCOME_TOTAL", "credit_to_income", "bureau_debt_mean", "bureau_active_count", "prev_credit_mean",
+    "prev_annuity_mean", "inst_shortfall_mean", "inst_delay_max", "pos_months_count", "cc_utilization_mean",
+    "DAYS_EMPLOYED", "DAYS_BIRTH", "CODE_GENDER_M",
+)
+_standard_views("linear", "features", LINEAR_INPUTS)
+VIEW_SQL["linear_weights"] = (("linear_standard",), f"""
+    SELECT ln(avg(TARGET) / (1 - avg(TARGET))) AS intercept,
+      {', '.join(f'round(corr({c}, TARGET::DOUBLE), 6) AS w{i}' for i, c in enumerate(LINEAR_INPUTS))}
+    FROM linear_standard WHERE IS_TRAIN = 1""")
+VIEW_SQL["linear_wide"] = (("linear_standard", "linear_weights"), f"""
+    SELECT SK_ID_CURR AS id, TARGET AS y, intercept, {', '.join(f'w{i} * {c} AS c{i}' for i, c in enumerate(LINEAR_INPUTS))}
+    FROM linear_standard, linear_weights WHERE IS_TRAIN = 1""")
+VIEW_SQL["contributions"] = (("linear_wide",), " UNION ALL ".join(
+    f"SELECT id, '{c}' AS feature, {i} AS position, c{i} AS contribution FROM linear_wide" for i, c in enumerate(LINEAR_INPUTS)
+))
+VIEW_SQL["linear_scored"] = (("linear_wide",), f"""
+    SELECT id, y, intercept, 1 / (1 + exp(-(intercept + {' + '.join(f'c{i}' for i in range(len(LINEAR_INPUTS)))}))) AS p
+    FROM linear_wide""")
+
+# applicants scored by the weight of the annuity on their income
+VIEW_SQL["burden"] = (("application",), """
+    SELECT SK_ID_CURR AS id, TARGET AS y, AMT_ANNUITY / (AMT_INCOME_TOTAL + AMT_ANNUITY) AS p, CODE_GENDER_M, DAYS_BIRTH,
+      AMT_ANNUITY FROM application WHERE IS_TRAIN = 1""")
+
+
+def _threshold(source: str) -> str:
+    """Linear-interpolation quantile of p at one minus the mean label."""
+    return f"""SELECT avg(p) FILTER (WHERE r = floor(h)) * (1 - (any_value(h) - floor(any_value(h))))
+          + coalesce(avg(p) FILTER (WHERE r = floor(h) + 1), 0) * (any_value(h) - floor(any_value(h))) AS threshold
+        FROM (SELECT p, row_number() OVER (ORDER BY p) - 1 AS r, (count(*) OVER () - 1) * (1 - avg(y) OVER ()) AS h FROM {source})"""
+
+
+for _source in ("burden", "scored_labels", "linear_scored"):
+    VIEW_SQL[f"{_source}_cut"] = ((_source,), _threshold(_source))
+VIEW_SQL["decided"] = (("burden", "burden_cut"), """
+    SELECT *, CAST(p >= threshold AS INTEGER) AS pred, -DAYS_BIRTH / 365.25::DOUBLE AS years FROM burden, burden_cut""")
+_BAND = """CASE WHEN years > 0 AND years <= 30 THEN '<30' WHEN years > 30 AND years <= 45 THEN '30-45'
+    WHEN years > 45 AND years <= 60 THEN '45-60' WHEN years > 60 AND years <= 100 THEN '60+' END"""
+VIEW_SQL["group_rates"] = (("decided",), f"""
+    SELECT attribute, "group", count(*) AS n, avg(pred) AS selection_rate,
+      coalesce(sum(pred * y)::DOUBLE / nullif(sum(y), 0), 0) AS recall, avg(y) AS real_rate
+    FROM (SELECT 'gender' AS attribute, CAST(CODE_GENDER_M AS VARCHAR) AS "group", y, pred FROM decided
+          UNION ALL SELECT 'age', {_BAND}, y, pred FROM decided) WHERE "group" IS NOT NULL GROUP BY attribute, "group" """)
+VIEW_SQL["score_records"] = (("burden", "burden_cut"), """
+    SELECT id AS sk_id_curr, p AS probability, threshold,
+      CASE WHEN p >= threshold THEN 'alto_riesgo' ELSE 'riesgo_aceptable' END AS decision FROM burden, burden_cut""")
+
+
 def _ordered(names, done: list[str]) -> list[str]:
     for name in names:
         if name in VIEW_SQL and name not in done:

@@ -29,8 +29,9 @@ def ranking_metrics(scored: DataFrame, y: str = "y", p: str = "p", keys: tuple[s
     return run.groupBy(*keys).agg(
         F.sum(F.col("neg") / negatives * ((above + F.col("pos") / 2) / positives)).alias("roc_auc"),
         F.sum(F.col("pos") / positives * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))).alias("pr_auc"),
-        F.greatest(
-            F.max(F.col("cum_pos") / positives - F.col("cum_neg") / negatives), F.max(F.col("all_pos") * 0.0)
+        F.when(
+            (F.max("all_pos") > 0) & (F.max("all_neg") > 0),
+            F.greatest(F.max(F.col("cum_pos") / positives - F.col("cum_neg") / negatives), F.lit(0.0)),
         ).alias("ks"),
         (
             F.sum(F.col("pos") * F.pow(1 - F.col("p"), 2) + F.col("neg") * F.pow("p", 2))

@@ -20,6 +20,8 @@ def add_cluster_input_columns(df: DataFrame, year: float = 365.0) -> DataFrame:
         {"AGE_YEARS": -F.col("DAYS_BIRTH") / F.lit(year), "EMPLOYED_YEARS": -F.col("DAYS_EMPLOYED") / F.lit(year)}
     )
 
+DOUBLE_EPSILON = 2.0**-52
+
 
 @dataclass(frozen=True)
 class Scaling:
@@ -39,15 +41,23 @@ class Scaling:
 
 
 def fit_scaling(train: DataFrame, columns: tuple[str, ...] = SEGMENT_INPUTS) -> Scaling:
-    """Exact medians, then mean and population deviation of the imputed values. A column without values counts as 0."""
+    """Exact medians, then mean and population deviation of the imputed values.
+
+    A column without values counts as 0. A deviation that rounding alone
+    explains is 0, so a constant column is centred but not blown up.
+    """
     medians = {c: q[0] or 0.0 for c, q in exact_quantiles(train, {c: [0.5] for c in columns}).items()}
     blank = Scaling(tuple(columns), medians, {}, {})
     row = train.agg(
+        F.count(F.lit(1)).alias("n"),
         *[F.avg(blank.imputed(c)).alias(f"m{i}") for i, c in enumerate(columns)],
         *[F.stddev_pop(blank.imputed(c)).alias(f"s{i}") for i, c in enumerate(columns)],
     ).first()
     means = {c: row[f"m{i}"] or 0.0 for i, c in enumerate(columns)}
-    deviations = {c: row[f"s{i}"] or 0.0 for i, c in enumerate(columns)}
+    deviations = {}
+    for i, c in enumerate(columns):
+        spread, noise = row[f"s{i}"] or 0.0, row["n"] * DOUBLE_EPSILON
+        deviations[c] = 0.0 if spread**2 <= noise * spread**2 + (noise * means[c]) ** 2 else spread
     return Scaling(tuple(columns), medians, means, deviations)
 
 
