@@ -2,6 +2,6 @@
 
 from lendgrid.catalog.registry import QUERIES, SQL
 
-from lendgrid.catalog import feature_queries, model_queries  # noqa: F401,E402
+from lendgrid.catalog import feature_queries, model_queries, text_queries  # noqa: F401,E402
 
 __all__ = ["QUERIES", "SQL"]

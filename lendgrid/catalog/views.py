@@ -207,6 +207,100 @@ VIEW_SQL["score_records"] = (("burden", "burden_cut"), """
     SELECT id AS sk_id_curr, p AS probability, threshold,
       CASE WHEN p >= threshold THEN 'alto_riesgo' ELSE 'riesgo_aceptable' END AS decision FROM burden, burden_cut""")
 
+# retrieval: chunks of all documents, and the whole benchmark texts as questions
+VIEW_SQL["corpus_words"] = ((), r"""
+    SELECT lpad(doc_id::VARCHAR, 9, '0') AS doc_id, 'Doc ' || doc_id AS title, text,
+      list_filter(regexp_split_to_array(text, '[\s]+'), lambda x: x <> '') AS w FROM documents""")
+
+
+def chunk_sql(size: int, overlap: int) -> str:
+    step = size - overlap
+    return f"""
+    SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, doc_id || '::' || i AS chunk_id, title,
+      CASE WHEN len(w) <= {size} THEN text ELSE array_to_string(w[i * {step} + 1 : i * {step} + {size}], ' ') END AS text
+    FROM (SELECT *, unnest(generate_series(0, CASE WHEN len(w) <= {size} THEN 0
+            ELSE CAST(ceil((len(w) - {size}) / {step}.0) AS INTEGER) END)) AS i FROM corpus_words)"""
+
+
+VIEW_SQL["chunks"] = (("corpus_words",), chunk_sql(180, 30))
+VIEW_SQL["chunk_tokens"] = (("chunks",), r"""
+    SELECT doc_id, chunk_no, chunk_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM chunks""")
+VIEW_SQL["postings"] = (("chunk_tokens",), """
+    SELECT doc_id, chunk_no, chunk_id, length, term, count(*) AS tf FROM (
+      SELECT doc_id, chunk_no, chunk_id, len(t) AS length, unnest(t) AS term FROM chunk_tokens)
+    GROUP BY doc_id, chunk_no, chunk_id, length, term""")
+VIEW_SQL["raw_terms"] = (("postings", "chunks"), """
+    SELECT term, count(*) AS df, ln((SELECT count(*) FROM chunks) - count(*) + 0.5::DOUBLE) - ln(count(*) + 0.5::DOUBLE) AS idf
+    FROM postings GROUP BY term""")
+VIEW_SQL["terms"] = (("raw_terms",), """
+    SELECT term, df, CASE WHEN idf < 0 THEN 0.25::DOUBLE * (SELECT avg(idf) FROM raw_terms) ELSE idf END AS idf FROM raw_terms""")
+VIEW_SQL["questions"] = ((), "SELECT item_id AS query_id, text AS query FROM benchmark")
+VIEW_SQL["question_terms"] = (("questions",), r"""
+    SELECT query_id, term, count(*) AS qtf FROM (
+      SELECT query_id, unnest(regexp_extract_all(lower(query), '[\p{L}\p{N}_]+')) AS term FROM questions) GROUP BY query_id, term""")
+VIEW_SQL["keyword_scores"] = (("question_terms", "terms", "postings", "chunk_tokens"), """
+    SELECT query_id, doc_id, chunk_no, chunk_id, sum(qtf * idf * (tf * 2.5::DOUBLE)
+        / (tf + 1.5::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * (length / (SELECT avg(len(t)) FROM chunk_tokens))))) AS score
+    FROM question_terms JOIN terms USING (term) JOIN postings USING (term) GROUP BY query_id, doc_id, chunk_no, chunk_id""")
+VIEW_SQL["keyword_ranking"] = (("questions", "chunks", "keyword_scores"), """
+    SELECT * FROM (SELECT query_id, chunk_id, coalesce(score, 0) AS score, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY round(coalesce(score, 0), 9) DESC, doc_id, chunk_no) AS INTEGER) AS "rank"
+      FROM (SELECT query_id, doc_id, chunk_no, chunk_id FROM questions, chunks)
+      LEFT JOIN keyword_scores USING (query_id, doc_id, chunk_no, chunk_id)) WHERE "rank" <= 10""")
+
+# letter counts as a stand-in for an embedding model
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _letters_sql(text: str) -> str:
+    counts = ", ".join(f"(len({text}) - len(replace(lower({text}), '{c}', '')))::DOUBLE" for c in LETTERS)
+    return f"[{counts}]"
+
+
+VIEW_SQL["chunk_vectors"] = (("chunks",), f"SELECT chunk_id, {_letters_sql('text')} AS v FROM chunks")
+VIEW_SQL["question_vectors"] = (("questions",), f"SELECT query_id, {_letters_sql('query')} AS v FROM questions")
+VIEW_SQL["dense_ranking"] = (("chunk_vectors", "question_vectors"), """
+    SELECT * FROM (SELECT query_id, chunk_id, score, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS "rank"
+      FROM (SELECT query_id, chunk_id, round(list_dot_product(q.v, c.v)
+              / (CASE WHEN list_dot_product(q.v, q.v) = 0 THEN 1 ELSE sqrt(list_dot_product(q.v, q.v)) END)
+              / (CASE WHEN list_dot_product(c.v, c.v) = 0 THEN 1 ELSE sqrt(list_dot_product(c.v, c.v)) END), 9) AS score
+            FROM question_vectors q, chunk_vectors c)) WHERE "rank" <= 10""")
+VIEW_SQL["fused"] = (("dense_ranking", "keyword_ranking"), """
+    SELECT query_id, item_id, score, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY round(score, 12) DESC, first_met) AS INTEGER) AS "rank"
+    FROM (SELECT query_id, item_id, sum(1 / (60.0::DOUBLE + "rank")) AS score, min(list_no * 100 + "rank") AS first_met
+          FROM (SELECT query_id, 0 AS list_no, chunk_id AS item_id, "rank" FROM dense_ranking
+                UNION ALL SELECT query_id, 1, chunk_id, "rank" FROM keyword_ranking) GROUP BY query_id, item_id)""")
+VIEW_SQL["retrieved"] = (("fused", "chunks"), """
+    SELECT query_id, "rank", doc_id, chunk_id, title, text FROM fused JOIN chunks ON item_id = chunk_id WHERE "rank" <= 4""")
+VIEW_SQL["citations"] = (("retrieved",), """
+    SELECT query_id, "rank", title, chunk_id, CASE WHEN length(text) <= 200 THEN text
+      ELSE rtrim(substr(text, 1, 200), chr(32) || chr(9) || chr(10) || chr(13)) || '...' END AS snippet FROM retrieved""")
+
+# events as a prediction log and as a drifting population
+VIEW_SQL["event_log"] = ((), """
+    SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp", user_id AS sk_id_curr, value / 500 AS probability,
+      0.2::DOUBLE AS threshold, CASE WHEN value / 500 >= 0.2::DOUBLE THEN 'alto_riesgo' ELSE 'riesgo_aceptable' END AS decision
+    FROM events""")
+
+
+def psi_sql(source: str, reference: str, binned: tuple[str, ...], by_value: tuple[str, ...]) -> str:
+    """Long form of all columns with their bins, then shares and the index."""
+    parts = []
+    for c in binned:
+        parts.append(f"""SELECT '{c}' AS "column", CAST(least(9, greatest(0, coalesce(floor(({c}::DOUBLE - lo) * 10 / nullif(hi - lo, 0)), 0)))
+            AS INTEGER)::VARCHAR AS bin, {reference} AS ref FROM {source},
+            (SELECT min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi FROM {source}) WHERE {c} IS NOT NULL""")
+    for c in by_value:
+        parts.append(f"""SELECT '{c}' AS "column", {c}::VARCHAR AS bin, {reference} AS ref FROM {source} WHERE {c} IS NOT NULL""")
+    long = " UNION ALL ".join(parts)
+    return f"""SELECT "column", sum((r - c) * ln(r / c)) AS psi FROM (
+        SELECT "column", greatest(r / sum(r) OVER w, CASE WHEN r > 0 THEN 0 ELSE 1e-4 END) AS r,
+          greatest(c / sum(c) OVER w, CASE WHEN c > 0 THEN 0 ELSE 1e-4 END) AS c
+        FROM (SELECT "column", bin, count(*) FILTER (WHERE ref)::DOUBLE AS r, count(*) FILTER (WHERE NOT ref)::DOUBLE AS c
+              FROM ({long}) GROUP BY "column", bin) WINDOW w AS (PARTITION BY "column")) GROUP BY "column" """
+
 
 def _ordered(names, done: list[str]) -> list[str]:
     for name in names:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def apply_in_batches(df: DataFrame, column: str, function: Callable[[list], list], output: str, output_type: str,
@@ -16,7 +16,7 @@ def apply_in_batches(df: DataFrame, column: str, function: Callable[[list], list
     The function stands for an external model: it gets a list and returns a
     list of the same length.
     """
-    schema = StructType(df.schema.fields).add(output, _parse_datatype_string(output_type))
+    schema = StructType([*df.schema.fields, StructField(output, DataType.fromDDL(output_type))])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
