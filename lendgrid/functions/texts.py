@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A token is a run of letters, numbers or underscores; blanks
-# include the four ASCII separators that Java's \s leaves out.
+# A token is a run of letters, numbers or underscores; blanks are
+# the Unicode white space characters and the four ASCII separators.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
-BLANK_PATTERN = r"(?U)[\s\x1c-\x1f]+"
+BLANKS = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK_PATTERN = rf"[{BLANKS}]+"
 FENCE_PATTERN = r"(?s)```(?:json)?\s*(.*?)\s*```"
 
 
@@ -22,12 +23,12 @@ def tokens(text: Column) -> Column:
 
 def strip_blank(text: Column) -> Column:
     """Drop leading and trailing white space, line ends included."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.regexp_replace(text, rf"^[{BLANKS}]+|[{BLANKS}]+\z", "")
 
 
 def snippet(text: Column, max_chars: int = 200) -> Column:
     """The text itself, or its right-trimmed beginning with an ellipsis for display."""
-    cut = F.regexp_replace(F.substring(text, 1, max_chars), r"(?U)[\s\x1c-\x1f]+\z", "")
+    cut = F.regexp_replace(F.substring(text, 1, max_chars), rf"[{BLANKS}]+\z", "")
     return F.when(F.length(text) <= max_chars, text).otherwise(F.concat(cut, F.lit("...")))
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendgrid.functions.defaults import BM25_B, BM25_EPSILON, BM25_K1
 from lendgrid.functions.texts import tokens
+from lendgrid.session import cut_lineage, shared_folder
+from lendgrid.sources.tables import scan_parquet, write_table
 
 AT = ("doc_id", "chunk_no")
 BROADCAST_TERMS = 1_000_000
@@ -26,32 +29,29 @@ class Index:
 
 
 def term_counts(chunks: DataFrame) -> DataFrame:
-    """Term frequency and chunk length.
-
-    Tokens are placed by chunk first: counting terms here and adding up scores
-    per (query, chunk) later both keep that placement, so one shuffle serves.
-    """
+    """Term frequency and chunk length. The text is placed by chunk, then split and counted there without another shuffle."""
     width = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = chunks.select(*AT, tokens(F.col("text")).alias("_t")).repartition(width, *AT)
+    placed = chunks.select(*AT, "text").repartition(width, *AT).select(*AT, tokens(F.col("text")).alias("_t"))
     exploded = placed.select(*AT, F.size("_t").alias("length"), F.explode("_t").alias("term"))
     return exploded.groupBy(*AT, "term", "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def corpus_stats(chunks: DataFrame) -> tuple[int, float]:
-    row = chunks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens(F.col("text")))).alias("length")).first()
-    return row["n"], row["length"] or 0.0
+def build_index(chunks: DataFrame, epsilon: float = BM25_EPSILON, folder: str | None = None) -> Index:
+    """Postings and terms, written once below ``folder`` and scanned by every search.
 
-
-def build_index(chunks: DataFrame, epsilon: float = BM25_EPSILON) -> Index:
-    """A negative idf (a term in more than half of the chunks) becomes epsilon times the mean idf."""
-    n, length = corpus_stats(chunks)
-    postings = term_counts(chunks)
+    A negative idf (a term in more than half of the chunks) becomes epsilon times the mean idf.
+    """
+    spark = chunks.sparkSession
+    folder = folder or f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    write_table(term_counts(chunks), f"{folder}/postings")
+    postings = scan_parquet(spark, f"{folder}/postings")
+    n, total = chunks.count(), postings.agg(F.sum("tf")).first()[0] or 0
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = df.withColumn("idf", F.log(F.lit(float(n)) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-    mean = raw.agg(F.avg("idf")).first()[0] or 0.0
-    floor = epsilon * mean
-    terms = raw.withColumn("idf", F.when(F.col("idf") < 0, F.lit(floor)).otherwise(F.col("idf")))
-    return Index(chunks, postings, terms, length, floor)
+    write_table(df.withColumn("idf", F.log(F.lit(float(n)) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)), f"{folder}/terms")
+    terms = scan_parquet(spark, f"{folder}/terms")
+    floor = epsilon * (terms.agg(F.avg("idf")).first()[0] or 0.0)
+    floored = terms.withColumn("idf", F.when(F.col("idf") < 0, F.lit(floor)).otherwise(F.col("idf")))
+    return Index(chunks, postings, floored, total / n if n else 0.0, floor)
 
 
 def _score(weight: Column, index: Index, k1: float, b: float) -> Column:
@@ -107,7 +107,8 @@ def search(index: Index, queries: DataFrame, top_k: int, k1: float = BM25_K1, b:
     """
     scored = matched_scores(index, queries, k1, b).where(F.round("score", 9) != 0)
     best = scored.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy(*_by_score())))
-    best = best.where(F.col("_r") <= top_k).drop("_r")
+    # at most top_k rows per query, needed three times below
+    best = cut_lineage(best.where(F.col("_r") <= top_k).drop("_r"))
     both = best.unionByName(_unmatched(index, queries, scored, best, top_k))
     order = Window.partitionBy("query_id").orderBy(*_by_score())
     ranked = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
