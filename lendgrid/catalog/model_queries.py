@@ -207,11 +207,11 @@ def _metrics_sql(source: str, key: str = "", where: str = "true") -> str:
     keys = f"{key}," if key else ""
     group = f"GROUP BY {key}" if key else ""
     return f"""SELECT {keys} sum(neg / an * ((cp - pos + pos / 2.0::DOUBLE) / ap)) AS roc_auc,
-          sum(pos / ap * (cp / (cp + cn))) AS pr_auc, greatest(max(cp / ap - cn / an), 0) AS ks,
+          sum(pos / ap * (cp / (cp + cn))) AS pr_auc, CASE WHEN max(ap) > 0 AND max(an) > 0 THEN greatest(max(cp / ap - cn / an), 0) END AS ks,
           sum(pos * (1 - p) ** 2 + neg * p ** 2) / sum(pos + neg) AS brier, CAST(sum(pos + neg) AS BIGINT) AS n
         FROM (SELECT *, sum(pos) OVER (PARTITION BY {key or '1'} ORDER BY p DESC) AS cp,
                 sum(neg) OVER (PARTITION BY {key or '1'} ORDER BY p DESC) AS cn,
-                sum(pos) OVER ({part}) AS ap, sum(neg) OVER ({part}) AS an
+                nullif(sum(pos) OVER ({part}), 0) AS ap, nullif(sum(neg) OVER ({part}), 0) AS an
               FROM (SELECT {keys} p, sum(y)::DOUBLE AS pos, sum(1 - y)::DOUBLE AS neg FROM {source} WHERE {where} GROUP BY {keys} p))
         {group}"""
 
