@@ -205,7 +205,7 @@ def r10_parse_reply(spark, d):
         .when(F.col("event_type") == "click", F.concat(F.lit("Result: ``` "), F.col("props"), F.lit(" ``` done")))
         .otherwise(F.col("props"))
     )
-    parsed = fu.parse_reply(reply, "k long", ("k",))
+    parsed = fu.parse_reply(reply, "k: long", ("k",))
     return events.select("event_id", parsed.alias("v")).select("event_id", F.col("v.k").alias("k"), F.col("v").isNotNull().alias("parsed"))
 
 

@@ -34,10 +34,15 @@ def reorder(candidates: DataFrame, given: DataFrame, top_n: int = TOP_K) -> Data
 
 
 def parse_reply(reply: Column, schema: str, required: tuple[str, ...]) -> Column:
-    """Struct of a JSON reply, fences stripped; null when it is no JSON object with the required fields."""
-    text = strip_fences(reply)
-    parsed = F.from_json(text, schema)
-    complete = F.try_parse_json(text).isNotNull()
+    """Struct of a JSON reply, fences stripped; null when it is no JSON object with the required fields.
+
+    The text is read as the only element of an array, so that anything after
+    the object makes it malformed instead of being skipped.
+    """
+    text = F.concat(F.lit("["), strip_fences(reply), F.lit("]"))
+    elements = F.from_json(text, f"array<struct<{schema}>>")
+    parsed = F.get(elements, F.lit(0))
+    complete = F.try_parse_json(text).isNotNull() & (F.size(elements) == 1)
     for name in required:
         complete = complete & parsed[name].isNotNull()
     return F.when(complete, parsed)
@@ -53,7 +58,7 @@ def parse_ranking(replies: DataFrame, strict: bool = True) -> DataFrame:
 
     A malformed reply is an error, or with ``strict=False`` gives no rows.
     """
-    parsed = parse_reply(F.col("reply"), "ranked_chunk_ids array<string>", ("ranked_chunk_ids",))
+    parsed = parse_reply(F.col("reply"), "ranked_chunk_ids: array<string>", ("ranked_chunk_ids",))
     value = require(parsed, "reply holds no ranked_chunk_ids") if strict else parsed
     return replies.select("query_id", F.posexplode(value["ranked_chunk_ids"]).alias("_i", "item_id")).select(
         "query_id", "item_id", (F.col("_i") + 1).alias("given_rank")

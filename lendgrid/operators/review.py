@@ -76,7 +76,7 @@ def precheck(memo: Column, decision: Column, reason_codes: Column, citations: Co
 
 def parse_verdict(reply: Column) -> Column:
     """Struct ``(approved, feedback)``; only a JSON boolean approves, anything else is null."""
-    return parse_reply(reply, "approved boolean, feedback string", ("approved", "feedback"))
+    return parse_reply(reply, "approved: boolean, feedback: string", ("approved", "feedback"))
 
 
 def judge_context() -> Column:

@@ -74,14 +74,14 @@ def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, schema: str, quer
     query_blocks = max(1, -(-queries.count() // query_rows))
 
     def blocks(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
     left = vectors.select(
         "item_id", "vector", F.pmod(F.xxhash64("item_id"), F.lit(vector_blocks)).alias("vb")
-    ).withColumn("qb", blocks(query_blocks).cast("long"))
+    ).withColumn("qb", blocks(query_blocks))
     right = queries.select(
         "query_id", F.col("vector").alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("qb")
-    ).withColumn("vb", blocks(vector_blocks).cast("long"))
+    ).withColumn("vb", blocks(vector_blocks))
 
     def meet(_, items: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(items) or not len(asked):

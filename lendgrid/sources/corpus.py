@@ -19,9 +19,8 @@ def split_title(raw: Column) -> tuple[Column, Column]:
 def scan_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, title, text`` of every ``*.md`` file; the id is the file stem."""
     raw = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.md")
-        .text(folder)
+        spark.read.option("pathGlobFilter", "*.md")
+        .text(folder, wholetext=True)
         .select("value", F.col("_metadata.file_name").alias("file"))
     )
     title, body = split_title(F.col("value"))
