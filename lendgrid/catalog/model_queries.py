@@ -527,8 +527,43 @@ def x1_tree_attributions(spark, d):
     return at.long_form(wide, scorer.inputs.names)
 
 
-@register("x12_imputation_shift")
+@register(
+    "x1_additivity", "SELECT SK_ID_CURR AS id, true AS adds_up, true AS gives_probability FROM application WHERE IS_TRAIN = 1",
+    ("application",), ("id", "adds_up", "gives_probability"),
+)
+def x1_additivity(spark, d):
+    """Every applicant's attributions add up to the margin behind the model's own probability."""
+    train = _train(spark, d)
+    scorer = mo.fit_trees(train, MODEL_COLUMNS, settings=SMALL_TREES)
+    wide, base = at.tree_attributions(scorer, train, "SK_ID_CURR")
+    total = F.aggregate("contributions", F.lit(base), lambda a, v: a + v)
+    scored = scorer.score(train).select(F.col("SK_ID_CURR").alias("id"), "p")
+    return wide.join(scored, "id").select(
+        "id", (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"),
+        (F.abs(1 / (1 + F.exp(-2 * total)) - F.col("p")) < 1e-9).alias("gives_probability"),
+    )
+
+
+def _missing_sql(columns) -> str:
+    return " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in columns)
+
+
+@register(
+    "x12_imputation_shift",
+    f"SELECT SK_ID_CURR AS id, n_missing, n_missing = 0 AS complete, true AS whole_cases_keep_score FROM (SELECT SK_ID_CURR, {_missing_sql(MODEL_COLUMNS)} AS n_missing FROM features WHERE IS_TRAIN = 1)",
+    ("features",), ("id", "n_missing", "complete", "whole_cases_keep_score"),
+)
 def x12_imputation_shift(spark, d):
+    """Scores with and without imputation; a case without missing values must not move."""
+    return _shifts(spark, d).withColumn("whole_cases_keep_score", ~F.col("complete") | (F.col("shift") == 0))
+
+
+@register("x12_shift_summary")
+def x12_shift_summary(spark, d):
+    return wi.shift_summary(_shifts(spark, d))
+
+
+def _shifts(spark, d):
     train = _train(spark, d)
     scorer = mo.fit_trees(train, MODEL_COLUMNS, settings=SMALL_TREES)
     numeric = [c for c in MODEL_COLUMNS if dict(train.dtypes)[c] != "boolean"]
@@ -539,15 +574,39 @@ def x12_imputation_shift(spark, d):
     return wi.imputation_shift(native, imputed, sc.rate_matched_threshold(native))
 
 
-@register("x13_counterfactuals")
+WHATIF_COLUMNS = ("AMT_CREDIT", "credit_to_income", "inst_delay_max")
+WHATIF_INPUTS = [c for c in LINEAR_INPUTS if c != "cc_utilization_mean"]
+_FACTORS = "(0.5), (0.75), (0.9), (1.0), (1.1), (1.25), (1.5)"
+
+
+def _whatif_sql() -> str:
+    at_ = [NAMES.index(c) for c in WHATIF_COLUMNS]
+    new = ", ".join(f"t.{c}::DOUBLE * f{i}.f::DOUBLE AS n{i}" for i, c in enumerate(WHATIF_COLUMNS))
+    moved = " + ".join(f"w{k} * (n{i} - {c}) / s{k}" for i, (c, k) in enumerate(zip(WHATIF_COLUMNS, at_)))
+    distance = " + ".join(f"abs(n{i} - {c}) / s{k}" for i, (c, k) in enumerate(zip(WHATIF_COLUMNS, at_)))
+    return f"""SELECT SK_ID_CURR, n0 AS AMT_CREDIT, n1 AS credit_to_income, n2 AS inst_delay_max, p_original, p, distance,
+          CAST(r AS INTEGER) AS "rank" FROM (
+        SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY distance, n0, n1, n2) AS r FROM (
+          SELECT *, round({distance}, 9) AS distance, 1 / (1 + exp(-(margin + {moved}))) AS p FROM (
+            SELECT t.SK_ID_CURR, {', '.join(f't.{c}::DOUBLE AS {c}' for c in WHATIF_COLUMNS)}, {new},
+              ln(s.p / (1 - s.p)) AS margin, s.p AS p_original
+            FROM features t JOIN linear_scored s ON s.id = t.SK_ID_CURR,
+              (VALUES {_FACTORS}) f0(f), (VALUES {_FACTORS}) f1(f), (VALUES {_FACTORS}) f2(f)
+            WHERE ({_missing_sql(WHATIF_INPUTS)}) = 0 AND NOT (f0.f = 1 AND f1.f = 1 AND f2.f = 1)
+          ), linear_weights, linear_moments
+        ), linear_scored_cut WHERE (p >= threshold) <> (p_original >= threshold)) WHERE r <= 3"""
+
+
+@register(
+    "x13_counterfactuals", _whatif_sql(), ("features", "linear_scored", "linear_scored_cut", "linear_weights", "linear_moments"),
+    ("SK_ID_CURR", "rank"), (*WHATIF_COLUMNS, "p_original", "p", "distance"),
+)
 def x13_counterfactuals(spark, d):
+    """Smallest changes of three inputs that flip the linear score's decision."""
     train, scorer = _linear_scorer(spark, d)
-    columns = ("AMT_CREDIT", "credit_to_income", "cc_utilization_mean")
-    inputs = [c for c in LINEAR_INPUTS if c != "cc_utilization_mean"]
     scored = scorer.score(train).select(F.col("TARGET").alias("y"), "p")
     return wi.counterfactuals(
-        train.withColumn("cc_utilization_mean", F.coalesce("cc_utilization_mean", F.lit(0.0))), scorer.score,
-        sc.rate_matched_threshold(scored), scorer.scaling.deviations, inputs, columns=columns,
+        train, scorer.score, sc.rate_matched_threshold(scored), scorer.scaling.deviations, WHATIF_INPUTS, columns=WHATIF_COLUMNS
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import product
 from math import factorial
 
 import numpy as np
@@ -28,24 +27,27 @@ class LeafTable:
     expected: float
 
 
-def _path_effects(value: float, shares: list[float], width: int) -> np.ndarray:
-    """Shapley effect of each path feature for every set of satisfied features.
+def _path_effects(values: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Shapley effect of each path feature, for every leaf and every set of satisfied features.
 
-    The leaf pays ``value * prod(share of unknown features)`` while all known
-    features are satisfied, and nothing otherwise.
+    A leaf pays ``value * prod(share of unknown features)`` while all known
+    features are satisfied, and nothing otherwise. A padded slot has share 1
+    and is always satisfied, which makes it a player without effect.
     """
-    d = len(shares)
-    out = np.zeros((2**width, width))
-    for pattern in product((0, 1), repeat=d):
-        slot = sum(bit << i for i, bit in enumerate(pattern))
-        for j in range(d):
-            others = [i for i in range(d) if i != j]
-            # coefficient s: total payoff of coalitions of size s drawn from the other features
-            coefficients = np.array([1.0])
-            for i in others:
-                coefficients = np.convolve(coefficients, [shares[i], float(pattern[i])])
-            weights = [factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)]
-            out[slot, j] = value * (pattern[j] - shares[j]) * float(np.dot(weights, coefficients))
+    leaves, d = shares.shape
+    satisfied = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
+    weights = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
+    out = np.empty((leaves, 2**d, d))
+    for j in range(d):
+        # coefficient s: total payoff of coalitions of size s drawn from the other features
+        coefficients = np.ones((leaves, 2**d, 1))
+        for i in range(d):
+            if i != j:
+                longer = np.zeros((leaves, 2**d, coefficients.shape[2] + 1))
+                longer[:, :, :-1] += coefficients * shares[:, i, None, None]
+                longer[:, :, 1:] += coefficients * satisfied[None, :, i, None]
+                coefficients = longer
+        out[:, :, j] = values[:, None] * (satisfied[None, :, j] - shares[:, j, None]) * (coefficients @ weights)
     return out
 
 
@@ -69,21 +71,18 @@ def _leaf_table(nodes: pd.DataFrame) -> LeafTable:
     width = max(1, max(len(path) for _, path in leaves))
     features = np.full((len(leaves), width), -1)
     low, high = np.full(features.shape, -np.inf), np.full(features.shape, np.inf)
-    effects, expected = np.zeros((len(leaves), 2**width, width)), 0.0
-    for i, (value, path) in enumerate(leaves):
-        shares = [s for _, _, s in path.values()]
-        for j, (feature, (lo, hi, _)) in enumerate(path.items()):
-            features[i, j], low[i, j], high[i, j] = feature, lo, hi
-        effects[i] = _path_effects(value, shares, width)
-        expected += value * float(np.prod(shares))
-    return LeafTable(features, low, high, effects, expected)
+    shares, values = np.ones(features.shape), np.array([value for value, _ in leaves])
+    for i, (_, path) in enumerate(leaves):
+        for j, (feature, (lo, hi, share)) in enumerate(path.items()):
+            features[i, j], low[i, j], high[i, j], shares[i, j] = feature, lo, hi, share
+    return LeafTable(features, low, high, _path_effects(values, shares), float(values @ shares.prod(axis=1)))
 
 
 def _tree_attributions(x: np.ndarray, table: LeafTable, out: np.ndarray) -> None:
     """Add one tree's attributions of a batch to ``out`` (rows x features)."""
     safe = np.where(table.features < 0, 0, table.features)
     seen = x[:, safe]
-    inside = (seen > table.low) & (seen <= table.high) & (table.features >= 0)
+    inside = (seen > table.low) & (seen <= table.high)
     slot = (inside * (1 << np.arange(table.features.shape[1]))).sum(axis=2)
     effect = table.effects[np.arange(len(table.features)), slot]
     for feature in np.unique(table.features[table.features >= 0]):

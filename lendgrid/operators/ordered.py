@@ -42,16 +42,20 @@ def running_sums(placed: DataFrame, order: list[Column], sums: list[str], keys:
     whole = Window.partitionBy(*keys)
     before = whole.orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys,
-        "_range",
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_range").alias("_offset_range"),
         *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
     local = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = placed.join(offsets, [*keys, "_range"])
+    # a missing key is a key of its own
+    same = F.col("_range") == F.col("_offset_range")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    out = placed.join(offsets, same)
     for s in sums:
         out = out.withColumn(f"cum_{s}", F.col(f"_off_{s}") + F.sum(s).over(local))
-    return out.drop("_range", *[f"_off_{s}" for s in sums])
+    return out.drop("_range", "_offset_range", *[f"_key_{k}" for k in keys], *[f"_off_{s}" for s in sums])
 
 
 def hash_rank(df: DataFrame, id_col: str, seed: int, keys: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
