@@ -105,6 +105,16 @@ def c6_build_segments(spark, d):
     return sg.build_segments(_training_table(spark, d), restarts=3)
 
 
+@register(
+    "c6_segment_keys", "SELECT SK_ID_CURR, IS_TRAIN, true AS assigned FROM application", ("application",),
+    ("SK_ID_CURR", "IS_TRAIN", "assigned"),
+)
+def c6_segment_keys(spark, d):
+    """Every applicant, labelled or not, has one of the five segments."""
+    segments = sg.build_segments(_training_table(spark, d), restarts=1)
+    return segments.withColumn("assigned", F.col("cluster").between(0, defaults.SEGMENT_COUNT - 1))
+
+
 @register("c7_sweep_k")
 def c7_sweep_k(spark, d):
     standard, scaling = _vectors(spark, d)
@@ -371,14 +381,33 @@ def m19_batch_scoring(spark, d):
     return read_log(spark, path)
 
 
-@register("io10_run_tracking")
+@register(
+    "m19_logged_population",
+    """SELECT '2024-01-31T00:00:00+00:00' AS "timestamp", SK_ID_CURR AS sk_id_curr, true AS consistent FROM application WHERE IS_TRAIN = 0""",
+    ("application",), ("timestamp", "sk_id_curr", "consistent"),
+)
+def m19_logged_population(spark, d):
+    """Each unlabelled applicant has one log line, whose decision follows from its numbers."""
+    return m19_batch_scoring(spark, d).withColumn(
+        "consistent", (F.col("decision") == defaults.HIGH_RISK) == (F.col("probability") >= F.col("threshold"))
+    )
+
+
+_RUN_SQL = " UNION ALL ".join(
+    f"""SELECT '{run}' AS run, "key", value FROM (UNPIVOT (SELECT roc_auc, pr_auc, ks, brier FROM ({_metrics_sql(view)}))
+        ON roc_auc, pr_auc, ks, brier INTO NAME "key" VALUE value)"""
+    for run, view in (("labels", "scored_labels"), ("burden", "burden"))
+)
+
+
+@register("io10_run_tracking", _RUN_SQL, ("scored_labels", "burden"), ("run", "key"), ("value",))
 def io10_run_tracking(spark, d):
-    """Two runs appended to the tracking table, with metrics of two scores."""
+    """Two runs appended to the tracking table; their metric rows."""
     path = _scratch(spark, "runs")
     for run, scored in (("labels", proxy.scored_labels(spark, d)), ("burden", _burden(spark, d))):
         m = sc.ranking_metrics(scored).first().asDict()
         tables.append_run(spark, path, run, {"score": run}, {k: m[k] for k in _ALL_METRICS})
-    return tables.read_runs(spark, path)
+    return tables.read_runs(spark, path).where("kind = 'metric'")
 
 
 # attributions and reasons

@@ -17,7 +17,7 @@ from lendgrid.operators.chunks import chunk_documents
 from lendgrid.plans.retrieval import hybrid_candidates, retrieve
 from lendgrid.session import cut_lineage
 from lendgrid.sources import proxy, tables
-from lendgrid.sources.corpus import split_title
+from lendgrid.sources.corpus import scan_corpus, split_title
 from lendgrid.sources.score_log import append_log, log_entries, read_log, summarize_log
 from lendgrid.streaming import score_log as stream
 
@@ -43,6 +43,18 @@ def io8_title_and_body(spark, d):
     return proxy.given(spark, d, "documents").select("doc_id", title.alias("title"), body.alias("body"))
 
 
+@register(
+    "io7_corpus",
+    r"""SELECT 'Doc ' || doc_id AS title, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS text FROM documents""", (), ("title", "text"),
+)
+def io7_corpus(spark, d):
+    """Every document written as a file of its own, then read back as a corpus."""
+    folder = _scratch(spark, "corpus")
+    page = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("text"))
+    proxy.policy_documents(spark, d).select(page.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return scan_corpus(spark, folder, "*.txt")
+
+
 @register("io9_chunk_store", "SELECT doc_id, chunk_id, title, text FROM chunks", ("chunks",), ("doc_id", "chunk_id", "title", "text"))
 def io9_chunk_store(spark, d):
     path = _scratch(spark, "chunks")

@@ -16,13 +16,13 @@ def split_title(raw: Column) -> tuple[Column, Column]:
     return title, body
 
 
-def scan_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, title, text`` of every ``*.md`` file; the id is the file stem."""
+def scan_corpus(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
+    """``doc_id, title, text`` of every matching file; the id is the file name without its ending."""
     raw = (
-        spark.read.option("pathGlobFilter", "*.md")
+        spark.read.option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
         .select("value", F.col("_metadata.file_name").alias("file"))
     )
     title, body = split_title(F.col("value"))
-    doc_id = F.regexp_replace("file", r"\.md$", "")
+    doc_id = F.regexp_replace("file", r"\.[^.]*$", "")
     return raw.select(doc_id.alias("doc_id"), title.alias("title"), body.alias("text")).orderBy("doc_id")

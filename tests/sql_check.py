@@ -1,6 +1,6 @@
 """Compare registered queries with their SQL on DuckDB.
 
-    python tests/sql_check.py [--sf 0.01] [name prefix ...]
+    python tests/sql_check.py [--sf 0.01] [--plain] [name prefix ...]
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -66,7 +67,11 @@ def main() -> None:
         sf = args[at + 1]
         del args[at:at + 2]
     folder = f"/root/testdata/sf{sf}"
-    spark = local_session()
+    if "--plain" in args:  # Spark's own defaults, as another driver may use them
+        args.remove("--plain")
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     con, sql = connect(folder), oracle_sql()
     for name, run in queries().items():
