@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendgrid.functions.defaults import BM25_B, BM25_EPSILON, BM25_K1
 from lendgrid.functions.texts import tokens
+from lendgrid.operators.ordered import global_positions, place_in_ranges, running_sums
 from lendgrid.session import cut_lineage, shared_folder
 from lendgrid.sources.tables import scan_parquet, write_table
 
@@ -121,7 +122,7 @@ def _unmatched(index: Index, queries: DataFrame, scored: DataFrame, best: DataFr
 
     They matter for queries with fewer than ``top_k`` positive scores. Such a
     query matches fewer than ``top_k`` chunks unless scores can be negative, so
-    the first ``2 * top_k`` chunks suffice; otherwise as many as it matches more.
+    the first ``2 * top_k`` chunks suffice; otherwise all chunks are numbered.
     With matched positions p_0 < p_1 < ..., unmatched chunk j stands at j plus
     the number of i with p_i - i <= j, which is a count and needs no pairing of
     queries and chunks.
@@ -129,15 +130,20 @@ def _unmatched(index: Index, queries: DataFrame, scored: DataFrame, best: DataFr
     short = queries.select("query_id").distinct().join(
         best.where(F.col("score") > 0).groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")), "query_id", "left"
     ).where(F.coalesce("_n", F.lit(0)) < top_k).select("query_id")
-    depth, own = 2 * top_k, best
     if index.idf_floor < 0:
         own = scored.join(short, "query_id", "left_semi")
-        most = own.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        depth = top_k + most
-    first = index.chunks.select(*AT).orderBy(*AT).limit(depth)
-    heads = first.withColumn("_pos", F.row_number().over(Window.orderBy(*AT)) - 1)
-    hits = own.select("query_id", *AT).join(heads, list(AT))
-    shift = F.col("_pos") - F.row_number().over(Window.partitionBy("query_id").orderBy("_pos")) + 1
+        heads = global_positions(index.chunks.select(*AT), list(AT), "_pos")
+    else:
+        own = best
+        first = index.chunks.select(*AT).orderBy(*AT).limit(2 * top_k)
+        heads = first.withColumn("_pos", F.row_number().over(Window.orderBy(*AT)).cast("long") - 1)
+    hits = own.select("query_id", *AT).join(heads, list(AT)).withColumn("_one", F.lit(1).cast("long"))
+    if index.idf_floor < 0:
+        # a query may match most chunks here, so its matches are ranked in ranges of positions
+        hits = running_sums(place_in_ranges(hits, "_pos"), [F.col("_pos")], ["_one"], ("query_id",))
+        shift = F.col("_pos") - F.col("cum__one") + 1
+    else:
+        shift = F.col("_pos") - F.row_number().over(Window.partitionBy("query_id").orderBy("_pos")) + 1
     counts = hits.withColumn("_shift", shift).groupBy("query_id").agg(
         F.array(*[F.sum((F.col("_shift") <= j).cast("int")) for j in range(top_k)]).alias("_before")
     )

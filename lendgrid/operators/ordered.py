@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendgrid.functions.hashing import hash_key
-from lendgrid.session import shuffle_width
+from lendgrid.session import cut_lineage, shuffle_width
 
 
 def place_in_ranges(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
@@ -58,6 +58,18 @@ def running_sums(placed: DataFrame, order: list[Column], sums: list[str], keys:
     return out.drop("_range", "_offset_range", *[f"_key_{k}" for k in keys], *[f"_off_{s}" for s in sums])
 
 
+def global_positions(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """Add the 0-based position of each row in the given order, for any sortable columns.
+
+    Rows are sorted into ranges; the written copy keeps each row's range, so the
+    positions do not depend on a range sampled anew.
+    """
+    ranged = df.repartitionByRange(shuffle_width(df), *order).withColumn("_range", F.spark_partition_id())
+    fixed = cut_lineage(ranged).withColumn("_one", F.lit(1).cast("long"))
+    placed = running_sums(fixed, [F.col(c) for c in order], ["_one"])
+    return placed.withColumn(name, F.col("cum__one") - 1).drop("_one", "cum__one", "all__one")
+
+
 def hash_rank(df: DataFrame, id_col: str, seed: int, keys: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
     """Add ``rank`` (1..n in a seeded random order within the keys) and ``n`` (rows of the key).
 
@@ -85,12 +97,14 @@ def sample_rows(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
 _REACHES = (0.0002, 0.01)
 
 
-def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]]) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]],
+                    spread_above: int = 1_000_000_000) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of several columns, exact, in two scans.
 
     The first scan brackets each quantile with approximate ones; the second
     counts what lies below the bracket and sorts only what lies inside it. A
     bracket that misses is replaced by the whole column, sorted in ranges.
+    Beyond ``spread_above`` rows the inside of a bracket is sorted in parts, too.
     """
     columns = list(probabilities)
     points = {
@@ -117,7 +131,8 @@ def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]]) -> dic
                     break
             wanted.append((i, j, low, high, (n - 1) * p))
 
-    found = _values_at(numbers, wanted)
+    parts = shuffle_width(df) if max((first[f"n{i}"] for i in range(len(columns))), default=0) > spread_above else 1
+    found = _values_at(numbers, wanted, parts)
     result = {c: [None] * len(probabilities[c]) for c in columns}
     for key, (i, j, low, high, position) in enumerate(wanted):
         floor, share = math.floor(position), position - math.floor(position)
@@ -129,7 +144,7 @@ def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]]) -> dic
     return result
 
 
-def _values_at(numbers: DataFrame, wanted: list[tuple]) -> dict[tuple[int, int], float]:
+def _values_at(numbers: DataFrame, wanted: list[tuple], parts: int) -> dict[tuple[int, int], float]:
     """Values at two neighbouring positions per request, found inside their brackets."""
     if not wanted:
         return {}
@@ -144,11 +159,19 @@ def _values_at(numbers: DataFrame, wanted: list[tuple]) -> dict[tuple[int, int],
         .groupBy("_key", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    window = Window.partitionBy("_key").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     floors = F.array(*[F.lit(math.floor(w[4])).cast("long") for w in wanted])
-    end = F.sum("_n").over(window)
+    if parts > 1:
+        # equal-width parts of each bracket; what lies below it is a part of its own
+        lows, highs = (F.array(*[F.lit(w[i]).cast("double") for w in wanted])[F.col("_key")] for i in (2, 3))
+        share = (F.col("_value") - lows) / F.nullif(highs - lows, F.lit(0.0))
+        part = F.when(F.col("_value") > below, F.floor(F.coalesce(share, F.lit(0.0)) * parts)).otherwise(F.lit(-1))
+        ranged = counts.withColumn("_range", part.cast("long"))
+        summed = running_sums(ranged, [F.col("_value")], ["_n"], ("_key",)).withColumnRenamed("cum__n", "_end")
+    else:
+        window = Window.partitionBy("_key").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+        summed = counts.withColumn("_end", F.sum("_n").over(window))
     rows = (
-        counts.withColumn("_end", end)
+        summed
         .withColumn("_at", F.element_at(floors, F.col("_key") + 1))
         .where((F.col("_value") > below) & (F.col("_end") > F.col("_at")) & (F.col("_end") - F.col("_n") <= F.col("_at") + 1))
         .select("_key", "_value", "_n", "_end", "_at")

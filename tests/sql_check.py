@@ -69,7 +69,7 @@ def main() -> None:
     folder = f"/root/testdata/sf{sf}"
     if "--plain" in args:  # Spark's own defaults, as another driver may use them
         args.remove("--plain")
-        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     else:
         spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")

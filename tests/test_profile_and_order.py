@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendgrid.operators import profile as pr
-from lendgrid.operators.ordered import exact_quantiles, hash_rank, place_in_ranges, running_sums, sample_rows
+from lendgrid.operators.ordered import exact_quantiles, global_positions, hash_rank, place_in_ranges, running_sums, sample_rows
 
 
 def frame(spark, values, name="x"):
@@ -22,6 +22,27 @@ def test_quantiles_match_linear_interpolation(spark, width, case):
     assert got == pytest.approx(list(np.quantile(values, probabilities)), abs=1e-12)
 
 
+def test_quantiles_in_parts(spark, width):
+    rng = np.random.default_rng(8)
+    values = np.where(rng.random(30_000) < 0.3, 0.5, rng.random(30_000))
+    probabilities = [0.001, 0.25, 0.5, 0.77, 0.999]
+    got = exact_quantiles(frame(spark, values), {"x": probabilities}, spread_above=100)["x"]
+    assert got == pytest.approx(list(np.quantile(values, probabilities)), abs=1e-12)
+
+
+def test_global_positions(spark, width):
+    rng = np.random.default_rng(6)
+    rows = [(f"d{int(a)}", i) for i, a in enumerate(rng.integers(0, 9, 200))]
+    got = {(r.a, r.b): r.position for r in global_positions(spark.createDataFrame(rows, "a string, b long"), ["a", "b"]).collect()}
+    assert [got[r] for r in sorted(rows)] == list(range(200))
+
+
+def test_a_missing_key_is_a_key(spark):
+    df = spark.createDataFrame([(None, 1.0, 1), (None, 2.0, 1), ("a", 1.0, 1)], "k string, p double, n long")
+    rows = running_sums(place_in_ranges(df, "p", 3), [F.col("p")], ["n"], ("k",)).collect()
+    assert sorted((str(r.k), r.p, r.cum_n, r.all_n) for r in rows) == [("None", 1.0, 1, 2), ("None", 2.0, 2, 2), ("a", 1.0, 1, 1)]
+
+
 def test_quantiles_of_nothing(spark):
     assert exact_quantiles(frame(spark, [None, None]), {"x": [0.5]}) == {"x": [None]}
 
