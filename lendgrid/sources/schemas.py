@@ -1,4 +1,7 @@
-"""Declared schemas of the credit tables, so that no scan infers types."""
+"""Declared schemas of the credit tables, so that no scan infers types.
+
+Payment days are doubles: files write them with a decimal point.
+"""
 
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -30,7 +33,7 @@ SCHEMAS = {
         SK_DPD=IntegerType,
     ),
     "installments_payments": _schema(
-        SK_ID_CURR=LongType, DAYS_ENTRY_PAYMENT=IntegerType, DAYS_INSTALMENT=IntegerType,
+        SK_ID_CURR=LongType, DAYS_ENTRY_PAYMENT=DoubleType, DAYS_INSTALMENT=DoubleType,
         AMT_INSTALMENT=DoubleType, AMT_PAYMENT=DoubleType,
     ),
 }

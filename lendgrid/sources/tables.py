@@ -36,7 +36,10 @@ def scan_csv(spark: SparkSession, folder: str, name: str, columns: list[str] | N
     """
     path = f"{folder}/{name}.csv"
     schema = schema or csv_schema(spark, path, SCHEMAS[name])
-    df = nan_to_null(spark.read.schema(schema).option("header", True).option("emptyValue", "").csv(path))
+    df = nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
+    textual = {f.name for f in schema.fields if isinstance(f.dataType, StringType)}
+    # a quoted empty field is missing as well
+    df = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) if c in textual else F.col(f"`{c}`") for c in df.columns])
     return df.select(*columns) if columns else df
 
 

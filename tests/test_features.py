@@ -148,6 +148,25 @@ def test_pruned_csv_scan_reads_two_columns(spark, credit_folder):
     assert sorted(tuple(r) for r in ids.collect()) == [(1, 10), (3, 11)]
 
 
+def test_csv_fields(spark, tmp_path):
+    (tmp_path / "installments_payments.csv").write_text(
+        "SK_ID_PREV,SK_ID_CURR,DAYS_ENTRY_PAYMENT,DAYS_INSTALMENT,AMT_INSTALMENT,AMT_PAYMENT\n9,1,-1187.0,-1180.0,10.5,NaN\n9,2,,-5,1,1\n")
+    rows = tables.scan_csv(spark, str(tmp_path), "installments_payments").orderBy("SK_ID_CURR").collect()
+    assert (rows[0].DAYS_ENTRY_PAYMENT, rows[0].AMT_PAYMENT, rows[0].SK_ID_PREV) == (-1187.0, None, 9.0)
+    assert rows[1].DAYS_ENTRY_PAYMENT is None and rows[1].DAYS_INSTALMENT == -5.0
+    (tmp_path / "previous_application.csv").write_text(
+        'SK_ID_CURR,SK_ID_PREV,NAME_CONTRACT_STATUS,CODE_REJECT_REASON,AMT_CREDIT,AMT_ANNUITY,DAYS_DECISION\n1,2,"","XAP",1,,-3\n')
+    row = tables.scan_csv(spark, str(tmp_path), "previous_application").first()
+    assert row.NAME_CONTRACT_STATUS is None and row.CODE_REJECT_REASON == "XAP" and row.DAYS_DECISION == -3
+
+
+def test_categories_with_odd_names_survive_the_store(spark, tmp_path):
+    df = spark.createDataFrame([(1, "Stone, brick"), (2, "Trade: type 1 (x)")], "SK_ID_CURR long, WALLS string")
+    encoded = encode_categoricals(df)
+    tables.write_table(encoded, str(tmp_path / "f"))
+    assert tables.scan_parquet(spark, str(tmp_path / "f")).columns == ["SK_ID_CURR", "WALLS_Stone, brick", "WALLS_Trade: type 1 (x)", "WALLS_nan"]
+
+
 def test_key_assertions(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     assert one(tables.assert_unique(df, "k")) == {"n_rows": 3, "n_keys": 2, "key_is_unique": False}
