@@ -4,16 +4,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendgrid.session import shared_folder
 
 #: White space of the word rule: blank and the control characters from tab to carriage return.
-WORD_GAP = r"[ \t-\r]+"
-WORD = r"[^\x20\x09-\x0D]+"
+GAPS = " \t\n\x0b\x0c\r"
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text in order, as an array; of a missing text, none.
+
+    One blank as the separator takes Java's quick split; a pattern would cost twice as much.
+    """
+    flat = reduce(lambda c, gap: F.replace(c, F.lit(gap), F.lit(" ")), GAPS[1:], F.coalesce(text, F.lit("")))
+    return F.array_remove(F.split(flat, " ", -1), "")
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lendgrid.llm.frames import WORD, fresh, written
+from lendgrid.llm.frames import GAPS, fresh, words_of, written
 
 _WHOLE = "decimal(38,0)"
 #: Order keys of a leaf fall into so many ranges; only the range that holds a leaf's cut is sorted row by row.
@@ -101,10 +101,9 @@ def mix_sources(docs: DataFrame, domain: Column | None = None, lang: str = "lang
         docs.withColumn(at_domain, F.coalesce(domain if domain is not None else default_domain(source), missing))
         .withColumn(at_lang, F.coalesce(F.col(f"`{lang}`").cast("string"), missing))
         .withColumn(at_source, F.coalesce(F.col(f"`{source}`").cast("string"), missing))
-        .withColumn(tokens, F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long"))
     )
     sized = written(tagged.select(F.col(at_domain).alias("domain"), F.col(at_lang).alias("lang"), F.col(at_source).alias("source"),
-                                  F.col(f"`{doc_id}`").alias("doc_id"), F.col(tokens).alias("tokens")).filter("tokens > 0"), "mix-sizes")
+                                  F.col(f"`{doc_id}`").alias("doc_id"), F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("tokens")).filter("tokens > 0"), "mix-sizes")
     leaves = sized.groupBy("domain", "lang", "source").agg(F.sum("tokens").alias("tokens"))
     leaves = (leaves.withColumn("w_domain", _lookup(F.col("domain"), DOMAIN_WEIGHTS if domain_weights is None else domain_weights, 1))
               .withColumn("w_lang", _lookup(F.col("lang"), LANG_WEIGHTS if lang_weights is None else lang_weights, 1))
@@ -125,8 +124,9 @@ def mix_sources(docs: DataFrame, domain: Column | None = None, lang: str = "lang
     cuts = (keyed.join(last, [*leaf, "range"]).withColumn("at", F.col("start") + F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
             .filter(F.col("at") < F.col("rest")).groupBy(*leaf).agg(F.max("key").alias("cut")))
     plan = written(budgets.join(cuts, leaf, "left").select(*leaf, "epochs", "cut"), "mix-plan")
-    chosen = tagged.filter(F.col(tokens) > 0).join(plan.toDF(at_domain, at_lang, at_source, whole, cut), [at_domain, at_lang, at_source])
+    filled = F.trim(F.col(f"`{text}`"), F.lit(GAPS)) != ""
+    chosen = tagged.filter(filled).join(plan.toDF(at_domain, at_lang, at_source, whole, cut), [at_domain, at_lang, at_source])
     extra = F.when(order_key(doc_id, F.col(whole), seed) <= F.col(cut), 1).otherwise(0)
     result = chosen.withColumn(copies, (F.col(whole) + extra).cast("int")).filter(F.col(copies) > 0)
-    more = [F.col(copies)] + ([F.col(at_domain), F.col(tokens)] if counts else [])
+    more = [F.col(copies)] + ([F.col(at_domain), F.size(words_of(F.col(f"`{text}`"))).cast("long").alias(tokens)] if counts else [])
     return result.select(*[F.col(f"`{c}`") for c in docs.columns], *more)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lendgrid.llm.frames import WORD_GAP, fresh
+from lendgrid.llm.frames import GAPS, fresh, words_of
 
 #: Frequent function words of the four languages, in natural order (fixed values).
 STOP_WORDS = (
@@ -29,23 +29,26 @@ DEFAULT_RULES = (
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words")
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_GAP, -1), lambda w: w != "")
+def _window_hashes(words: Column) -> Column:
+    """64-bit hash of each 3-word window."""
+    hashes = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    return F.slice(hashes, 1, F.greatest(F.size(words) - 2, F.lit(0)))
 
 
-def _sorted_windows(words: Column) -> Column:
-    """Hash and position of each 3-word window, equal windows next to each other."""
-    window = lambda i: F.struct(F.xxhash64(F.slice(words, i + 1, 3)).alias("h"), i.alias("i"))
-    return F.when(F.size(words) >= 3, F.array_sort(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window)))
+def _sorted_windows(hashes: Column) -> Column:
+    """Hash and position of each window, equal windows next to each other; null if all differ."""
+    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.sort_array(placed))
 
 
 def _repeated_places(windows: Column) -> Column:
     """Sorted positions of the windows that equal a neighbour."""
+    hashes = windows["h"]
     n = F.size(windows)
-    hashes = F.transform(windows, lambda x: x["h"])
     same = F.zip_with(F.slice(hashes, 1, n - 1), F.slice(hashes, 2, n), lambda a, b: a == b)
     either = F.zip_with(F.concat(same, F.array(F.lit(False))), F.concat(F.array(F.lit(False)), same), lambda a, b: a | b)
-    return F.when(n > 1, F.array_sort(F.filter(F.zip_with(windows, either, lambda x, y: F.when(y, x["i"])), lambda i: i.isNotNull())))
+    marked = F.zip_with(windows["i"], either, lambda i, repeated: F.when(repeated, i))
+    return F.when(windows.isNotNull(), F.sort_array(F.array_compact(marked)))
 
 
 def _covered_words(places: Column) -> Column:
@@ -72,17 +75,17 @@ def measure_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     Columns of ``docs`` with one of these names are replaced. Each text is measured whole, in its own row. Repeated 3-word
     windows are found by sorting 64-bit hashes of their words, so a text costs n log n; no step compares all its windows.
     """
-    body, words, lines, windows, places = fresh(docs, "body", "words", "lines", "windows", "places")
+    body, words, lines, hashes, windows, places = fresh(docs, "body", "words", "lines", "hashes", "windows", "places")
     whole = docs.withColumn(body, F.coalesce(F.col(f"`{text}`"), F.lit("")))
     kept = [c for c in docs.columns if c.lower() not in MEASURES]
-    split = whole.select(*[F.col(f"`{c}`") for c in kept], body, _words(F.col(body)).alias(words),
-                         F.filter(F.split(F.col(body), "\n", -1), lambda x: F.translate(x, " \t\n\x0b\x0c\r", "") != "").alias(lines))
-    split = split.withColumn(windows, _sorted_windows(F.col(words))).withColumn(places, _repeated_places(F.col(windows)))
+    split = whole.select(*[F.col(f"`{c}`") for c in kept], body, words_of(F.col(body)).alias(words),
+                         F.filter(F.split(F.col(body), "\n", -1), lambda x: F.trim(x, F.lit(GAPS)) != "").alias(lines))
+    split = split.withColumn(hashes, _window_hashes(F.col(words))).withColumn(windows, _sorted_windows(F.col(hashes))).withColumn(places, _repeated_places(F.col(windows)))
     w, b = F.col(words), F.col(body)
     measures = {
         "n_words": F.size(w),
-        "word_chars": F.length(F.translate(b, " \t\n\x0b\x0c\r", "")),
-        "n_symbols": F.length(b) - F.length(F.translate(b, "#*$%&|<>", "")),
+        "word_chars": F.length(F.array_join(w, "")),
+        "n_symbols": F.length(b) - F.length(F.regexp_replace(b, r"[#*$%&|<>]", "")),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_stop_words": F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))),

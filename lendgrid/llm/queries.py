@@ -8,6 +8,7 @@ from lendgrid.llm.frames import scratch_path
 from lendgrid.llm.line_dedup import drop_boilerplate
 from lendgrid.llm.mixing import mix_sources
 from lendgrid.llm.quality_rules import STOP_WORDS, apply_quality_rules
+from lendgrid.llm.simhash import near_duplicate_classes
 from lendgrid.llm.warc_archive import read_archive, write_archive
 
 
@@ -122,5 +123,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_warc_archive": op2_warc_archive, "op5_source_mixing": op5_source_mixing, "op8_quality_rules": op8_quality_rules}
+
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return near_duplicate_classes(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op5_source_mixing, op8_quality_rules, op9_simhash)}
 SQL = {"op1_line_dedup": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_source_mixing": OP5_SQL, "op8_quality_rules": OP8_SQL}
