@@ -9,6 +9,7 @@ from lendgrid.llm.line_dedup import drop_boilerplate
 from lendgrid.llm.mixing import mix_sources
 from lendgrid.llm.quality_rules import STOP_WORDS, apply_quality_rules
 from lendgrid.llm.simhash import near_duplicate_classes
+from lendgrid.llm.suffix_dedup import remove_repeats
 from lendgrid.llm.warc_archive import read_archive, write_archive
 
 
@@ -129,5 +130,12 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op5_source_mixing, op8_quality_rules, op9_simhash)}
-SQL = {"op1_line_dedup": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_source_mixing": OP5_SQL, "op8_quality_rules": OP8_SQL}
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every text without the strings that earlier documents have."""
+    left = remove_repeats(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op5_source_mixing, op8_quality_rules, op9_simhash, op10_suffix_dedup)}
+SQL = {"op1_line_dedup": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_source_mixing": OP5_SQL, "op8_quality_rules": OP8_SQL}
\ No newline at end of file
