@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lendgrid.llm.decontaminate import find_leaks
 from lendgrid.llm.frames import scratch_path
+from lendgrid.llm.license_scan import scan_licenses
 from lendgrid.llm.line_dedup import drop_boilerplate
 from lendgrid.llm.mixing import mix_sources
+from lendgrid.llm.ordinal_quality import score_quality, train_quality
 from lendgrid.llm.quality_rules import STOP_WORDS, apply_quality_rules
 from lendgrid.llm.simhash import near_duplicate_classes
 from lendgrid.llm.suffix_dedup import remove_repeats
+from lendgrid.llm.token_counts import Vocabulary, count_tokens
 from lendgrid.llm.warc_archive import read_archive, write_archive
 
 
+#: The folder of the public vocabulary files, and the one whose pieces and scores are used.
+TOKENIZERS, PIECES = "/opt/tokenizers", "piece_bpe_32k.model"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -58,6 +66,16 @@ FROM b
 """
 
 
+def op3_token_counts(spark: SparkSession, folder: str, vocabulary: str = f"{TOKENIZERS}/{PIECES}") -> DataFrame:
+    """Unigram piece count of every text."""
+    return count_tokens(table(spark, folder, "documents"), Vocabulary.read(vocabulary))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licenses that each text names."""
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that fill half the corpus's tokens by target weights."""
     return mix_sources(table(spark, folder, "documents"), counts=True).select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
@@ -98,6 +116,18 @@ FROM placed WHERE epochs + (start < rest)::INT > 0
 """
 
 
+def op6_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and tail probabilities of every text."""
+    docs = table(spark, folder, "documents")
+    model = train_quality(docs, table(spark, folder, "labels"))
+    return score_quality(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold a benchmark item, and the item."""
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The measures of every text and the verdict of the rules."""
     return apply_quality_rules(table(spark, folder, "documents").select("doc_id", "text")).select(
@@ -137,5 +167,5 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op5_source_mixing, op8_quality_rules, op9_simhash, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op3_token_counts, op4_license_scan, op5_source_mixing, op6_ordinal_quality, op7_decontamination, op8_quality_rules, op9_simhash, op10_suffix_dedup)}
 SQL = {"op1_line_dedup": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_source_mixing": OP5_SQL, "op8_quality_rules": OP8_SQL}
\ No newline at end of file

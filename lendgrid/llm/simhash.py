@@ -200,7 +200,11 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """
     known = docs.filter(F.col(f"`{doc_id}`").isNotNull())
     classes = near_duplicate_classes(known, doc_id, text)
-    (name,) = fresh(docs, "kept_id")
-    kept = written(classes.filter("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct(), "kept")
-    return docs.filter(F.col(f"`{doc_id}`").isNull()).unionByName(
-        known.join(kept, F.col(f"`{doc_id}`") == F.col(name), "left_semi").dropDuplicates([doc_id]))
+    name, several, goes = fresh(docs, "class_id", "several", "goes")
+    # only ids that go, or stand for several rows, are joined: few beside all rows, so the texts mostly stay where they are
+    marks = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("least"))
+    marks = marks.select(F.col("doc_id").alias(name), (F.col("n") > 1).alias(several), (F.col("least") != F.col("doc_id")).alias(goes))
+    marked = docs.join(written(marks.filter(F.col(several) | F.col(goes)), "duplicates"), F.col(f"`{doc_id}`") == F.col(name), "left")
+    left = marked.filter(F.col(name).isNull() | ~F.col(goes))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return left.filter(F.col(name).isNull()).select(*columns).unionByName(left.filter(F.col(several)).dropDuplicates([name]).select(*columns))
