@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lendgrid.llm.frames import fresh, slices
 from lendgrid.llm.words import Remembered
@@ -136,7 +136,6 @@ def score_quality(docs: DataFrame, model: OrdinalModel, text: str = "text", leas
     new = ("p_good", "p_clean", "expected_grade", "kept")
     sent = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
     base = docs.drop(*[c for c in docs.columns if c.lower() in new])
-    kept_schema = base.schema
     at = base.columns.index(text)
 
     def run(batches):
@@ -149,9 +148,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, text: str = "text", leas
             columns = [*part.columns, pa.array(tails[:, 0]), pa.array(tails[:, 1]), pa.array(expected), pa.array(tails[:, 1] >= least_tail)]
             yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *new])
 
-    schema = kept_schema
-    for name in new:
-        schema = schema.add(name, "boolean" if name == "kept" else "double")
+    schema = T.StructType([*base.schema.fields, *[T.StructField(name, T.BooleanType() if name == "kept" else T.DoubleType()) for name in new]])
     return base.mapInArrow(run, schema)
 
 
