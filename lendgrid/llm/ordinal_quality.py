@@ -16,7 +16,7 @@ from lendgrid.llm.words import Remembered
 
 SLOTS = 1 << 18
 #: Labelled rows that a fit takes at most: those with the smallest hash of their id. Scoring takes all rows.
-MAX_LABELLED = 8000
+MAX_LABELLED = 6000
 GRADES = 3
 ROUNDS = 150
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]")
@@ -105,7 +105,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     """Fit on at most ``max_labelled`` labelled documents, chosen by the hash of their id.
 
     ``labels`` has ``doc_id quality toxic``; rows without an id or a quality are left out. The chosen labels are few enough to be
-    sent to the texts; features are made where the texts are, and the driver gets only their numbers.
+    sent to the texts; features are made where the texts are, one task fits them, and the driver
+    gets the model.
     """
     rated = labels.select(F.col("doc_id").cast("long").alias("rated_id"), grade_of().alias("grade")).filter("rated_id IS NOT NULL AND grade IS NOT NULL")
     chosen = rated.orderBy(F.xxhash64("rated_id"), "rated_id", "grade").limit(max_labelled)
@@ -122,9 +123,26 @@ def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 
     made = sample.mapInArrow(extract, "doc_id long, grade int, slots binary, weights binary")
     # repeated documents or labels may bring more rows than labels
-    table = made.orderBy("doc_id", "grade", "slots").limit(max_labelled).collect()
-    rows = [(np.frombuffer(r["slots"], np.int32).astype(np.int64), np.frombuffer(r["weights"], np.float32).astype(np.float64)) for r in table]
-    return fit_ordinal(rows, np.array([r["grade"] for r in table], np.int64))
+    bounded = made.orderBy("doc_id", "grade", "slots").limit(max_labelled).repartition(1)
+
+    def fit(batches):
+        rows, grades = [], []
+        for batch in batches:
+            grades += batch.column(1).to_pylist()
+            rows += [(np.frombuffer(i, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64))
+                     for i, v in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        model = fit_ordinal(rows, np.array(grades, np.int64))
+        used = np.flatnonzero(model.weights).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (used, model.weights[used].astype(np.float32), model.thresholds)],
+                                         names=["slots", "weights", "thresholds"])
+
+    # one task fits the bounded sample; the driver gets the model alone
+    found = bounded.mapInArrow(fit, "slots binary, weights binary, thresholds binary").first()
+    if found is None:
+        return fit_ordinal([], np.empty(0, np.int64))
+    weights = np.zeros(SLOTS, np.float32)
+    weights[np.frombuffer(found["slots"], np.int32)] = np.frombuffer(found["weights"], np.float32)
+    return OrdinalModel(weights, np.frombuffer(found["thresholds"], np.float64))
 
 
 def score_quality(docs: DataFrame, model: OrdinalModel, text: str = "text", least_tail: float = 0.5) -> DataFrame:
