@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -144,29 +147,92 @@ class TreeSettings:
     extra: dict = field(default_factory=dict)
 
 
+#: Rounds without a better validation AUC after which boosting has ended (fixed value).
+PATIENCE = 50
+
+
 def fit_trees(train: DataFrame, columns: list[str], y: str = "TARGET", settings: TreeSettings = TreeSettings(),
-              validation: str | None = None) -> TreeScorer:
-    """Boosted trees. With ``validation`` (a boolean column) boosting stops when those rows gain no more."""
-    inputs = fit_tree_inputs(train, columns)
-    keep = [
-        F.col(y).cast("double").alias("label"),
-        _weight(y, {1: settings.positive_weight}).alias("weight"),
-        *([F.col(validation).alias("held_out")] if validation else []),
-    ]
-    vectors = inputs.vectors(train, keep).persist()
+              validation: str | None = None, patience: int = PATIENCE) -> TreeScorer:
+    """Boosted trees. With ``validation`` (a boolean column) the best number of rounds on those rows is kept.
+
+    Inputs and trees are fitted on the other rows. The AUC of every prefix of the ensemble is measured on the validation
+    rows; the search ends after ``patience`` rounds without a better one, and the model is the best prefix.
+    """
+    own = train.where(~F.col(validation)) if validation else train
+    inputs = fit_tree_inputs(own, columns)
+    keep = [F.col(y).cast("double").alias("label"), _weight(y, {1: settings.positive_weight}).alias("weight")]
+    vectors = inputs.vectors(own, keep).persist()
     booster = GBTClassifier(
         featuresCol="vector", labelCol="label", weightCol="weight", maxIter=settings.trees, maxDepth=settings.depth,
         stepSize=settings.step, subsamplingRate=settings.row_sample, featureSubsetStrategy=settings.column_sample,
         minInstancesPerNode=settings.min_child, seed=settings.seed, **settings.extra,
     )
-    if validation:
-        booster = booster.setValidationIndicatorCol("held_out")
     try:
-        return TreeScorer(inputs, booster.fit(vectors))
+        model = booster.fit(vectors)
+        if validation:
+            rounds = best_round(TreeScorer(inputs, model), train.where(validation), y, patience)
+            if rounds < model.getNumTrees:
+                # the seed fixes every round, so a shorter fit is the prefix of the longer one
+                model = booster.setMaxIter(rounds).fit(vectors)
+        return TreeScorer(inputs, model)
     finally:
         vectors.unpersist()
 
 
+def prefix_margins(scorer: TreeScorer, rows: DataFrame, keep: list[Column]) -> DataFrame:
+    """``keep`` and ``margins``: each row's score after the first, second, ... tree."""
+    trees: dict[int, dict[int, tuple]] = {}
+    for n in read_nodes(save_trees(scorer)).collect():  # the model, not the data
+        trees.setdefault(n["tree"], {})[n["node"]] = (n["left"], n["right"], n["feature"], n["threshold"], n["value"] * n["weight"])
+    tables = []
+    for t in sorted(trees):
+        size = max(trees[t]) + 1
+        table = np.array([trees[t].get(i, (-1, -1, 0, 0.0, 0.0)) for i in range(size)], dtype=float)
+        tables.append((table[:, 0].astype(int), table[:, 1].astype(int), table[:, 2].astype(int), table[:, 3], table[:, 4]))
+
+    def walk(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), len(tables)))
+        every = np.arange(len(x))
+        for t, (left, right, feature, threshold, value) in enumerate(tables):
+            node = np.zeros(len(x), dtype=int)
+            while np.any(inner := left[node] >= 0):
+                goes_left = x[every, np.maximum(feature[node], 0)] <= threshold[node]
+                node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
+            out[:, t] = value[node]
+        return out.cumsum(axis=1)
+
+    @F.pandas_udf("array<double>")
+    def margins(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            x = np.array(part.tolist(), dtype=float).reshape(len(part), -1)
+            yield pd.Series([m for at in range(0, len(x), 1024) for m in walk(x[at:at + 1024]).tolist()])
+
+    vectors = scorer.inputs.vectors(rows, keep)
+    return vectors.withColumn("margins", margins(vector_to_array("vector"))).drop("vector")
+
+
+def best_round(scorer: TreeScorer, held: DataFrame, y: str = "TARGET", patience: int = PATIENCE) -> int:
+    """The number of trees with the highest AUC on ``held``, the first one of equals.
+
+    Rounds are taken ``patience`` at a time, so that no more of them are ranked than the search needs. Without both
+    classes in ``held`` all trees stay.
+    """
+    scored = prefix_margins(scorer, held, [F.col(y).cast("int").alias("y")]).persist()
+    best, best_auc, total = 0, -1.0, scorer.tree_count
+    try:
+        for start in range(0, total, patience):
+            rounds = scored.select("y", F.posexplode(F.slice("margins", start + 1, patience)).alias("at", "p"))
+            for r in ranking_metrics(rounds, keys=("at",)).select("at", "roc_auc").orderBy("at").collect():
+                at = start + r["at"] + 1
+                if at - best > patience and best:
+                    return best
+                if r["roc_auc"] is not None and r["roc_auc"] > best_auc + 1e-12:
+                    best, best_auc = at, r["roc_auc"]
+    finally:
+        scored.unpersist()
+    return best or total
+
+
 def cross_validate(df: DataFrame, columns: list[str], y: str = "TARGET", id_col: str = "SK_ID_CURR", folds: int = 5,
                    settings: TreeSettings = TreeSettings()) -> DataFrame:
     """Metrics per fold and the number of trees each fold kept.

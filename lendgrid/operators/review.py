@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendgrid.functions import defaults as d
 from lendgrid.functions.texts import float_text, strip_blank
 from lendgrid.operators.batches import apply_in_batches
-from lendgrid.operators.fusion import parse_reply, require
+from lendgrid.operators.fusion import parse_reply
 from lendgrid.session import cut_lineage
 
 CITATION = "struct<doc_title:string,chunk_id:string,snippet:string>"
@@ -106,8 +106,10 @@ def _draft_and_judge(rows: DataFrame, draft: Model, judge: Model) -> DataFrame:
         "_ask", F.concat(F.lit("Contexto:\n"), judge_context(), F.lit("\n\nMemo:\n"), F.col("memo"))
     )
     replied = cut_lineage(apply_in_batches(asked, "_ask", judge, "_reply", "string"))
-    verdict = require(parse_verdict(F.col("_reply")), "the judge's reply is no verdict")
-    judged = replied.withColumn("_v", verdict).select(*rows.columns, "memo", "_v.approved", "_v.feedback")
+    # a malformed reply approves nothing; it is kept as the feedback, and a second one sends the memo to a person
+    judged = replied.withColumn("_v", parse_verdict(F.col("_reply"))).select(
+        *rows.columns, "memo", F.coalesce("_v.approved", F.lit(False)).alias("approved"), F.coalesce("_v.feedback", "_reply").alias("feedback")
+    )
     return failed.unionByName(judged)
 
 

@@ -80,7 +80,7 @@ class Centres:
 
 
 def fit_kmeans(vectors: DataFrame, columns: tuple[str, ...], k: int = SEGMENT_COUNT, seed: int = SEED, restarts: int = 10,
-               iterations: int = 50) -> Centres:
+               iterations: int = 300) -> Centres:
     """Best of several seeded fits by inertia. ``vectors`` should be cached by the caller."""
     best = None
     for restart in range(restarts):

@@ -42,6 +42,6 @@ def train_full_model(features: DataFrame, columns: list[str] | None = None, sett
     first = fit_trees(split.where("NOT is_holdout"), columns, settings=settings)
     metrics = ranking_metrics(first.score(split.where("is_holdout")), y="TARGET").first().asDict()
     final = fit_trees(train, columns, settings=settings)
-    # scores feed the threshold and every later lookup, so they are written once
-    scored = cut_lineage(final.score(train).withColumn("y", F.col("TARGET").cast("int")))
+    # scores feed the threshold and every later lookup, so they are written once; only what those need
+    scored = cut_lineage(final.score(train).select("SK_ID_CURR", "IS_TRAIN", "TARGET", "p", F.col("TARGET").cast("int").alias("y")))
     return Bundle(final, tuple(columns), scored, rate_matched_threshold(scored), metrics)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lendgrid.functions.nullsafe import nan_to_null
+
 
 # declared, so that building a plan reads no file footers
 GIVEN = {
@@ -27,7 +29,7 @@ GIVEN = {
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(GIVEN[name]).parquet(f"{folder}/{name}.parquet")
+    return nan_to_null(spark.read.schema(GIVEN[name]).parquet(f"{folder}/{name}.parquet"))
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,7 +44,7 @@ def scan_csv(spark: SparkSession, folder: str, name: str, columns: list[str] | N
 
 
 def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    df = nan_to_null(spark.read.parquet(path))
     return df.select(*columns) if columns else df
 
 

@@ -196,3 +196,8 @@ def test_store_and_runs(spark, tmp_path):
     tables.append_run(spark, runs, "two", {}, {"cv_auc_mean": 0.5, "cv_auc_std": 0.1})
     rows = {(r.run, r.kind, r.key): r.value for r in tables.read_runs(spark, runs).collect()}
     assert rows[("one", "param", "depth")] == "5" and rows[("two", "metric", "cv_auc_std")] == "0.1" and len(rows) == 4
+
+
+def test_parquet_scan_turns_nan_into_null(spark, tmp_path):
+    spark.createDataFrame([(1, float("nan")), (2, 3.0)], "id int, x double").write.parquet(f"{tmp_path}/t")
+    assert {r["id"]: r["x"] for r in tables.scan_parquet(spark, f"{tmp_path}/t").collect()} == {1: None, 2: 3.0}

@@ -79,9 +79,13 @@ def test_review_of_a_batch(spark):
     assert rv.first_try_rate(reviews).first().first_try_rate == 0.25
 
 
-def test_malformed_judge_reply_is_an_error(spark):
-    with pytest.raises(Exception, match="no verdict"):
-        rv.review_batch(evidence(spark), lambda p: ["m"] * len(p), lambda p: ["?"] * len(p)).collect()
+def test_malformed_judge_reply_goes_to_a_person(spark):
+    def judge(prompts):
+        return ["?" if '"sk_id_curr":2' in p else json.dumps({"approved": True, "feedback": "f"}) for p in prompts]
+
+    rows = {r.sk_id_curr: r for r in rv.review_batch(evidence(spark), lambda p: ["m"] * len(p), judge).collect()}
+    assert (rows[2].status, rows[2].evaluator_feedback) == ("needs_human_review", "?")
+    assert rows[1].status == "approved"
 
 
 def test_usage(spark):

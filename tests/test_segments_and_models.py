@@ -176,6 +176,24 @@ def test_early_stopping_and_importance(cases, trees):
     assert [r.gain for r in top] == pytest.approx(list(expected))
 
 
+def test_early_stopping_keeps_the_best_prefix(cases):
+    train = cases.where("IS_TRAIN = 1").withColumn("held", F.col("SK_ID_CURR") % 4 == 0)
+    settings = mo.TreeSettings(trees=30, depth=3, step=0.03, min_child=1)
+    whole = mo.fit_trees(train.where("NOT held"), COLUMNS, settings=settings)
+    held = train.where("held")
+    rows = mo.prefix_margins(whole, held, [F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y")]).toPandas()
+    margins = np.array(rows["margins"].tolist())
+    p = {r.SK_ID_CURR: r.p for r in whole.score(held).collect()}
+    assert [p[i] for i in rows["id"]] == pytest.approx(list(1 / (1 + np.exp(-2 * margins[:, -1]))))
+    y = rows["y"].to_numpy()
+    aucs = [np.mean([(a > b) + (a == b) / 2 for a in m[y == 1] for b in m[y == 0]]) for m in margins.T]
+    expected = int(np.argmax(np.round(aucs, 12))) + 1
+    assert mo.best_round(whole, held) == expected
+    stopped = mo.fit_trees(train, COLUMNS, settings=settings, validation="held")
+    assert stopped.tree_count == expected
+    assert mo.best_round(whole, held, patience=3) <= expected
+
+
 def test_cross_validation(cases):
     folds = mo.cross_validate(cases.where("IS_TRAIN = 1"), COLUMNS, folds=2, settings=mo.TreeSettings(trees=3, depth=2, step=0.5))
     rows = folds.collect()
