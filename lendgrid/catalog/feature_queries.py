@@ -33,6 +33,27 @@ def _features(spark, d):
     return build_feature_table(proxy.credit_tables(spark, d))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark, d, name, make):
+    """A derived table, built once per session and folder and then scanned, so that queries read only their columns of it."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _STORED:
+        path = _scratch(spark, name)
+        tables.write_table(make(spark, d), path, ("IS_TRAIN",))
+        _STORED[key] = path
+    return tables.scan_parquet(spark, _STORED[key])
+
+
+def stored_joined(spark, d):
+    return stored(spark, d, "joined", _joined)
+
+
+def stored_features(spark, d):
+    return stored(spark, d, "features", _features)
+
+
 BUREAU_COLUMNS = ("SK_ID_CURR", "SK_ID_BUREAU", "CREDIT_ACTIVE")
 BUREAU_AMOUNTS = ("AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_OVERDUE", "AMT_ANNUITY")
 
@@ -299,7 +320,7 @@ DESCRIBED = ("DAYS_EMPLOYED", "credit_to_income", "annuity_to_income", "credit_t
     ("joined",), ("column", "count"), ("mean", "std", "min", "q25", "q50", "q75", "max"), 4,
 )
 def p5_describe(spark, d):
-    return pr.describe(_joined(spark, d), list(DESCRIBED))
+    return pr.describe(stored_joined(spark, d), list(DESCRIBED))
 
 
 CORRELATED = (
@@ -314,7 +335,7 @@ _CORR_SQL = " UNION ALL ".join(
 
 @register("p6_target_correlations", _CORR_SQL, ("joined",), ("feature",), ("corr",))
 def p6_target_correlations(spark, d):
-    return pr.target_correlations(_joined(spark, d).where("IS_TRAIN = 1"), list(CORRELATED))
+    return pr.target_correlations(stored_joined(spark, d).where("IS_TRAIN = 1"), list(CORRELATED))
 
 
 @register(
@@ -364,7 +385,7 @@ def p8_table_inventory(spark, d):
     ("joined",), ("flag", "n_without"), ("share_without",),
 )
 def p9_coverage(spark, d):
-    return pr.missing_record_counts(_joined(spark, d), NO_RECORD)
+    return pr.missing_record_counts(stored_joined(spark, d), NO_RECORD)
 
 
 @register(
@@ -373,7 +394,7 @@ def p9_coverage(spark, d):
     ("joined",), ("flag",), ("share",),
 )
 def p9_flag_shares(spark, d):
-    return pr.flag_shares(_joined(spark, d), list(FLAGS))
+    return pr.flag_shares(stored_joined(spark, d), list(FLAGS))
 
 
 @register(
@@ -444,5 +465,5 @@ def p12_split_summary(spark, d):
     ("joined",), ("feature", "rank"), ("corr",),
 )
 def p13_correlation_ranking(spark, d):
-    joined = _joined(spark, d).where("IS_TRAIN = 1")
+    joined = stored_joined(spark, d).where("IS_TRAIN = 1")
     return pr.correlation_ranking(pr.target_correlations(joined, list(CORRELATED)))

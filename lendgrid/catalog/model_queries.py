@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from lendgrid.catalog.feature_queries import _application, _features, _scratch
+from lendgrid.catalog.feature_queries import _application, _scratch, stored_features
 from lendgrid.catalog.registry import register
 from lendgrid.catalog.views import LINEAR_INPUTS
 from lendgrid.functions import defaults
@@ -24,10 +24,8 @@ SMALL_TREES = mo.TreeSettings(trees=6, depth=3)
 
 
 def _training_table(spark, d):
-    """The feature table, written once: a fit scans its input many times."""
-    path = _scratch(spark, "training")
-    tables.write_table(_features(spark, d), path, ("IS_TRAIN",))
-    return tables.scan_parquet(spark, path)
+    """The feature table, written once a session: a fit scans its input many times."""
+    return stored_features(spark, d)
 
 
 # segmentation
@@ -102,7 +100,7 @@ def c5_assign_clusters(spark, d):
 
 @register("c6_build_segments")
 def c6_build_segments(spark, d):
-    return sg.build_segments(_training_table(spark, d), restarts=3)
+    return sg.build_segments(_training_table(spark, d))
 
 
 @register(
@@ -111,7 +109,7 @@ def c6_build_segments(spark, d):
 )
 def c6_segment_keys(spark, d):
     """Every applicant, labelled or not, has one of the five segments."""
-    segments = sg.build_segments(_training_table(spark, d), restarts=1)
+    segments = sg.build_segments(_training_table(spark, d))
     return segments.withColumn("assigned", F.col("cluster").between(0, defaults.SEGMENT_COUNT - 1))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lendgrid.catalog.feature_queries import _features, _scratch
+from lendgrid.catalog.feature_queries import stored_features, _scratch
 from lendgrid.catalog.model_queries import NAMES, _REASONS_SQL, _linear_scorer
 from lendgrid.catalog.registry import register
 from lendgrid.catalog.views import LETTERS, psi_sql
@@ -585,7 +585,7 @@ _FEATURE_PSI = psi_sql("features", "(IS_TRAIN = 1)", DRIFT_BINNED, DRIFT_BY_VALU
 
 
 def _feature_psi(spark, d):
-    return dr.stability_index(_features(spark, d), [*DRIFT_BINNED, *DRIFT_BY_VALUE], F.col("IS_TRAIN") == 1)
+    return dr.stability_index(stored_features(spark, d), [*DRIFT_BINNED, *DRIFT_BY_VALUE], F.col("IS_TRAIN") == 1)
 
 
 @register("d1_feature_drift", _FEATURE_PSI, ("features",), ("column",), ("psi",))
