@@ -60,7 +60,7 @@ class PieceCounter:
             matches[end].append(match)
         for end in range(n):
             top, single = None, False
-            for length, s in sorted(matches[end], key=lambda m: -m[0]):
+            for length, s in matches[end]:  # the matcher gives longer ones first
                 start = end + 1 - length
                 single |= length == 1
                 if top is None or score[start] + s > top:
@@ -94,6 +94,18 @@ class PieceCounter:
         return pieces, score
 
 
+_COUNTERS: dict[int, PieceCounter] = {}
+
+
+def _counter(pieces: list[tuple[str, float]], bytes_known: bool) -> PieceCounter:
+    """A worker's counter, kept from task to task for the vocabulary used last, with the words that it remembers."""
+    key = hash((tuple(pieces), bytes_known))
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = PieceCounter(Vocabulary(pieces, bytes_known))
+    return _COUNTERS[key]
+
+
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``score`` of each row's whole text; a missing or empty text has 0 and 0.
 
@@ -103,7 +115,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id"
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, vocabulary.bytes_known))
 
     def run(batches):
-        counter = PieceCounter(Vocabulary(*sent.value))
+        counter = _counter(*sent.value)
         for part in slices(batches, "text", 4 << 20):
             found = [counter.count(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
