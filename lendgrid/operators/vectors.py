@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 QUERY_BLOCK_NUMBERS = 4_000_000  # queries x dimensions that travel with the tasks
 VECTOR_BLOCK_ROWS = 50_000
+TILE_ROWS, TILE_QUERIES = 8192, 512  # scores held at once in a task
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
@@ -24,22 +25,31 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
+def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The best ``k`` rows per query; equal scores by id."""
+    ranked = found.sort_values(["query_id", "score", "item_id"], ascending=[True, False, True])
+    return ranked.groupby("query_id", dropna=False).head(k)
+
+
 def _block_top(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
-    """Best ``k`` rows of one block per query; equal scores by id."""
-    scores = np.round(_unit(x) @ _unit(q).T, 9)
+    """Best ``k`` rows of one block per query. Scores are computed tile by tile, whatever the block and the queries."""
     parts = []
-    for j in range(len(query_ids)):
-        order = np.lexsort((ids, -scores[:, j]))[:k]
-        parts.append(pd.DataFrame({"query_id": query_ids[j], "item_id": ids[order], "score": scores[order, j]}))
-    return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "item_id": [], "score": []})
+    for at in range(0, len(query_ids), TILE_QUERIES):
+        asked = _unit(q[at:at + TILE_QUERIES]).T
+        for row in range(0, len(x), TILE_ROWS):
+            own = ids[row:row + TILE_ROWS]
+            scores = np.round(_unit(x[row:row + TILE_ROWS]) @ asked, 9)
+            for j in range(asked.shape[1]):
+                order = np.lexsort((own, -scores[:, j]))[:k]
+                parts.append(pd.DataFrame({"query_id": query_ids[at + j], "item_id": own[order], "score": scores[order, j]}))
+    return _best(pd.concat(parts), k) if parts else pd.DataFrame({"query_id": [], "item_id": [], "score": []})
 
 
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, broadcast_numbers: int = QUERY_BLOCK_NUMBERS) -> DataFrame:
     """``(query_id, item_id, rank, score)``: the ``k`` nearest items of every query, exactly.
 
     ``vectors`` has (item_id, vector), ``queries`` (query_id, vector). Each
-    block of vectors keeps its own best ``k`` per query, so pairs never leave a
-    task. A query set of checked size travels to the vectors; a larger one
+    task keeps a running best ``k`` per query, so pairs never leave it. A query set of checked size travels to the vectors; a larger one
     meets them block by block.
     """
     kinds = dict(vectors.dtypes), dict(queries.dtypes)
@@ -60,10 +70,14 @@ def _beside(vectors: DataFrame, queries: DataFrame, k: int, schema: str) -> Data
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         query_ids, q = shared.value
+        best = None
         for batch in batches:
             if len(batch) and len(query_ids):
                 x = np.stack(batch["vector"].to_numpy()).astype(np.float64)
-                yield _block_top(batch["item_id"].to_numpy(), x, query_ids, q, k)
+                top = _block_top(batch["item_id"].to_numpy(), x, query_ids, q, k)
+                best = top if best is None else _best(pd.concat([best, top]), k)
+        if best is not None:
+            yield best
 
     return vectors.select("item_id", "vector").mapInPandas(scan, schema)
 

@@ -231,3 +231,13 @@ def test_retrieve_end_to_end(spark):
     qvec = apply_in_batches(asked, "query", letters, "vector", "array<double>").select("query_id", "vector")
     rows = retrieve(asked, qvec, vec, kw.build_index(chunks), top_k=2).collect()
     assert {r.query_id: r.chunk_id for r in rows if r["rank"] == 1} == {1: "doc-2::0", 2: "doc-1::0"} and len(rows) == 4
+
+
+def test_tiles_give_the_same_top_rows(monkeypatch):
+    rng = np.random.default_rng(5)
+    x, q = rng.integers(-2, 3, (60, 3)).astype(float), rng.integers(-2, 3, (9, 3)).astype(float)  # many equal scores
+    whole = ve._block_top(np.arange(60), x, np.arange(9), q, 4)
+    monkeypatch.setattr(ve, "TILE_ROWS", 7)
+    monkeypatch.setattr(ve, "TILE_QUERIES", 2)
+    tiled = ve._block_top(np.arange(60), x, np.arange(9), q, 4)
+    assert whole.reset_index(drop=True).equals(tiled.reset_index(drop=True))
