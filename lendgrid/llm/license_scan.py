@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendgrid.llm.frames import slices
-from lendgrid.llm.words import number_texts, plain_words, word_numbers
+from lendgrid.llm.words import number_texts, plain_words
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -68,13 +68,12 @@ class _Templates:
         self.names = [name for name, _ in templates]
         self.words = [plain_words(text) for _, text in templates]
         self.shingles = [set(shingles(w)) for w in self.words]
-        numbers = word_numbers()
         # templates of fewer than SHINGLE words are looked up by their own length
         self.classes: dict[tuple[int, int], list[tuple[int, list[int]]]] = {}
         for t, words in enumerate(self.words):
             if words:
                 width = min(SHINGLE, len(words))
-                flat, ends = number_texts([" ".join(words)], numbers)
+                flat, ends = number_texts(pa.array([" ".join(words)], pa.string()))
                 own = _shingle_numbers(flat, ends, width)
                 own = own[own != _NEVER]
                 self.classes.setdefault((width, len(own)), []).append((t, [int(_rank(own, b).min()) for b in range(BANDS)]))
@@ -93,10 +92,10 @@ def _window_minima(ranks: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]
 
 
 def _scan(batches, templates):
-    known, numbers = _Templates(templates), word_numbers()
+    known = _Templates(templates)
     for part in slices(batches, "text", 2 << 20):
         ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-        flat, ends = number_texts(texts, numbers)
+        flat, ends = number_texts(part.column(1))
         candidates: dict[tuple[int, int], set[int]] = {}
         for width in sorted({w for w, _ in known.classes}):
             values = _shingle_numbers(flat, ends, width)

@@ -6,6 +6,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from lendgrid.llm.ordinal_quality import GRADES, OrdinalModel, fit_ordinal, keep
 from lendgrid.llm.quality_rules import apply_quality_rules
 from lendgrid.llm.suffix_dedup import equal_classes, remove_repeats
 from lendgrid.llm.token_counts import PieceCounter, Vocabulary, count_tokens
-from lendgrid.llm.words import plain_words
+from lendgrid.llm.words import number_texts, number_words, plain_words
 from sql_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -243,10 +244,9 @@ def test_leaks_and_recall(spark):
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(table(spark, texts), benchmark).collect()}
     # brute force: every window of every text against every passage
     passages = decontaminate.cut_items([(i, t, None) for i, t in enumerate(items)])
-    numbers = decontaminate.word_numbers()
     expected = set()
     for d, text in enumerate(texts):
-        words = [numbers[w] for w in plain_words(text or "")]
+        words = number_words(plain_words(text or ""))
         for item, pattern, answer in zip(passages.items, passages.words, passages.answers):
             if len(set(pattern) & set(words)) >= 0.6 * len(set(pattern)):
                 for a in range(0, max(1, len(words)), 4):
@@ -440,3 +440,16 @@ def test_pipeline(spark):
     assert len(ids) == len(set(ids)) > 20
     junk = spark.read.parquet(f"{FOLDER}/labels.parquet").filter("quality = 0")
     assert not {r["doc_id"] for r in junk.collect()} & set(ids)
+
+
+def test_word_numbers():
+    long = "w" * 70
+    texts = ["", None, "  The END, (of) it! ", "... !!", f"ÉTÉ\u00a0straße\u2003{long} {long}x\tof 12345678 123456789", "the end"]
+    flat, ends = number_texts(pa.array(["cut off", *texts], pa.string()).slice(1))
+    own = [[w for w in (x.strip(".,!()") for x in (t or "").lower().split()) if w] for t in texts]
+    assert [plain_words(t or "") for t in texts] == own
+    assert ends.tolist() == np.cumsum([len(w) for w in own]).tolist()
+    words = [w for part in own for w in part]
+    assert flat.tolist() == number_words(words) and 0 not in flat
+    assert len(set(flat.tolist())) == len(set(words))
+    assert number_texts(pa.array([], pa.string()))[0].size == 0
