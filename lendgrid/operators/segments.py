@@ -123,10 +123,10 @@ def build_segments(features: DataFrame, k: int = SEGMENT_COUNT, seed: int = SEED
 
 
 def sweep_k(standard: DataFrame, columns: tuple[str, ...], id_col: str, ks=range(2, 9), seed: int = SEED, restarts: int = 10,
-            sample: int = 10_000) -> DataFrame:
-    """Inertia on all rows and squared-Euclidean silhouette on a seeded sample, per k."""
+            sample: int | None = None) -> DataFrame:
+    """Inertia and squared-Euclidean silhouette per k, on all rows; ``sample`` takes the silhouette on so many seeded ones."""
     vectors = with_vector(standard, columns).select(id_col, "vector", *columns).persist()
-    drawn = sample_rows(vectors, id_col, sample, seed).persist()
+    drawn = vectors if sample is None else sample_rows(vectors, id_col, sample, seed).persist()
     evaluator = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster")
     rows = []
     try:
@@ -171,8 +171,8 @@ def cluster_shares(segments: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("IS_TRAIN")))
 
 
-def project_2d(standard: DataFrame, columns: tuple[str, ...], id_col: str, sample: int = 15_000, seed: int = SEED) -> tuple[DataFrame, list[float]]:
-    """Two principal components of a seeded sample, and the variance they explain.
+def project_2d(standard: DataFrame, columns: tuple[str, ...], id_col: str, sample: int | None = None, seed: int = SEED) -> tuple[DataFrame, list[float]]:
+    """Two principal components of all rows, or of ``sample`` seeded ones, and the variance they explain.
 
     The fit uses all rows. A component points where its largest loading is positive.
     """
@@ -180,7 +180,7 @@ def project_2d(standard: DataFrame, columns: tuple[str, ...], id_col: str, sampl
     model = PCA(k=2, inputCol="vector", outputCol="pc").fit(vectors)
     loadings = model.pc.toArray()
     signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
-    drawn = sample_rows(vectors, id_col, sample, seed)
+    drawn = vectors if sample is None else sample_rows(vectors, id_col, sample, seed)
     pc = vector_to_array("pc")
     out = model.transform(drawn).select(
         id_col, (pc[0] * signs[0]).alias("PC1"), (pc[1] * signs[1]).alias("PC2")

@@ -17,7 +17,7 @@ def split_title(raw: Column) -> tuple[Column, Column]:
 
 
 def scan_corpus(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
-    """``doc_id, title, text`` of every matching file; the id is the file name without its ending."""
+    """``doc_id, title, text`` of every matching file, in no order; the id is the file name without its ending."""
     raw = (
         spark.read.option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
@@ -25,4 +25,4 @@ def scan_corpus(spark: SparkSession, folder: str, pattern: str = "*.md") -> Data
     )
     title, body = split_title(F.col("value"))
     doc_id = F.regexp_replace("file", r"\.[^.]*$", "")
-    return raw.select(doc_id.alias("doc_id"), title.alias("title"), body.alias("text")).orderBy("doc_id")
+    return raw.select(doc_id.alias("doc_id"), title.alias("title"), body.alias("text"))

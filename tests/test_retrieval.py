@@ -56,7 +56,7 @@ def test_corpus(spark, tmp_path):
     (tmp_path / "b.md").write_text("# Second title\n\nbody two\nmore\n")
     (tmp_path / "a.md").write_text("\n## First\nbody one")
     (tmp_path / "c.txt").write_text("# Not me\n\nx")
-    rows = [tuple(r) for r in scan_corpus(spark, str(tmp_path)).collect()]
+    rows = sorted(tuple(r) for r in scan_corpus(spark, str(tmp_path)).collect())
     assert rows == [("a", "First", "body one"), ("b", "Second title", "body two\nmore")]
 
 

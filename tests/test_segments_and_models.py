@@ -73,6 +73,7 @@ def test_projection(people):
     points, explained = sg.project_2d(standard, scaling.columns, "SK_ID_CURR", sample=20)
     x = np.array([[r[c] for c in scaling.columns] for r in standard.collect()])
     share = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    assert sg.project_2d(standard, scaling.columns, "SK_ID_CURR")[0].count() == len(x)
     assert points.count() == 20 and explained == pytest.approx(list(share[:2] / share.sum()), rel=1e-6)
 
 
