@@ -314,7 +314,7 @@ def _train(spark, d):
 def m4_baseline(spark, d):
     train = _train(spark, d)
     split = sp.stratified_holdout(train, "SK_ID_CURR", "TARGET")
-    scorer = mo.fit_baseline(split.where("NOT is_holdout"), MODEL_COLUMNS, iterations=100)
+    scorer = mo.fit_baseline(split.where("NOT is_holdout"), mo.feature_columns(train))
     return sc.ranking_metrics(scorer.score(split.where("is_holdout")), y="TARGET")
 
 

@@ -69,7 +69,8 @@ def fit_baseline(train: DataFrame, columns: list[str], y: str = "TARGET", iterat
     weights = balanced_weights(train, y)
     rows = train.select(
         F.col(y).cast("double").alias("label"), _weight(y, weights).alias("weight"),
-        *[scaling.standard(c).alias(f"f{i}") for i, c in enumerate(columns)],
+        # what rounding leaves of a constant column would be scaled up by the fit, and its line search fail
+        *[(scaling.standard(c) if scaling.deviations[c] else F.lit(0.0)).alias(f"f{i}") for i, c in enumerate(columns)],
     )
     vectors = VectorAssembler(inputCols=[f"f{i}" for i in range(len(columns))], outputCol="vector").transform(rows)
     # the inputs are standardised already; C=1 of a summed loss is 1/n of an averaged one

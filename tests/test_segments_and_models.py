@@ -289,3 +289,10 @@ def test_counterfactuals_flip_complete_cases(cases):
     assert all(r.SK_ID_CURR % 7 for r in out) and max(r["rank"] for r in out) <= 3
     mine = sorted([r for r in out if r.SK_ID_CURR == out[0].SK_ID_CURR], key=lambda r: r["rank"])
     assert [r.distance for r in mine] == sorted(r.distance for r in mine)
+
+
+def test_baseline_learns_beside_a_constant_column(spark):
+    rows = [(i, i % 2, 0.1, 3.0 * (i % 2) + (i * 37 % 11) / 5) for i in range(121)]
+    df = spark.createDataFrame(rows, "id long, TARGET int, same double, x double")
+    scorer = mo.fit_baseline(df, ["same", "x"])
+    assert scorer.coefficients[0] == 0 and scorer.coefficients[1] > 1
