@@ -201,6 +201,17 @@ def test_classifier_on_held_out_labels(spark):
     assert kept[1, 0] > 0.98 and kept[0, 0] < 0.05 and kept[1, 1] < 0.5
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are not here")
+@pytest.mark.parametrize("part", range(4))
+def test_classifier_drops_toxic_held_out_rows(spark, part):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = train_quality(docs, labels.filter(f"doc_id % 4 <> {part}"))
+    held = score_quality(docs.filter(f"doc_id % 4 = {part}"), model).join(labels, "doc_id").filter("quality = 1")
+    kept = {r["toxic"]: r["share"] for r in held.groupBy("toxic").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    print(f"part {part}: kept toxic {kept[1]:.4f}, kept clean {kept[0]:.4f}")
+    assert kept[1] < 0.2 and kept[0] > 0.975
+
+
 def test_ordinal_model():
     rng = np.random.default_rng(2)
     grades = np.array([k % GRADES for k in range(90)])
