@@ -18,9 +18,7 @@ from lendgrid.plans.training import train_full_model
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.score_log import append_log, log_entries, read_log
 
-# small settings, so that every registered fit ends in seconds; the defaults are the full ones
-SMALL_TREES = mo.TreeSettings(trees=6, depth=3)
-
+_FITTED: dict[tuple[str, str], mo.TreeScorer] = {}
 
 
 def _training_table(spark, d):
@@ -298,6 +296,7 @@ def m20_population_summary(spark, d):
 
 # fitted models (checked by properties in the tests)
 
+#: The columns whose missing values x12 counts and imputes; models take all columns.
 MODEL_COLUMNS = [
     "AMT_CREDIT", "AMT_INCOME_TOTAL", "AMT_ANNUITY", "AMT_GOODS_PRICE", "DAYS_EMPLOYED", "DAYS_BIRTH", "credit_to_income",
     "annuity_to_income", "credit_to_goods", "bureau_debt_mean", "bureau_active_count", "prev_credit_mean",
@@ -310,6 +309,19 @@ def _train(spark, d):
     return _training_table(spark, d).where("IS_TRAIN = 1")
 
 
+def _trees(spark, d):
+    """Boosted trees with the full settings on all columns and labelled rows, fitted once a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        train = _train(spark, d)
+        _FITTED[key] = mo.fit_trees(train, mo.feature_columns(train))
+    return _FITTED[key]
+
+
+def _bundle(spark, d):
+    return train_full_model(_training_table(spark, d), final=_trees(spark, d))
+
+
 @register("m4_baseline")
 def m4_baseline(spark, d):
     train = _train(spark, d)
@@ -321,18 +333,18 @@ def m4_baseline(spark, d):
 @register("m5_boosted_trees")
 def m5_boosted_trees(spark, d):
     train = _train(spark, d)
-    scorer = mo.fit_trees(train, MODEL_COLUMNS, settings=SMALL_TREES)
-    return scorer.score(train).select("SK_ID_CURR", "TARGET", "p")
+    return _trees(spark, d).score(train).select("SK_ID_CURR", "TARGET", "p")
 
 
 @register("m6_early_stopping")
 def m6_early_stopping(spark, d):
-    split = sp.stratified_holdout(_train(spark, d), "SK_ID_CURR", "TARGET")
+    train = _train(spark, d)
+    split = sp.stratified_holdout(train, "SK_ID_CURR", "TARGET")
     ratio = mo.negative_to_positive(split.where("NOT is_holdout"))
     rows = []
     for label, weight in (("weighted", ratio), ("plain", 1.0)):
-        settings = mo.TreeSettings(trees=SMALL_TREES.trees, depth=SMALL_TREES.depth, positive_weight=weight)
-        scorer = mo.fit_trees(split, MODEL_COLUMNS, settings=settings, validation="is_holdout")
+        settings = mo.TreeSettings(positive_weight=weight)
+        scorer = mo.fit_trees(split, mo.feature_columns(train), settings=settings, validation="is_holdout")
         m = sc.ranking_metrics(scorer.score(split.where("is_holdout")), y="TARGET").first()
         rows.append((label, float(weight), scorer.tree_count, m["roc_auc"], m["brier"]))
     return spark.createDataFrame(rows, "model string, positive_weight double, trees int, roc_auc double, brier double")
@@ -340,8 +352,8 @@ def m6_early_stopping(spark, d):
 
 @register("m12_cross_validation")
 def m12_cross_validation(spark, d):
-    settings = mo.TreeSettings(trees=3, depth=3)
-    return mo.cross_validate(_train(spark, d), MODEL_COLUMNS, folds=5, settings=settings)
+    train = _train(spark, d)
+    return mo.cross_validate(train, mo.feature_columns(train), folds=5)
 
 
 @register("m13_tree_count",
@@ -356,13 +368,13 @@ def m13_tree_count(spark, d):
 
 @register("m14_gain_importance")
 def m14_gain_importance(spark, d):
-    scorer = mo.fit_trees(_train(spark, d), MODEL_COLUMNS, settings=SMALL_TREES)
+    scorer = _trees(spark, d)
     return mo.gain_importance(mo.read_nodes(mo.save_trees(scorer)), scorer.inputs.names)
 
 
 @register("m17_train_full_model")
 def m17_train_full_model(spark, d):
-    bundle = train_full_model(_training_table(spark, d), MODEL_COLUMNS, SMALL_TREES)
+    bundle = _bundle(spark, d)
     m = bundle.holdout_metrics
     return bundle.scored.select("SK_ID_CURR", "TARGET", "p").withColumns(
         {"threshold": F.lit(bundle.threshold), "holdout_auc": F.lit(m["roc_auc"])}
@@ -373,7 +385,7 @@ def m17_train_full_model(spark, d):
 def m19_batch_scoring(spark, d):
     """Unlabelled applicants, scored as one set, appended to the log and read back."""
     features = _training_table(spark, d)
-    bundle = train_full_model(features, MODEL_COLUMNS, SMALL_TREES)
+    bundle = _bundle(spark, d)
     path = _scratch(spark, "log")
     append_log(log_entries(bundle.score_unlabelled(features), "2024-01-31T00:00:00+00:00"), path)
     return read_log(spark, path)
@@ -549,7 +561,7 @@ def x11_explain_records(spark, d):
 @register("x1_tree_attributions")
 def x1_tree_attributions(spark, d):
     train = _train(spark, d)
-    scorer = mo.fit_trees(train, MODEL_COLUMNS, settings=SMALL_TREES)
+    scorer = _trees(spark, d)
     wide, base = at.tree_attributions(scorer, train, "SK_ID_CURR")
     return at.long_form(wide, scorer.inputs.names)
 
@@ -561,7 +573,7 @@ def x1_tree_attributions(spark, d):
 def x1_additivity(spark, d):
     """Every applicant's attributions add up to the margin behind the model's own probability."""
     train = _train(spark, d)
-    scorer = mo.fit_trees(train, MODEL_COLUMNS, settings=SMALL_TREES)
+    scorer = _trees(spark, d)
     wide, base = at.tree_attributions(scorer, train, "SK_ID_CURR")
     total = F.aggregate("contributions", F.lit(base), lambda a, v: a + v)
     scored = scorer.score(train).select(F.col("SK_ID_CURR").alias("id"), "p")
@@ -592,7 +604,7 @@ def x12_shift_summary(spark, d):
 
 def _shifts(spark, d):
     train = _train(spark, d)
-    scorer = mo.fit_trees(train, MODEL_COLUMNS, settings=SMALL_TREES)
+    scorer = _trees(spark, d)
     numeric = [c for c in MODEL_COLUMNS if dict(train.dtypes)[c] != "boolean"]
     medians = {c: q[0] for c, q in exact_quantiles(train, {c: [0.5] for c in numeric}).items() if q[0] is not None}
     scored = scorer.score(train.withColumn("n_missing", wi.missing_count(MODEL_COLUMNS)))

@@ -31,8 +31,9 @@ class Bundle:
         return score_records(self.scored, self.threshold, "SK_ID_CURR")
 
 
-def train_full_model(features: DataFrame, columns: list[str] | None = None, settings: TreeSettings = TreeSettings()) -> Bundle:
-    """Holdout metrics of a first fit, then a fit on all labelled rows.
+def train_full_model(features: DataFrame, columns: list[str] | None = None, settings: TreeSettings = TreeSettings(),
+                     final: TreeScorer | None = None) -> Bundle:
+    """Holdout metrics of a first fit, then a fit on all labelled rows; ``final`` is that fit, if there is one already.
 
     ``features`` should be a written table: the fits and the scoring scan it again.
     """
@@ -41,7 +42,7 @@ def train_full_model(features: DataFrame, columns: list[str] | None = None, sett
     split = stratified_holdout(train, "SK_ID_CURR", "TARGET")
     first = fit_trees(split.where("NOT is_holdout"), columns, settings=settings)
     metrics = ranking_metrics(first.score(split.where("is_holdout")), y="TARGET").first().asDict()
-    final = fit_trees(train, columns, settings=settings)
+    final = final or fit_trees(train, columns, settings=settings)
     # scores feed the threshold and every later lookup, so they are written once; only what those need
     scored = cut_lineage(final.score(train).select("SK_ID_CURR", "IS_TRAIN", "TARGET", "p", F.col("TARGET").cast("int").alias("y")))
     return Bundle(final, tuple(columns), scored, rate_matched_threshold(scored), metrics)

@@ -1,10 +1,12 @@
 import math
+import os
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lendgrid.catalog import QUERIES, model_queries
 from lendgrid.functions.defaults import SEGMENT_INPUTS
 from lendgrid.operators import attributions as at, models as mo, reasons as re_, scoring as sc, segments as sg, whatif as wi
 from lendgrid.plans.training import train_full_model
@@ -296,3 +298,22 @@ def test_baseline_learns_beside_a_constant_column(spark):
     df = spark.createDataFrame(rows, "id long, TARGET int, same double, x double")
     scorer = mo.fit_baseline(df, ["same", "x"])
     assert scorer.coefficients[0] == 0 and scorer.coefficients[1] > 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+@pytest.mark.parametrize("name", [
+    "m5_boosted_trees", "m6_early_stopping", "m12_cross_validation", "m14_gain_importance", "m17_train_full_model", "m19_batch_scoring",
+    "m19_logged_population", "x1_tree_attributions", "x1_additivity", "x12_imputation_shift", "x12_shift_summary"])
+def test_registered_trees_take_all_columns_and_settings(spark, monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def asked(train, columns, y="TARGET", settings=mo.TreeSettings(), **rest):
+        assert {*columns} == {*mo.feature_columns(train)} - {"is_holdout", "fold", "_held"} and len(columns) > 50
+        assert (settings.trees, settings.depth) == (1086, 5)
+        raise Asked
+
+    monkeypatch.setattr(mo, "fit_trees", asked)
+    monkeypatch.setattr(model_queries, "_FITTED", {})
+    with pytest.raises(Asked):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
