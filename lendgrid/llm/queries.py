@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendgrid.llm.decontaminate import find_leaks
+from lendgrid.llm.filter_audit import audit_filters, document_failures
 from lendgrid.llm.frames import scratch_path
+from lendgrid.llm.language_crf import detect_languages
 from lendgrid.llm.license_scan import scan_licenses
 from lendgrid.llm.line_dedup import drop_boilerplate
 from lendgrid.llm.mixing import mix_sources
 from lendgrid.llm.ordinal_quality import score_quality, train_quality
 from lendgrid.llm.quality_rules import STOP_WORDS, apply_quality_rules
 from lendgrid.llm.simhash import near_duplicate_classes
+from lendgrid.llm.spelling_variants import group_spellings, slipped_words
 from lendgrid.llm.suffix_dedup import remove_repeats
 from lendgrid.llm.token_counts import Vocabulary, count_tokens
 from lendgrid.llm.warc_archive import read_archive, write_archive
@@ -167,5 +170,66 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op3_token_counts, op4_license_scan, op5_source_mixing, op6_ordinal_quality, op7_decontamination, op8_quality_rules, op9_simhash, op10_suffix_dedup)}
-SQL = {"op1_line_dedup": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_source_mixing": OP5_SQL, "op8_quality_rules": OP8_SQL}
\ No newline at end of file
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of five filters removes at each step of each order, by source."""
+    return audit_filters(document_failures(table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (SELECT doc_id, part, coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), FALSE) AS e, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+  100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body) AS c, regexp_matches(body, '[#$%&*|]') AS d FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+o AS (SELECT '' AS filter_order, 0 AS used UNION ALL
+  SELECT filter_order || substr('ABCDE', i::INT + 1, 1), used | (1 << i::INT) FROM o, range(5) AS r(i) WHERE used & (1 << i::INT) = 0),
+s AS (SELECT filter_order, i::INT AS step, 1 << (instr('ABCDE', substr(filter_order, i::INT, 1)) - 1)::INT AS own,
+  list_sum(list_transform(range(1, i), lambda j: 1 << (instr('ABCDE', substr(filter_order, j::INT, 1)) - 1)::INT)) AS before
+  FROM o, range(1, 6) AS r(i) WHERE length(filter_order) = 5),
+x AS (SELECT part, filter_order, step, own, n, good, toxic, mask = own AS only_own, mask & own > 0 AS fails, mask & coalesce(before, 0)::INT > 0 AS gone FROM m, s),
+y AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (only_own), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM x GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM y
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word, the frequent word that it may be a spelling of, and the last one of such a chain."""
+    return group_spellings(slipped_words(table(spark, folder, "documents")))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+u AS (SELECT row_number() OVER () AS k, run, n, bytes, length(bytes) // 2 AS size FROM (SELECT run, count(*) AS n, hex(encode(id || ':' || run)) AS bytes FROM runs GROUP BY id, run) AS x),
+t AS (SELECT i AS b, list_reduce(list_prepend(i, range(8)), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i)),
+places AS (SELECT 0::BIGINT AS d, b, v FROM t UNION ALL
+  SELECT p.d + 1, p.b, xor(p.v >> 8, t.v) FROM places AS p JOIN t ON t.b = p.v & 255 WHERE p.d < (SELECT max(size) FROM u)),
+bytes AS (SELECT k, size - 1 - j AS d, xor(('0x' || substr(bytes, (2 * j + 1)::INT, 2))::BIGINT, CASE WHEN j < 4 THEN 255 ELSE 0 END) AS b FROM (SELECT *, unnest(range(size)) AS j FROM u) AS x),
+crc AS (SELECT k, xor(bit_xor(v), 4294967295) AS h FROM bytes JOIN places USING (d, b) GROUP BY k),
+slipped AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM u JOIN crc USING (k)),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w) AS x),
+near AS (SELECT a.word, b.word AS near FROM less AS a JOIN less AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, w.word FROM less AS l JOIN w ON l.rest = w.word UNION SELECT w.word, l.word FROM less AS l JOIN w ON l.rest = w.word),
+ranked AS (SELECT word, near, n, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS r, count(*) OVER (PARTITION BY word) AS n_near
+  FROM near JOIN (SELECT word AS near, n FROM w) AS x USING (near)),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN x.n >= 10 * w.n THEN near END AS form, CASE WHEN x.n >= 10 * w.n THEN x.n END AS form_n
+  FROM w LEFT JOIN (SELECT * FROM ranked WHERE r = 1) AS x USING (word)),
+chain AS (SELECT word, word AS root FROM formed UNION ALL SELECT c.word, f.form FROM chain AS c JOIN formed AS f ON c.root = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.root FROM chain AS c JOIN formed AS f ON c.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+
+def op13_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text."""
+    return detect_languages(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc_archive, op3_token_counts, op4_license_scan, op5_source_mixing, op6_ordinal_quality, op7_decontamination, op8_quality_rules,
+                                   op9_simhash, op10_suffix_dedup, op11_filter_audit, op12_spelling_variants, op13_language_crf)}
+SQL = {"op1_line_dedup": OP1_SQL, "op2_warc_archive": OP2_SQL, "op5_source_mixing": OP5_SQL, "op8_quality_rules": OP8_SQL, "op11_filter_audit": OP11_SQL, "op12_spelling_variants": OP12_SQL}

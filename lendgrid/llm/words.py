@@ -81,3 +81,19 @@ def number_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     numbers = _hashes(words) if len(words) else np.empty(0, np.uint64)
     there = numbers > 0
     return numbers[there], np.concatenate([[0], np.cumsum(there)])[begins[1:]]
+
+
+def letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all words one after the other, and where each word begins and the last one ends."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.empty(0, np.uint8)
+    if len(data) and data.max() >= 0xE0:  # code points of three bytes or more
+        flat = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return flat, np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64))])
+    lead = (data & 0xC0) != 0x80
+    at = np.concatenate([[0], np.cumsum(lead)])
+    flat = data[lead].astype(np.uint32)
+    two = np.flatnonzero(data >= 0xC0)
+    flat[at[two]] = ((data[two] & 0x1F).astype(np.uint32) << 6) | (data[two + 1] & 0x3F)
+    return flat, at[ends - ends[0]]
