@@ -369,7 +369,7 @@ def m13_tree_count(spark, d):
 @register("m14_gain_importance")
 def m14_gain_importance(spark, d):
     scorer = _trees(spark, d)
-    return mo.gain_importance(mo.read_nodes(mo.save_trees(scorer)), scorer.inputs.names)
+    return mo.gain_importance(mo.read_nodes(mo.save_trees(scorer)), scorer.names)
 
 
 @register("m17_train_full_model")
@@ -563,7 +563,7 @@ def x1_tree_attributions(spark, d):
     train = _train(spark, d)
     scorer = _trees(spark, d)
     wide, base = at.tree_attributions(scorer, train, "SK_ID_CURR")
-    return at.long_form(wide, scorer.inputs.names)
+    return at.long_form(wide, scorer.names)
 
 
 @register(
@@ -579,7 +579,7 @@ def x1_additivity(spark, d):
     scored = scorer.score(train).select(F.col("SK_ID_CURR").alias("id"), "p")
     return wide.join(scored, "id").select(
         "id", (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"),
-        (F.abs(1 / (1 + F.exp(-2 * total)) - F.col("p")) < 1e-9).alias("gives_probability"),
+        (F.abs(1 / (1 + F.exp(-total)) - F.col("p")) < 1e-9).alias("gives_probability"),
     )
 
 

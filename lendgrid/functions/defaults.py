@@ -45,8 +45,9 @@ TREE_COUNT = 1086
 TREE_DEPTH = 5
 LEARNING_RATE = 0.03
 ROW_SAMPLE = 0.8
-COLUMN_SAMPLE = "0.8"
+COLUMN_SAMPLE = 0.8
 MIN_CHILD = 20
+LEAF_PENALTY = 1.0
 
 # adverse-action wording
 REASON_TEXT = {

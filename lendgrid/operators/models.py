@@ -1,26 +1,24 @@
-"""Default models on Spark ML: a linear baseline and boosted trees."""
+"""Default models: a linear baseline on Spark ML and boosted trees."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendgrid.functions import defaults
+from lendgrid.operators.boosting import NODES, PATIENCE, Booster, TreeSettings, fit_booster, margins_of, matrix_of, trees_of, values_of
 from lendgrid.operators.scoring import ranking_metrics
 from lendgrid.operators.segments import Scaling, fit_scaling
 from lendgrid.operators.splits import stratified_folds
 from lendgrid.session import shared_folder
 
-MISSING_SUFFIX = "__missing"
-
 
 def feature_columns(df: DataFrame, skip: tuple[str, ...] = defaults.NON_FEATURES) -> list[str]:
     """All columns but id, label and split."""
@@ -82,180 +80,64 @@ def fit_baseline(train: DataFrame, columns: list[str], y: str = "TARGET", iterat
 
 
 @dataclass(frozen=True)
-class TreeInputs:
-    """How features become the tree vector.
-
-    Spark trees refuse missing values. A missing value is replaced by one below
-    the column's minimum, and columns with missing values get an indicator.
-    """
+class TreeScorer:
+    """Boosted trees over raw values: missing ones take the side that each split has learned."""
 
-    columns: tuple[str, ...]
-    fill: dict[str, float]
-    flagged: tuple[str, ...]
+    booster: Booster
 
     @property
     def names(self) -> list[str]:
-        return [*self.columns, *[c + MISSING_SUFFIX for c in self.flagged]]
-
-    def values(self) -> list[Column]:
-        filled = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(self.fill[c])) for c in self.columns]
-        return [*filled, *[F.col(f"`{c}`").isNull().cast("double") for c in self.flagged]]
-
-    def vectors(self, df: DataFrame, keep: list[Column]) -> DataFrame:
-        names = [f"f{i}" for i in range(len(self.names))]
-        rows = df.select(*keep, *[v.alias(n) for v, n in zip(self.values(), names)])
-        return VectorAssembler(inputCols=names, outputCol="vector").transform(rows).drop(*names)
-
-
-def fit_tree_inputs(df: DataFrame, columns: list[str]) -> TreeInputs:
-    """One pass: minimum and missing count of every column."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.min(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)],
-    ).first()
-    fill = {c: (row[f"m{i}"] if row[f"m{i}"] is not None else 0.0) - 1.0 for i, c in enumerate(columns)}
-    flagged = tuple(c for i, c in enumerate(columns) if row[f"c{i}"] < row["n"])
-    return TreeInputs(tuple(columns), fill, flagged)
-
-
-@dataclass(frozen=True)
-class TreeScorer:
-    inputs: TreeInputs
-    model: GBTClassificationModel
-
-    def score(self, df: DataFrame, name: str = "p") -> DataFrame:
-        kept = [F.col(f"`{c}`") for c in df.columns]
-        vectors = self.inputs.vectors(df, kept)
-        scored = self.model.transform(vectors).withColumn(name, vector_to_array("probability")[1])
-        return scored.select(*kept, name)
+        return list(self.booster.columns)
 
     @property
     def tree_count(self) -> int:
-        return self.model.getNumTrees
+        return len(self.booster.trees)
 
+    def margin(self, df: DataFrame) -> Column:
+        """The margin of a row; only the model's columns leave the JVM, in Arrow batches."""
+        sent = df.sparkSession.sparkContext.broadcast((self.booster.stacked(), self.booster.base))
 
-@dataclass(frozen=True)
-class TreeSettings:
-    trees: int = defaults.TREE_COUNT
-    depth: int = defaults.TREE_DEPTH
-    step: float = defaults.LEARNING_RATE
-    row_sample: float = defaults.ROW_SAMPLE
-    column_sample: str = defaults.COLUMN_SAMPLE
-    min_child: int = defaults.MIN_CHILD
-    positive_weight: float = 1.0
-    seed: int = defaults.SEED
-    extra: dict = field(default_factory=dict)
+        @F.arrow_udf("double")
+        def margin(values: pa.Array) -> pa.Array:
+            stacked, base = sent.value
+            return pa.array(margins_of(matrix_of(values), stacked, base), pa.float64())
 
+        return margin(values_of(self.booster.columns))
 
-#: Rounds without a better validation AUC after which boosting has ended (fixed value).
-PATIENCE = 50
+    def score(self, df: DataFrame, name: str = "p") -> DataFrame:
+        return df.withColumn(name, 1 / (1 + F.exp(-self.margin(df))))
 
 
 def fit_trees(train: DataFrame, columns: list[str], y: str = "TARGET", settings: TreeSettings = TreeSettings(),
-              validation: str | None = None, patience: int = PATIENCE) -> TreeScorer:
-    """Boosted trees. With ``validation`` (a boolean column) the best number of rounds on those rows is kept.
-
-    Inputs and trees are fitted on the other rows. The AUC of every prefix of the ensemble is measured on the validation
-    rows; the search ends after ``patience`` rounds without a better one, and the model is the best prefix.
-    """
-    own = train.where(~F.col(validation)) if validation else train
-    inputs = fit_tree_inputs(own, columns)
-    keep = [F.col(y).cast("double").alias("label"), _weight(y, {1: settings.positive_weight}).alias("weight")]
-    vectors = inputs.vectors(own, keep).persist()
-    booster = GBTClassifier(
-        featuresCol="vector", labelCol="label", weightCol="weight", maxIter=settings.trees, maxDepth=settings.depth,
-        stepSize=settings.step, subsamplingRate=settings.row_sample, featureSubsetStrategy=settings.column_sample,
-        minInstancesPerNode=settings.min_child, seed=settings.seed, **settings.extra,
-    )
-    try:
-        model = booster.fit(vectors)
-        if validation:
-            rounds = best_round(TreeScorer(inputs, model), train.where(validation), y, patience)
-            if rounds < model.getNumTrees:
-                # the seed fixes every round, so a shorter fit is the prefix of the longer one
-                model = booster.setMaxIter(rounds).fit(vectors)
-        return TreeScorer(inputs, model)
-    finally:
-        vectors.unpersist()
-
-
-def prefix_margins(scorer: TreeScorer, rows: DataFrame, keep: list[Column]) -> DataFrame:
-    """``keep`` and ``margins``: each row's score after the first, second, ... tree."""
-    trees: dict[int, dict[int, tuple]] = {}
-    for n in read_nodes(save_trees(scorer)).collect():  # the model, not the data
-        trees.setdefault(n["tree"], {})[n["node"]] = (n["left"], n["right"], n["feature"], n["threshold"], n["value"] * n["weight"])
-    tables = []
-    for t in sorted(trees):
-        size = max(trees[t]) + 1
-        table = np.array([trees[t].get(i, (-1, -1, 0, 0.0, 0.0)) for i in range(size)], dtype=float)
-        tables.append((table[:, 0].astype(int), table[:, 1].astype(int), table[:, 2].astype(int), table[:, 3], table[:, 4]))
-
-    def walk(x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), len(tables)))
-        every = np.arange(len(x))
-        for t, (left, right, feature, threshold, value) in enumerate(tables):
-            node = np.zeros(len(x), dtype=int)
-            while np.any(inner := left[node] >= 0):
-                goes_left = x[every, np.maximum(feature[node], 0)] <= threshold[node]
-                node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
-            out[:, t] = value[node]
-        return out.cumsum(axis=1)
-
-    @F.pandas_udf("array<double>")
-    def margins(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            x = np.array(part.tolist(), dtype=float).reshape(len(part), -1)
-            yield pd.Series([m for at in range(0, len(x), 1024) for m in walk(x[at:at + 1024]).tolist()])
-
-    vectors = scorer.inputs.vectors(rows, keep)
-    return vectors.withColumn("margins", margins(vector_to_array("vector"))).drop("vector")
-
-
-def best_round(scorer: TreeScorer, held: DataFrame, y: str = "TARGET", patience: int = PATIENCE) -> int:
-    """The number of trees with the highest AUC on ``held``, the first one of equals.
-
-    Rounds are taken ``patience`` at a time, so that no more of them are ranked than the search needs. Without both
-    classes in ``held`` all trees stay.
-    """
-    scored = prefix_margins(scorer, held, [F.col(y).cast("int").alias("y")]).persist()
-    best, best_auc, total = 0, -1.0, scorer.tree_count
-    try:
-        for start in range(0, total, patience):
-            rounds = scored.select("y", F.posexplode(F.slice("margins", start + 1, patience)).alias("at", "p"))
-            for r in ranking_metrics(rounds, keys=("at",)).select("at", "roc_auc").orderBy("at").collect():
-                at = start + r["at"] + 1
-                if at - best > patience and best:
-                    return best
-                if r["roc_auc"] is not None and r["roc_auc"] > best_auc + 1e-12:
-                    best, best_auc = at, r["roc_auc"]
-    finally:
-        scored.unpersist()
-    return best or total
+              validation: str | None = None, patience: int = PATIENCE, key: str = "SK_ID_CURR", **options) -> TreeScorer:
+    """Boosted trees (see ``boosting.fit_booster``); rows are sampled by ``key`` if ``train`` has it."""
+    return TreeScorer(fit_booster(train, columns, y, settings, validation, patience, key if key in train.columns else None, **options))
 
 
 def cross_validate(df: DataFrame, columns: list[str], y: str = "TARGET", id_col: str = "SK_ID_CURR", folds: int = 5,
                    settings: TreeSettings = TreeSettings()) -> DataFrame:
     """Metrics per fold and the number of trees each fold kept.
 
-    Each fold's model stops early on the fold itself, which is also the scored part.
+    Each fold's model stops early on the fold itself, which is also the scored part. The fits do not wait for one another.
     """
     labelled = stratified_folds(df, id_col, y, folds).persist()
-    scored, kept = None, []
+
+    def fit(fold: int) -> TreeScorer:
+        return fit_trees(labelled.withColumn("_held", F.col("fold") == fold), columns, y, settings, validation="_held", key=id_col)
+
     try:
-        for fold in range(folds):
-            marked = labelled.withColumn("_held", F.col("fold") == fold)
-            scorer = fit_trees(marked, columns, y, settings, validation="_held")
-            kept.append((fold, scorer.tree_count))
+        labelled.count()
+        with ThreadPoolExecutor(folds) as pool:
+            scorers = list(pool.map(fit, range(folds)))
+        scored = None
+        for fold, scorer in enumerate(scorers):
             part = scorer.score(labelled.where(F.col("fold") == fold)).select("fold", F.col(y).alias("y"), "p")
             scored = part if scored is None else scored.unionByName(part)
         metrics = ranking_metrics(scored, keys=("fold",)).collect()  # one row per fold
     finally:
         labelled.unpersist()
-    spark = df.sparkSession
-    trees = dict(kept)
-    rows = [(r["fold"], r["roc_auc"], r["pr_auc"], r["ks"], r["brier"], r["n"], trees[r["fold"]]) for r in metrics]
-    return spark.createDataFrame(
+    rows = [(r["fold"], r["roc_auc"], r["pr_auc"], r["ks"], r["brier"], r["n"], scorers[r["fold"]].tree_count) for r in metrics]
+    return df.sparkSession.createDataFrame(
         rows, "fold int, roc_auc double, pr_auc double, ks double, brier double, n long, trees int"
     )
 
@@ -270,28 +152,21 @@ def fold_summary(folds: DataFrame) -> DataFrame:
 
 
 def save_trees(scorer: TreeScorer, path: str | None = None) -> str:
-    """Write the model below the shared folder and return where it is."""
-    path = path or f"{shared_folder(SparkSession.active())}/trees-{uuid.uuid4().hex}"
-    scorer.model.write().overwrite().save(path)
+    """Write the node table below the shared folder and return where it is."""
+    spark = SparkSession.active()
+    path = path or f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
+    scorer.booster.nodes(spark).write.mode("overwrite").parquet(path)
     return path
 
 
 def read_nodes(path: str) -> DataFrame:
-    """Node table of a saved model: one row per node, with its tree's weight."""
-    spark = SparkSession.active()
-    nodes = spark.read.parquet(f"{path}/data")
-    trees = spark.read.parquet(f"{path}/treesMetadata")
-    if "treeID" in trees.columns:
-        weights = trees.select(F.col("treeID"), F.col("weights").alias("weight"))
-    else:
-        weights = trees.select(F.col("_1").alias("treeID"), F.col("_3").alias("weight"))
-    n = F.col("nodeData")
-    return nodes.join(weights, "treeID").select(
-        F.col("treeID").alias("tree"), n["id"].alias("node"), n["prediction"].alias("value"), n["gain"].alias("gain"),
-        n["rawCount"].cast("double").alias("cover"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
-        n["split"]["featureIndex"].alias("feature"), F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-        "weight",
-    )
+    """Node table of a saved model: one row per node."""
+    return SparkSession.active().read.schema(NODES).parquet(path)
+
+
+def load_trees(path: str, columns: list[str], base: float) -> TreeScorer:
+    """The scorer of a saved node table."""
+    return TreeScorer(Booster(tuple(columns), tuple(trees_of(read_nodes(path).toArrow())), base))
 
 
 def gain_importance(nodes: DataFrame, names: list[str], top: int = 20) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.catalog import QUERIES, model_queries
 from lendgrid.functions.defaults import SEGMENT_INPUTS
-from lendgrid.operators import attributions as at, models as mo, reasons as re_, scoring as sc, segments as sg, whatif as wi
+from lendgrid.operators import attributions as at, boosting as bo, models as mo, reasons as re_, scoring as sc, segments as sg, whatif as wi
 from lendgrid.plans.training import train_full_model
 
 
@@ -119,7 +119,7 @@ def test_baseline_ranks_well(cases):
 def test_trees_take_missing_values(cases, trees):
     scored = trees.score(cases)
     assert scored.count() == 600 and scored.where("p IS NULL OR p < 0 OR p > 1").count() == 0
-    assert trees.inputs.flagged == ("c",) and trees.inputs.names[-1] == "c" + mo.MISSING_SUFFIX
+    assert trees.names == COLUMNS and trees.tree_count == 5
     assert sc.ranking_metrics(scored.where("IS_TRAIN = 1"), y="TARGET").first().roc_auc > 0.8
 
 
@@ -130,41 +130,124 @@ def test_tree_attributions_add_up_to_the_margin(cases, trees):
     assert len(rows) == 600
     for r in rows:
         assert base + sum(r.contributions) == pytest.approx(r.margin)
-        assert 1 / (1 + math.exp(-2 * r.margin)) == pytest.approx(p[r.id], abs=1e-9)
+        assert 1 / (1 + math.exp(-r.margin)) == pytest.approx(p[r.id], abs=1e-9)
 
 
-def test_tree_attributions_are_shapley_values(cases, trees):
-    nodes = mo.read_nodes(mo.save_trees(trees)).toPandas()
-    count = len(trees.inputs.names)
-
-    def payoff(x, known):
-        total = 0.0
-        for _, tree in nodes.groupby("tree"):
-            by_id = {int(r.node): r for r in tree.itertuples()}
+def _shapley(forest, x):
+    """Shapley values of one row by all subsets of the features."""
+    def payoff(tree, node, known):
+        if tree.left[node] < 0:
+            return tree.value[node]
+        v, children = x[tree.feature[node]], (tree.left[node], tree.right[node])
+        if tree.feature[node] in known:
+            return payoff(tree, children[0 if (tree.missing_left[node] if np.isnan(v) else v <= tree.threshold[node]) else 1], known)
+        return sum(payoff(tree, k, known) * tree.cover[k] for k in children) / tree.cover[node]
 
-            def value(node):
-                n = by_id[node]
-                if n.left < 0:
-                    return n.value * n.weight
-                if n.feature in known:
-                    return value(n.left if x[n.feature] <= n.threshold else n.right)
-                return sum(value(k) * by_id[k].cover for k in (n.left, n.right)) / n.cover
+    count = len(x)
+    total = {s: sum(payoff(t, 0, s) for t in forest) for size in range(count + 1) for s in combinations(range(count), size)}
+    return [sum(math.factorial(len(s)) * math.factorial(count - 1 - len(s)) / math.factorial(count) * (total[tuple(sorted({*s, j}))] - v) for s, v in total.items() if j not in s)
+            for j in range(count)]
 
-            total += value(0)
-        return total
 
+def test_tree_attributions_are_shapley_values(cases, trees):
     some = cases.orderBy("SK_ID_CURR").limit(8)
-    inputs = some.select("SK_ID_CURR", F.array(*trees.inputs.values()).alias("x")).collect()
-    got = {r.id: r.contributions for r in at.tree_attributions(trees, some, "SK_ID_CURR")[0].collect()}
-    for row in inputs:
-        for j in range(count):
-            others = [i for i in range(count) if i != j]
-            phi = 0.0
-            for size in range(count):
-                weight = math.factorial(size) * math.factorial(count - 1 - size) / math.factorial(count)
-                for s in combinations(others, size):
-                    phi += weight * (payoff(row.x, {*s, j}) - payoff(row.x, set(s)))
-            assert got[row.SK_ID_CURR][j] == pytest.approx(phi, abs=1e-9)
+    inputs = {r.SK_ID_CURR: np.array([np.nan if v is None else float(v) for v in (r.a, r.b, r.c, r.flag)]) for r in some.collect()}
+    for leaves in (1, 1 << 16):  # the model in one piece and in many
+        got = {r.id: r.contributions for r in at.tree_attributions(trees, some, "SK_ID_CURR", leaves)[0].collect()}
+        for i, x in inputs.items():
+            assert got[i] == pytest.approx(_shapley(trees.booster.trees, x), abs=1e-9)
+
+
+def test_deep_trees_by_all_subsets(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, (900, 8)).astype(float)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y = (np.nan_to_num(x) @ rng.normal(size=8) + rng.normal(size=900) > 0).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), *[None if np.isnan(v) else float(v) for v in x[i]]) for i in range(900)],
+                               "SK_ID_CURR long, TARGET int, " + ", ".join(f"c{j} double" for j in range(8)))
+    scorer = mo.fit_trees(df, [f"c{j}" for j in range(8)], settings=mo.TreeSettings(trees=3, depth=8, step=0.5, min_child=1))
+    assert max(len(path) for t in scorer.booster.trees for _, path in at._leaves(t)) >= 6
+    out = np.zeros((5, 8))
+    for piece in at.tree_paths(scorer.booster.trees, 40):
+        at.path_attributions(x[:5], piece, out)
+    for i in range(5):
+        assert list(out[i]) == pytest.approx(_shapley(scorer.booster.trees, x[i]), abs=1e-9)
+
+
+def _naive_tree(x, g, h, bins, settings, columns):
+    """One tree by trying every cut of every column with both sides for missing values; nested tuples."""
+    leaf = lambda rows: -settings.step * g[rows].sum() / (h[rows].sum() + settings.ridge)
+
+    def grow(rows, depth):
+        best = (1e-6, None)
+        if depth:
+            part = lambda r: g[r].sum() ** 2 / (h[r].sum() + settings.ridge)
+            for j in columns:
+                v = x[rows, j]
+                for missing_left in (False, True):
+                    for k, cut in enumerate([*bins.cuts[j], np.inf][:None if not missing_left else -1]):
+                        left = np.where(np.isnan(v), missing_left, v <= cut)
+                        a, b = rows[left], rows[~left]
+                        if min(h[a].sum(), h[b].sum()) >= settings.min_child:
+                            gain = part(a) + part(b) - part(rows)
+                            if gain > best[0] + 1e-9:
+                                best = (gain, (j, cut, missing_left, a, b))
+        if best[1] is None:
+            return round(leaf(rows), 9)
+        j, cut, missing_left, a, b = best[1]
+        return (j, cut, missing_left, grow(a, depth - 1), grow(b, depth - 1))
+
+    return grow(np.arange(len(x)), settings.depth)
+
+
+def _nested(tree, node=0):
+    if tree.left[node] < 0:
+        return round(float(tree.value[node]), 9)
+    return (int(tree.feature[node]), float(tree.threshold[node]), bool(tree.missing_left[node]), _nested(tree, tree.left[node]), _nested(tree, tree.right[node]))
+
+
+def test_first_tree_by_brute_force(spark):
+    rng = np.random.default_rng(9)
+    x = np.stack([rng.normal(size=150), rng.integers(0, 3, 150), np.where(rng.random(150) < 0.3, np.nan, rng.normal(size=150))], axis=1)
+    y = (x[:, 0] + np.where(np.isnan(x[:, 2]), 1.5, x[:, 2]) + 0.3 * rng.normal(size=150) > 0.2).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), *[None if np.isnan(v) else float(v) for v in x[i]]) for i in range(150)], "id long, TARGET int, a double, b double, c double")
+    settings = mo.TreeSettings(trees=1, depth=3, step=0.7, row_sample=1.0, column_sample=1.0, min_child=2)
+    booster = mo.fit_trees(df, ["a", "b", "c"], settings=settings).booster
+    p = 1 / (1 + np.exp(-booster.base))
+    assert p == pytest.approx(y.mean())
+    unit = bo.UNIT
+    g, h = np.rint((p - y) * unit) / unit, np.rint(np.full(150, p * (1 - p)) * unit) / unit
+    assert _nested(booster.trees[0]) == _naive_tree(x, g, h, bo.fit_bins(df, ["a", "b", "c"]), settings, [0, 1, 2])
+
+
+def test_model_does_not_depend_on_blocks(cases):
+    train = cases.where("IS_TRAIN = 1").withColumn("held", F.col("SK_ID_CURR") % 5 == 0)
+    settings = mo.TreeSettings(trees=13, depth=3, step=0.3, min_child=3)
+    one = mo.fit_trees(train, COLUMNS, settings=settings, validation="held", patience=4)
+    many = mo.fit_trees(train, COLUMNS, settings=settings, validation="held", patience=4, block_bytes=500)
+    assert one.tree_count == many.tree_count >= 1
+    for a, b in zip(one.booster.trees, many.booster.trees):
+        assert all((getattr(a, f) == getattr(b, f)).all() for f in bo.Tree.__dataclass_fields__)
+
+
+def test_degenerate_training_tables(spark):
+    schema = "SK_ID_CURR long, TARGET int, x double, gone double"
+    for rows in ([], [(1, None, 1.0, None)], [(i, 1, float(i), None) for i in range(30)], [(i, i % 2, float("nan"), None) for i in range(30)]):
+        scorer = mo.fit_trees(spark.createDataFrame(rows, schema), ["x", "gone"], settings=SMALL)
+        scored = scorer.score(spark.createDataFrame([(7, None, 2.0, 1.0), (8, None, None, None)], schema)).collect()
+        assert len({r.p for r in scored}) == 1 and 0 <= scored[0].p <= 1
+    repeated = spark.createDataFrame([(1, i % 2, float(i % 2), None) for i in range(60)], schema)
+    p = sorted(r.p for r in mo.fit_trees(repeated, ["x", "gone"], settings=SMALL).score(repeated).collect())
+    assert p[0] < 0.5 < p[-1]
+
+
+def test_bins_of_many_values(spark):
+    values = [(float(i % 20_000),) for i in range(40_000)] + [(None,)] * 5
+    cuts = bo.fit_bins(spark.createDataFrame(values, "v double").repartition(3), ["v"]).cuts[0]
+    expected = np.arange(1, bo.MOST_BINS) * 20_000 / bo.MOST_BINS
+    assert len(cuts) == bo.MOST_BINS - 1 and np.abs(cuts - expected).max() < 40
+    few = spark.createDataFrame([(float(v),) for v in [0] * 5000 + [1]], "v double")
+    assert bo.fit_bins(few, ["v"]).cuts[0].tolist() == [0.5]
 
 
 def test_early_stopping_and_importance(cases, trees):
@@ -174,27 +257,36 @@ def test_early_stopping_and_importance(cases, trees):
     nodes = mo.read_nodes(mo.save_trees(trees))
     inner = nodes.where("left >= 0").toPandas()
     expected = inner.groupby("feature")["gain"].mean().sort_values(ascending=False)
-    top = mo.gain_importance(nodes, trees.inputs.names).collect()
-    assert [r.feature for r in top] == [trees.inputs.names[i] for i in expected.index]
+    top = mo.gain_importance(nodes, trees.names).collect()
+    assert [r.feature for r in top] == [trees.names[i] for i in expected.index]
     assert [r.gain for r in top] == pytest.approx(list(expected))
 
 
 def test_early_stopping_keeps_the_best_prefix(cases):
     train = cases.where("IS_TRAIN = 1").withColumn("held", F.col("SK_ID_CURR") % 4 == 0)
     settings = mo.TreeSettings(trees=30, depth=3, step=0.03, min_child=1)
-    whole = mo.fit_trees(train.where("NOT held"), COLUMNS, settings=settings)
-    held = train.where("held")
-    rows = mo.prefix_margins(whole, held, [F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y")]).toPandas()
-    margins = np.array(rows["margins"].tolist())
-    p = {r.SK_ID_CURR: r.p for r in whole.score(held).collect()}
-    assert [p[i] for i in rows["id"]] == pytest.approx(list(1 / (1 + np.exp(-2 * margins[:, -1]))))
-    y = rows["y"].to_numpy()
-    aucs = [np.mean([(a > b) + (a == b) / 2 for a in m[y == 1] for b in m[y == 0]]) for m in margins.T]
-    expected = int(np.argmax(np.round(aucs, 12))) + 1
-    assert mo.best_round(whole, held) == expected
-    stopped = mo.fit_trees(train, COLUMNS, settings=settings, validation="held")
-    assert stopped.tree_count == expected
-    assert mo.best_round(whole, held, patience=3) <= expected
+    whole = mo.fit_trees(train, COLUMNS, settings=settings, validation="held", patience=1000)
+    longer = mo.fit_trees(train.where("NOT held"), COLUMNS, settings=settings).booster
+    held = train.where("held").select("TARGET", F.array(*[F.col(c).cast("double") for c in COLUMNS]).alias("x")).collect()
+    x, y = np.array([r.x for r in held], float), np.array([r.TARGET for r in held])
+    aucs = []
+    for k in range(1, 31):
+        m = bo.margins_of(x, bo.Booster(longer.columns, longer.trees[:k], longer.base).stacked(), longer.base)
+        aucs.append(np.mean([(a > b) + (a == b) / 2 for a in m[y == 1] for b in m[y == 0]]))
+    assert whole.tree_count == int(np.argmax(np.round(aucs, 12))) + 1
+    patient = mo.fit_trees(train, COLUMNS, settings=settings, validation="held", patience=3).tree_count
+    expected, best = 0, -1.0
+    for i, auc in enumerate(np.round(aucs, 12)):
+        if auc > best:
+            expected, best = i + 1, auc
+        if i + 1 - expected >= 3:
+            break
+    assert patient == expected
+
+
+def test_saved_trees_score_alike(cases, trees):
+    loaded = mo.load_trees(mo.save_trees(trees), COLUMNS, trees.booster.base)
+    assert [r.p for r in loaded.score(cases).orderBy("SK_ID_CURR").collect()] == [r.p for r in trees.score(cases).orderBy("SK_ID_CURR").collect()]
 
 
 def test_cross_validation(cases):
