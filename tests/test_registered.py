@@ -1,6 +1,10 @@
 """Registered queries against their SQL. LENDGRID_ALL=1 runs every one of them."""
 
 import os
+import re
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -31,5 +35,17 @@ def test_every_sql_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
+def test_the_rest_works_without_the_training_data_operators(tmp_path):
+    """A copy without the llm folders, with and without their pipeline, imports and keeps all other queries."""
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    others = sorted(n for n in entry_points.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
+    for name, gone in (("without", ("llm",)), ("bare", ("llm", "corpus_pipeline.py"))):
+        copy = shutil.copytree(root, tmp_path / name, ignore=shutil.ignore_patterns(".git", "__pycache__", "*.md", "*.json", *gone))
+        out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries())); assert set(e.oracle_sql()) <= set(e.queries())"],
+                             cwd=copy, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True, timeout=120)
+        assert out.returncode == 0, out.stderr
+        assert out.stdout.split() == others
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 150
