@@ -15,7 +15,7 @@ from lendgrid.operators import reasons as re_, review as rv, scoring as sc, vect
 from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
 from lendgrid.plans.retrieval import hybrid_candidates, retrieve
-from lendgrid.session import cut_lineage
+from lendgrid.session import cut_lineage, spread
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.corpus import scan_corpus, split_title
 from lendgrid.sources.score_log import append_log, log_entries, read_log, summarize_log
@@ -25,7 +25,7 @@ from lendgrid.streaming import score_log as stream
 
 
 def _chunks(spark, d):
-    return chunk_documents(proxy.policy_documents(spark, d))
+    return chunk_documents(spread(proxy.policy_documents(spark, d)))
 
 
 CHUNK_COLUMNS = ("doc_id", "chunk_no", "chunk_id", "title", "text")
@@ -96,7 +96,8 @@ def _index(spark, d):
 
 @register("r4_postings", "SELECT doc_id, chunk_no, term, length, tf FROM postings", ("postings",), ("doc_id", "chunk_no", "term", "length", "tf"))
 def r4_postings(spark, d):
-    return kw.term_counts(_chunks(spark, d)).withColumn("length", F.col("length").cast("long"))
+    """The postings as the stored index holds them."""
+    return kw.postings(_index(spark, d)).withColumn("length", F.col("length").cast("long"))
 
 
 @register("r4_terms", "SELECT * FROM terms", ("terms",), ("term", "df"), ("idf",))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from lendgrid.functions.hashing import hash_key, hash_uniform, poisson_one
 from lendgrid.operators.boosting import Tree, matrix_of, values_of
 from lendgrid.operators.models import LinearScorer, TreeScorer
+from lendgrid.session import spread
 
 #: Leaves that are sent to the tasks together, and leaves x rows that a task handles at a time.
 LEAVES, CELLS = 1 << 16, 1 << 17
@@ -122,8 +123,7 @@ def tree_attributions(scorer: TreeScorer, df: DataFrame, id_col: str, leaves: in
     base = scorer.booster.base + sum(p.expected for p in pieces)
     width = len(columns)
     rows = df.select(F.col(id_col).cast("long").alias("id"), values_of(columns).alias("x"))
-    rows = rows.repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
-    out = rows.withColumn("contributions", F.array_repeat(F.lit(0.0), width))
+    out = spread(rows).withColumn("contributions", F.array_repeat(F.lit(0.0), width))
     kinds = "id long, x array<double>, contributions array<double>"
 
     def explain(sent):

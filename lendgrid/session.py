@@ -54,3 +54,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shuffle_width(df: DataFrame) -> int:
     """Number of shuffle partitions, used to size range buckets."""
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for work that takes far longer than moving the rows; partitions stay if there are enough of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

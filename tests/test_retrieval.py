@@ -114,15 +114,54 @@ def test_keyword_search_with_negative_scores(spark):
     check_search(spark, texts, ["a b", "z a", "c", "q"], 4)
 
 
-def test_hot_terms_are_split_without_loss(spark):
-    texts = random_texts(4, 80, ["hot"] * 8 + ["a", "b", "c", "d"], 10)
-    index = kw.build_index(chunk_documents(documents(spark, texts)))
-    asked = spark.createDataFrame([(0, "hot a"), (1, "b hot hot")], "query_id long, query string")
+def test_small_segments_and_query_blocks(spark, width):
+    vocabulary = [f"t{i}" for i in range(15)]
+    texts = ["the " + t if i % 9 else "" for i, t in enumerate(random_texts(4, 70, vocabulary, 14))]
+    chunks = chunk_documents(documents(spark, texts).withColumn("doc_id", F.lpad("doc_id", 12, " ")))
+    index = kw.build_index(chunks, segment_tokens=60)
+    assert index.segments.count() > 4
+    queries = ["the t1 t2", "the t3 t3 t4 nothing", "the", "t5 t6 t7 t8 t9", "", "zzz"]
+    asked = spark.createDataFrame([(f"q{i}", q) for i, q in enumerate(queries)], "query_id string, query string")
+    rows = kw.search(index, asked, 5, query_block=2).collect()
+    for i, q in enumerate(queries):
+        scores = okapi(texts, q)
+        order = sorted(range(len(texts)), key=lambda j: (-round(scores[j], 9), f"doc-{j}".rjust(12)))[:5]
+        mine = sorted((r for r in rows if r.query_id == f"q{i}"), key=lambda r: r["rank"])
+        assert [int(r.chunk_id.strip().split("-")[1].split("::")[0]) for r in mine] == order
+        assert [r.score for r in mine] == pytest.approx([scores[j] for j in order], abs=1e-9)
 
-    def scores(**options):
-        return {(r.query_id, r.doc_id): round(r.score, 9) for r in kw.matched_scores(index, asked, **options).collect()}
 
-    assert scores() == scores(broadcast_limit=0, hot=7)
+def test_stop_words_are_not_scored(spark):
+    """A word of all chunks in all queries: its postings are skipped once better chunks are known, and the best stay the same."""
+    rng = np.random.default_rng(2)
+    texts = ["the " * int(rng.integers(1, 4)) + " ".join(f"w{x}" for x in rng.integers(0, 3000, 12)) for _ in range(6000)]
+    index = kw.build_index(chunk_documents(documents(spark, texts)), segment_tokens=20_000)
+    opened = [kw._Opened(b, i) for b in index.segments.coalesce(1).toArrow().to_batches() for i in range(b.num_rows)]
+    idf = {r.term: r.idf for r in index.terms.collect()}
+    for query in ("the w2 w3 w77", "the w1 w5", "the the w1999"):
+        words = [w for w in sorted(set(query.split())) if w in idf]
+        weight = np.array([query.split().count(w) * idf[w] for w in words])
+
+        def run(pruned):
+            held, counts = np.empty(0), kw.Counts()
+            for s in opened:
+                at = np.array([s.terms.to_pylist().index(w) if w in s.terms.to_pylist() else -1 for w in words])
+                least = held[4] if pruned and len(held) == 5 else -np.inf
+                _, score = kw.segment_top(s, at[at >= 0], weight[at >= 0], 5, least, index.average_length, 1.5, 0.75, counts)
+                held = np.sort(np.concatenate([held, score]))[::-1][:5]
+            return held, counts
+
+        (best, few), (all_best, every) = run(True), run(False)
+        assert list(best) == list(all_best) and few.scored < 0.1 * every.scored
+
+
+def test_index_of_nothing(spark):
+    none = kw.build_index(chunk_documents(documents(spark, [])))
+    asked = spark.createDataFrame([(1, "a")], "query_id long, query string")
+    assert kw.search(none, asked, 3).collect() == [] and none.average_length == 0.0
+    some = kw.build_index(chunk_documents(documents(spark, ["a b", "c"])))
+    assert kw.search(some, asked.limit(0), 3).collect() == []
+    assert Counter(tuple(r) for r in kw.postings(some).collect()) == Counter([("doc-0", 0, 2, "a", 1), ("doc-0", 0, 2, "b", 1), ("doc-1", 0, 1, "c", 1)])
 
 
 def test_spanish_question(spark):
