@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendgrid.functions.hashing import hash_key, hash_uniform, poisson_one
-from lendgrid.operators.boosting import Tree, matrix_of, values_of
+from lendgrid.operators.boosting import Tree
 from lendgrid.operators.models import LinearScorer, TreeScorer
+from lendgrid.operators.summaries import matrix_of, values_of
 from lendgrid.session import spread
 
 #: Leaves that are sent to the tasks together, and leaves x rows that a task handles at a time.

@@ -12,15 +12,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendgrid.functions import defaults
+from lendgrid.operators.summaries import Summary, column_summaries, matrix_of, values_of
 from lendgrid.session import cut_lineage, shared_folder
 
 #: Distinct values up to which a column keeps a bin for each; quantiles of the others. One more bin is for missing values.
 MOST_BINS = 254
-#: Values that a column's summary keeps.
-SUMMARY = 1 << 13
 #: Bytes of bins in a block, rows counted at a time, and fixed point of gradients.
 BLOCK_BYTES, TILE, UNIT = 16 << 20, 1 << 14, float(1 << 24)
 #: Rounds after which margins are brought up to date and held-out rows are ranked, and after which lineage is cut.
@@ -67,75 +66,19 @@ class Bins:
         return out
 
 
-def values_of(columns: tuple[str, ...] | list[str]) -> Column:
-    """The columns of a row as one array of doubles; NaN and null are missing."""
-    return F.array(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns])
-
-
-class Summary:
-    """Values of a column with their weights, exact up to ``SUMMARY`` values; beyond that, points that each stand for an equal share."""
-
-    def __init__(self):
-        self.values, self.weights, self.exact = np.empty(0), np.empty(0, np.int64), True
-
-    def add(self, values: np.ndarray, weights: np.ndarray, exact: bool = True) -> None:
-        joined = np.concatenate([self.values, values])
-        self.values, place = np.unique(joined, return_inverse=True)
-        self.weights = np.bincount(place, np.concatenate([self.weights, weights]), len(self.values)).astype(np.int64)
-        self.exact &= exact
-        if len(self.values) > SUMMARY:
-            self.exact = False
-            run = np.cumsum(self.weights)
-            kept = np.unique(np.append(np.searchsorted(run, np.arange(1, SUMMARY // 2) * (run[-1] / (SUMMARY // 2))), len(run) - 1))
-            self.values, self.weights = self.values[kept], np.diff(np.concatenate([[0], run[kept]]))
-
-    def cuts(self) -> np.ndarray:
-        if self.exact and len(self.values) <= MOST_BINS:
-            return (self.values[1:] + self.values[:-1]) / 2
-        run = np.cumsum(self.weights)
-        return self.values[np.unique(np.searchsorted(run, np.arange(1, MOST_BINS) * (run[-1] / MOST_BINS)))]
+def _cuts(summary: Summary) -> np.ndarray:
+    values, weights = summary.pairs()
+    if summary.exact and len(values) <= MOST_BINS:
+        return (values[1:] + values[:-1]) / 2
+    run = np.cumsum(weights)
+    return values[np.unique(np.searchsorted(run, np.arange(1, MOST_BINS) * (run[-1] / MOST_BINS)))]
 
 
 def fit_bins(df: DataFrame, columns: list[str]) -> Bins:
-    """One pass over all columns: each task sums its values up, and the summaries of a column are merged.
-
-    A column with up to ``MOST_BINS`` values has its cuts between them, so no split of it is lost; another one has its quantiles, which
-    are exact up to ``SUMMARY`` values and else off by a small share of the rows.
-    """
-    names, kinds = ["column", "exact", "values", "weights"], "column int, exact boolean, values binary, weights binary"
-
-    def rows_of(found: dict[int, Summary]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([s.exact for s in found.values()]),
-                                           pa.array([s.values.tobytes() for s in found.values()], pa.binary()), pa.array([s.weights.tobytes() for s in found.values()], pa.binary())], names=names)
-
-    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Summary] = {}
-        for batch in batches:
-            x = matrix_of(batch.column(0))
-            for j in range(x.shape[1]):
-                values, counts = np.unique(x[:, j][~np.isnan(x[:, j])], return_counts=True)
-                found.setdefault(j, Summary()).add(values, counts)
-        if found:
-            yield rows_of(found)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Summary] = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                found.setdefault(r["column"], Summary()).add(np.frombuffer(r["values"]), np.frombuffer(r["weights"], np.int64), r["exact"])
-        for j, s in found.items():
-            s.values, s.weights = s.cuts(), np.empty(0, np.int64)
-        if found:
-            yield rows_of(found)
-
-    merged = df.select(values_of(columns).alias("x")).mapInArrow(sum_up, kinds).repartition("column").mapInArrow(merge, kinds).select("column", "values").collect()
-    cuts = {r["column"]: np.frombuffer(r["values"]) for r in merged}
-    return Bins(tuple(columns), tuple(cuts.get(j, np.empty(0)) for j in range(len(columns))))
-
-
-def matrix_of(values: pa.Array) -> np.ndarray:
-    """Rows x columns of a list column of doubles; missing is NaN."""
-    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1) if len(values) else np.empty((0, 0))
+    """One pass over all columns. A column with up to ``MOST_BINS`` values has its cuts between them, so no split of it is lost; another
+    one has its quantiles, exact or with the small error of a summary."""
+    found = column_summaries(df, columns)
+    return Bins(tuple(columns), tuple(_cuts(found[c]) for c in columns))
 
 
 @dataclass

@@ -13,10 +13,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendgrid.functions import defaults
-from lendgrid.operators.boosting import NODES, PATIENCE, Booster, TreeSettings, fit_booster, margins_of, matrix_of, trees_of, values_of
+from lendgrid.operators.boosting import NODES, PATIENCE, Booster, TreeSettings, fit_booster, margins_of, trees_of
 from lendgrid.operators.scoring import ranking_metrics
 from lendgrid.operators.segments import Scaling, fit_scaling
 from lendgrid.operators.splits import stratified_folds
+from lendgrid.operators.summaries import matrix_of, values_of
 from lendgrid.session import shared_folder
 
 

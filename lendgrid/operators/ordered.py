@@ -13,6 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendgrid.functions.hashing import hash_key
+from lendgrid.operators.summaries import column_summaries
 from lendgrid.session import cut_lineage, shuffle_width
 
 
@@ -94,100 +95,61 @@ def sample_rows(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
     return df.withColumn("_hash", hash_key(F.col(id_col), seed)).orderBy("_hash", id_col).limit(n).drop("_hash")
 
 
-_REACHES = (0.0002, 0.01)
+def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """Linear-interpolation quantiles of several columns, exact, in one scan or two.
 
-
-def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]],
-                    spread_above: int = 1_000_000_000) -> dict[str, list[float | None]]:
-    """Linear-interpolation quantiles of several columns, exact, in two scans.
-
-    The first scan brackets each quantile with approximate ones; the second
-    counts what lies below the bracket and sorts only what lies inside it. A
-    bracket that misses is replaced by the whole column, sorted in ranges.
-    Beyond ``spread_above`` rows the inside of a bracket is sorted in parts, too.
+    The first scan sums all columns up, which settles those with few distinct values. For the others the summary gives a bracket that
+    holds the two neighbours of each quantile; a second scan counts what lies below and passes on only what lies inside, which is sorted in
+    ranges. NaN counts as missing.
     """
-    columns = list(probabilities)
-    points = {
-        c: [min(1.0, max(0.0, p + side * reach)) for p in probabilities[c] for reach in _REACHES for side in (-1, 1)]
-        for c in columns
-    }
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    first = numbers.agg(
-        *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))],
-        *[F.percentile_approx(f"c{i}", points[c], 20000).alias(f"q{i}") for i, c in enumerate(columns)],
-    ).first()
-
-    wanted = []  # (column index, quantile index, lower bound, upper bound, position)
-    for i, c in enumerate(columns):
-        n = first[f"n{i}"]
+    summaries = column_summaries(df, list(probabilities))
+    result: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in probabilities.items()}
+    wanted = []  # (column, quantile index, lower bound, upper bound, position, summary values between the bounds)
+    for c, s in summaries.items():
+        n = s.n
         for j, p in enumerate(probabilities[c]):
-            if not n:
-                continue
-            at = j * 2 * len(_REACHES)
-            low, high = -math.inf, math.inf
-            for r, reach in enumerate(_REACHES):
-                if reach * n >= 4:
-                    low, high = first[f"q{i}"][at + 2 * r], first[f"q{i}"][at + 2 * r + 1]
-                    break
-            wanted.append((i, j, low, high, (n - 1) * p))
-
-    parts = shuffle_width(df) if max((first[f"n{i}"] for i in range(len(columns))), default=0) > spread_above else 1
-    found = _values_at(numbers, wanted, parts)
-    result = {c: [None] * len(probabilities[c]) for c in columns}
-    for key, (i, j, low, high, position) in enumerate(wanted):
-        floor, share = math.floor(position), position - math.floor(position)
-        lower = found.get((key, floor))
-        upper = found.get((key, floor + 1)) if share > 0 else lower
-        if lower is None or upper is None:
-            lower, upper = _sorted_values(numbers, f"c{i}", floor, floor + (1 if share > 0 else 0))
-        result[columns[i]][j] = lower + (upper - lower) * share
+            position = (n - 1) * p
+            if n and s.exact:
+                lower, upper = s.at_rank(math.floor(position)), s.at_rank(math.ceil(position))
+                result[c][j] = lower + (upper - lower) * (position - math.floor(position))
+            elif n:
+                values, weights = s.pairs()
+                run, at = weights.cumsum(), math.floor(position)
+                # true ranks are within the error: at most as many rows up to ``low``, and at least two more up to ``high``
+                first, last = int(run.searchsorted(at - s.error, "right")), int(run.searchsorted(at + 2 + s.error, "left"))
+                low, high = values[first - 1] if first else -math.inf, values[last] if last < len(values) else math.inf
+                wanted.append((c, j, float(low), float(high), position, [float(v) for v in values[first:last]]))
+    found = _values_at(df, wanted)
+    for key, (c, j, _, _, position, _) in enumerate(wanted):
+        lower, upper = found[(key, math.floor(position))], found[(key, math.ceil(position))]
+        result[c][j] = lower + (upper - lower) * (position - math.floor(position))
     return result
 
 
-def _values_at(numbers: DataFrame, wanted: list[tuple], parts: int) -> dict[tuple[int, int], float]:
+def _values_at(df: DataFrame, wanted: list[tuple]) -> dict[tuple[int, int], float]:
     """Values at two neighbouring positions per request, found inside their brackets."""
     if not wanted:
         return {}
-    below = F.lit(-math.inf)
-    clipped = []
-    for i, _, low, high, _ in wanted:
-        x = F.col(f"c{i}")
-        clipped.append(F.when(x < F.lit(low), below).when(x <= F.lit(high), x))
-    counts = (
-        numbers.select(F.posexplode(F.array(*clipped)).alias("_key", "_value"))
-        .where(F.col("_value").isNotNull())
-        .groupBy("_key", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    floors = F.array(*[F.lit(math.floor(w[4])).cast("long") for w in wanted])
-    if parts > 1:
-        # equal-width parts of each bracket; what lies below it is a part of its own
-        lows, highs = (F.array(*[F.lit(w[i]).cast("double") for w in wanted])[F.col("_key")] for i in (2, 3))
-        share = (F.col("_value") - lows) / F.nullif(highs - lows, F.lit(0.0))
-        part = F.when(F.col("_value") > below, F.floor(F.coalesce(share, F.lit(0.0)) * parts)).otherwise(F.lit(-1))
-        ranged = counts.withColumn("_range", part.cast("long"))
-        summed = running_sums(ranged, [F.col("_value")], ["_n"], ("_key",)).withColumnRenamed("cum__n", "_end")
-    else:
-        window = Window.partitionBy("_key").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-        summed = counts.withColumn("_end", F.sum("_n").over(window))
+    columns = sorted({w[0] for w in wanted})
+    values = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(f"c{i}") for i, c in enumerate(columns)])
+    x = [F.col(f"c{columns.index(w[0])}") for w in wanted]
+    below = values.agg(*[F.count_if(v < F.lit(w[2])).alias(f"b{k}") for k, (v, w) in enumerate(zip(x, wanted))]).first()
+    inside = F.array_compact(F.array(*[F.when((v >= F.lit(w[2])) & (v <= F.lit(w[3])), F.struct(F.lit(k).alias("_key"), v.alias("_value"))) for k, (v, w) in enumerate(zip(x, wanted))]))
+    counts = values.select(F.explode(inside).alias("_s")).select("_s.*").groupBy("_key", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    # the summary's own values cut a bracket into ranges
+    cuts = F.array(*[F.array(*[F.lit(v) for v in w[5]]).cast("array<double>") for w in wanted])[F.col("_key")]
+    placed = counts.withColumn("_range", F.size(F.filter(cuts, lambda v: v < F.col("_value"))))
+    summed = running_sums(placed, [F.col("_value")], ["_n"], ("_key",))
+    floors = F.array(*[F.lit(math.floor(w[4]) - below[f"b{k}"]).cast("long") for k, w in enumerate(wanted)])[F.col("_key")]
     rows = (
-        summed
-        .withColumn("_at", F.element_at(floors, F.col("_key") + 1))
-        .where((F.col("_value") > below) & (F.col("_end") > F.col("_at")) & (F.col("_end") - F.col("_n") <= F.col("_at") + 1))
-        .select("_key", "_value", "_n", "_end", "_at")
+        summed.withColumn("_at", floors)
+        .where((F.col("cum__n") > F.col("_at")) & (F.col("cum__n") - F.col("_n") <= F.col("_at") + 1))
+        .select("_key", "_value", "_n", F.col("cum__n").alias("_end"), "_at")
         .collect()  # at most two rows per request
     )
     found = {}
     for row in rows:
         for position in (row["_at"], row["_at"] + 1):
             if row["_end"] - row["_n"] <= position < row["_end"]:
-                found[(row["_key"], position)] = row["_value"]
+                found[(row["_key"], position + below[f"b{row['_key']}"])] = row["_value"]
     return found
-
-
-def _sorted_values(numbers: DataFrame, column: str, first: int, last: int) -> tuple[float, float]:
-    counts = numbers.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    ordered = running_sums(place_in_ranges(counts, column), [F.col(column)], ["n"])
-    rows = ordered.where((F.col("cum_n") > first) & (F.col("cum_n") - F.col("n") <= last)).collect()
-    at = {p: r[column] for r in rows for p in (first, last) if r["cum_n"] - r["n"] <= p < r["cum_n"]}
-    return at[first], at[last]

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendgrid.operators import profile as pr
+from lendgrid.operators import ordered as orders, summaries as su
 from lendgrid.operators.ordered import exact_quantiles, global_positions, hash_rank, place_in_ranges, running_sums, sample_rows
 
 
@@ -26,10 +27,37 @@ def test_quantiles_in_parts(spark, width):
     rng = np.random.default_rng(8)
     values = np.where(rng.random(30_000) < 0.3, 0.5, rng.random(30_000))
     probabilities = [0.001, 0.25, 0.5, 0.77, 0.999]
-    got = exact_quantiles(frame(spark, values), {"x": probabilities}, spread_above=100)["x"]
+    got = exact_quantiles(frame(spark, values), {"x": probabilities})["x"]
     assert got == pytest.approx(list(np.quantile(values, probabilities)), abs=1e-12)
 
 
+@pytest.mark.parametrize("repeat", [1, 5])
+def test_quantiles_beyond_a_summary(spark, width, repeat, monkeypatch):
+    rng = np.random.default_rng(repeat)
+    values = np.round(rng.normal(size=4000), 3 if repeat > 1 else 9).tolist() * repeat
+    rng.shuffle(values)
+    probabilities = [0.0, 0.001, 0.25, 0.5, 0.7771, 0.999, 1.0]
+
+    monkeypatch.setattr(su, "EXACT", 50)
+    monkeypatch.setattr(su, "WIDTH", 32)
+    whole = su.Summary()
+    for start in range(0, len(values), 250):
+        whole.add(*np.unique(values[start:start + 250], return_counts=True))
+    ordered = np.sort(values)
+    run = np.cumsum(whole.pairs()[1])
+    assert run[-1] == len(values) and all(abs(int(r) - np.searchsorted(ordered, v, "right")) <= whole.error for v, r in zip(whole.pairs()[0], run))
+    monkeypatch.setattr(orders, "column_summaries", lambda df, columns: {"x": whole})
+    got = exact_quantiles(frame(spark, values), {"x": probabilities})["x"]
+    assert got == pytest.approx(list(np.quantile(values, probabilities)), abs=1e-12)
+
+
+def test_summaries_of_columns(spark, width):
+    rows = [(float(i % 7), float(i), None if i % 3 else float("nan")) for i in range(20_000)]
+    found = su.column_summaries(spark.createDataFrame(rows, "a double, b double, c double").repartition(3), ["a", "b", "c"])
+    assert found["a"].exact and found["a"].pairs()[1].sum() == 20_000 and found["c"].n == 0
+    assert not found["b"].exact and found["b"].n == 20_000 and abs(found["b"].at_rank(9_999) - 9_999) <= found["b"].error + 8 < 200
+
+
 def test_global_positions(spark, width):
     rng = np.random.default_rng(6)
     rows = [(f"d{int(a)}", i) for i, a in enumerate(rng.integers(0, 9, 200))]
