@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.catalog.registry import register
 from lendgrid.catalog.views import MARKET_SEGMENTS
-from lendgrid.functions.defaults import NO_RECORD
+from lendgrid.functions.defaults import NO_RECORD, NON_FEATURES
 from lendgrid.operators import features as fe, profile as pr
 from lendgrid.operators.encoding import encode_categoricals
 from lendgrid.plans.feature_build import build_feature_table, joined_features
@@ -215,6 +215,8 @@ FEATURE_EXACT = (
     *JOINED_EXACT, "DAYS_EMPLOYED_ANOM", "DAYS_EMPLOYED", "DAYS_BIRTH", "CODE_GENDER_M", "CNT_CHILDREN", *FLAGS, *ONE_HOT
 )
 FEATURE_DOUBLES = (*JOINED_DOUBLES, "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS")
+#: All model inputs, for the SQL side; the Spark side takes them from the schema.
+FEATURE_INPUTS = tuple(dict.fromkeys(c for c in (*FEATURE_EXACT, *FEATURE_DOUBLES) if c not in NON_FEATURES))
 
 
 @register("fe15_feature_table", "SELECT * FROM features", ("features",), FEATURE_EXACT, FEATURE_DOUBLES)
@@ -305,37 +307,44 @@ def p4_counts_at_maximum(spark, d):
     return pr.counts_at_maximum(_application(spark, d), "DAYS_EMPLOYED", "NAME_FAMILY_STATUS")
 
 
-DESCRIBED = ("DAYS_EMPLOYED", "credit_to_income", "annuity_to_income", "credit_to_goods", "bureau_debt_sum",
-             "cc_utilization_mean", "inst_delay_mean", "pos_dpd_rate")
+#: Numbers and flags of the joined table, for the SQL side; the Spark side takes them from the schema.
+JOINED_NUMBERS = tuple(c for c in JOINED_ALL if c not in ("SK_ID_CURR", "NAME_FAMILY_STATUS"))
+
+
+def _numbers(df, *skip):
+    return pr.numeric_columns(df, ("SK_ID_CURR", *skip))
 
 
 @register(
     "p5_describe",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min,
+        f"""SELECT '{c}' AS "column", count({c}) AS count, avg({c}::DOUBLE) AS mean, stddev_samp({c}::DOUBLE) AS std, min({c}::DOUBLE) AS min,
             quantile_cont({c}::DOUBLE, 0.25) AS q25, quantile_cont({c}::DOUBLE, 0.5) AS q50,
-            quantile_cont({c}::DOUBLE, 0.75) AS q75, max({c}) AS max FROM joined"""
-        for c in DESCRIBED
+            quantile_cont({c}::DOUBLE, 0.75) AS q75, max({c}::DOUBLE) AS max FROM joined"""
+        for c in JOINED_NUMBERS
     ),
     ("joined",), ("column", "count"), ("mean", "std", "min", "q25", "q50", "q75", "max"), 4,
 )
 def p5_describe(spark, d):
-    return pr.describe(stored_joined(spark, d), list(DESCRIBED))
+    joined = stored_joined(spark, d)
+    return pr.describe(joined, _numbers(joined))
 
 
-CORRELATED = (
-    "credit_to_income", "annuity_to_income", "AMT_CREDIT", "bureau_count", "bureau_active_count",
-    "bureau_debt_sum", "bb_months_dpd_sum", "prev_count", "prev_approval_rate", "pos_dpd_max", "cc_utilization_mean",
-    "inst_delay_mean", "inst_shortfall_mean", "DAYS_EMPLOYED", "DAYS_BIRTH",
-)
 _CORR_SQL = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, corr({c}::DOUBLE, TARGET::DOUBLE) AS corr FROM joined WHERE IS_TRAIN = 1" for c in CORRELATED
+    f"""SELECT '{c}' AS feature, CASE WHEN stddev_pop({c}::DOUBLE) > 1e-9::DOUBLE * abs(avg({c}::DOUBLE)) THEN corr({c}::DOUBLE, TARGET::DOUBLE) END AS corr
+        FROM joined WHERE IS_TRAIN = 1 AND TARGET IS NOT NULL"""
+    for c in JOINED_NUMBERS if c not in ("TARGET", "IS_TRAIN")
 )
 
 
+def _correlations(spark, d):
+    joined = stored_joined(spark, d)
+    return pr.target_correlations(joined.where("IS_TRAIN = 1"), _numbers(joined, "TARGET", "IS_TRAIN"))
+
+
 @register("p6_target_correlations", _CORR_SQL, ("joined",), ("feature",), ("corr",))
 def p6_target_correlations(spark, d):
-    return pr.target_correlations(stored_joined(spark, d).where("IS_TRAIN = 1"), list(CORRELATED))
+    return _correlations(spark, d)
 
 
 @register(
@@ -408,16 +417,18 @@ def p9_null_shares(spark, d):
     return pr.null_shares(_joined(spark, d))
 
 
-_CATEGORICAL = (("c_mktsegment", "customer"), ("c_name", "customer"), ("c_nationkey", "customer"))
+_CATEGORICAL = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @register(
     "p10_cardinality",
-    " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct FROM {t}""" for c, t in _CATEGORICAL),
+    " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct FROM customer""" for c in _CATEGORICAL),
     (), ("column", "n_distinct"),
 )
 def p10_cardinality(spark, d):
-    return pr.cardinality(proxy.given(spark, d, "customer"), [c for c, _ in _CATEGORICAL])
+    """Distinct values of every column of the customers."""
+    customers = proxy.given(spark, d, "customer")
+    return pr.cardinality(customers, customers.columns)
 
 
 _HIST = """
@@ -465,5 +476,4 @@ def p12_split_summary(spark, d):
     ("joined",), ("feature", "rank"), ("corr",),
 )
 def p13_correlation_ranking(spark, d):
-    joined = stored_joined(spark, d).where("IS_TRAIN = 1")
-    return pr.correlation_ranking(pr.target_correlations(joined, list(CORRELATED)))
+    return pr.correlation_ranking(_correlations(spark, d))

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from lendgrid.catalog.feature_queries import _application, _scratch, stored_features
+from lendgrid.catalog.feature_queries import FEATURE_INPUTS, _application, _scratch, stored_features
 from lendgrid.catalog.registry import register
 from lendgrid.catalog.views import LINEAR_INPUTS
 from lendgrid.functions import defaults
@@ -296,15 +296,6 @@ def m20_population_summary(spark, d):
 
 # fitted models (checked by properties in the tests)
 
-#: The columns whose missing values x12 counts and imputes; models take all columns.
-MODEL_COLUMNS = [
-    "AMT_CREDIT", "AMT_INCOME_TOTAL", "AMT_ANNUITY", "AMT_GOODS_PRICE", "DAYS_EMPLOYED", "DAYS_BIRTH", "credit_to_income",
-    "annuity_to_income", "credit_to_goods", "bureau_debt_mean", "bureau_active_count", "prev_credit_mean",
-    "prev_annuity_mean", "inst_delay_max", "inst_shortfall_mean", "pos_months_count", "cc_utilization_mean",
-    "CODE_GENDER_M", "DAYS_EMPLOYED_ANOM", "cc_no_record",
-]
-
-
 def _train(spark, d):
     return _training_table(spark, d).where("IS_TRAIN = 1")
 
@@ -589,7 +580,7 @@ def _missing_sql(columns) -> str:
 
 @register(
     "x12_imputation_shift",
-    f"SELECT SK_ID_CURR AS id, n_missing, n_missing = 0 AS complete, true AS whole_cases_keep_score FROM (SELECT SK_ID_CURR, {_missing_sql(MODEL_COLUMNS)} AS n_missing FROM features WHERE IS_TRAIN = 1)",
+    f"SELECT SK_ID_CURR AS id, n_missing, n_missing = 0 AS complete, true AS whole_cases_keep_score FROM (SELECT SK_ID_CURR, {_missing_sql(FEATURE_INPUTS)} AS n_missing FROM features WHERE IS_TRAIN = 1)",
     ("features",), ("id", "n_missing", "complete", "whole_cases_keep_score"),
 )
 def x12_imputation_shift(spark, d):
@@ -605,9 +596,10 @@ def x12_shift_summary(spark, d):
 def _shifts(spark, d):
     train = _train(spark, d)
     scorer = _trees(spark, d)
-    numeric = [c for c in MODEL_COLUMNS if dict(train.dtypes)[c] != "boolean"]
+    inputs, types = mo.feature_columns(train), dict(train.dtypes)
+    numeric = [c for c in inputs if types[c] != "boolean"]
     medians = {c: q[0] for c, q in exact_quantiles(train, {c: [0.5] for c in numeric}).items() if q[0] is not None}
-    scored = scorer.score(train.withColumn("n_missing", wi.missing_count(MODEL_COLUMNS)))
+    scored = scorer.score(train.withColumn("n_missing", wi.missing_count(inputs)))
     native = scored.select(F.col("SK_ID_CURR").alias("id"), "p", "n_missing", F.col("TARGET").alias("y"))
     imputed = scorer.score(wi.impute(train, medians)).select(F.col("SK_ID_CURR").alias("id"), "p")
     return wi.imputation_shift(native, imputed, sc.rate_matched_threshold(native))

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lendgrid.catalog.feature_queries import stored_features, _scratch
+from lendgrid.catalog.feature_queries import FEATURE_INPUTS, stored_features, _scratch
 from lendgrid.catalog.model_queries import NAMES, _REASONS_SQL, _linear_scorer
 from lendgrid.catalog.registry import register
-from lendgrid.catalog.views import LETTERS, psi_sql
+from lendgrid.catalog.views import LETTERS, numeric_psi_sql, psi_sql
 from lendgrid.functions import defaults
 from lendgrid.functions.texts import snippet, tokens
 from lendgrid.operators import answers as an, attributions as at, drift as dr, fusion as fu, keyword as kw
 from lendgrid.operators import reasons as re_, review as rv, scoring as sc, vectors as ve
 from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
+from lendgrid.operators.models import feature_columns
 from lendgrid.plans.retrieval import hybrid_candidates, retrieve
 from lendgrid.session import cut_lineage, spread
 from lendgrid.sources import proxy, tables
@@ -576,17 +577,13 @@ def d1_event_drift(spark, d):
     return _event_psi(spark, d)
 
 
-DRIFT_BINNED = (
-    "AMT_CREDIT", "AMT_INCOME_TOTAL", "credit_to_income", "DAYS_EMPLOYED", "DAYS_BIRTH", "bureau_debt_mean",
-    "prev_credit_mean", "inst_delay_mean", "cc_utilization_mean",
-)
-DRIFT_BY_VALUE = ("CNT_CHILDREN", "CODE_GENDER_M", "DAYS_EMPLOYED_ANOM", "bureau_no_record", "cc_no_record", "prev_ever_refused",
-                  "NAME_FAMILY_STATUS_nan")
-_FEATURE_PSI = psi_sql("features", "(IS_TRAIN = 1)", DRIFT_BINNED, DRIFT_BY_VALUE)
+_FEATURE_PSI = numeric_psi_sql("features", "(IS_TRAIN = 1)", FEATURE_INPUTS)
 
 
 def _feature_psi(spark, d):
-    return dr.stability_index(stored_features(spark, d), [*DRIFT_BINNED, *DRIFT_BY_VALUE], F.col("IS_TRAIN") == 1)
+    """All columns of the feature table but id, label and split."""
+    features = stored_features(spark, d)
+    return dr.stability_index(features, feature_columns(features), F.col("IS_TRAIN") == 1)
 
 
 @register("d1_feature_drift", _FEATURE_PSI, ("features",), ("column",), ("psi",))

@@ -285,21 +285,35 @@ VIEW_SQL["event_log"] = ((), """
     FROM events""")
 
 
+def _psi(long: str) -> str:
+    """Shares and the index of rows ``column, bin, ref``."""
+    return f"""SELECT "column", sum((r - c) * ln(r / c)) AS psi FROM (
+        SELECT "column", greatest(r / sum(r) OVER w, CASE WHEN r > 0 THEN 0 ELSE 1e-4 END) AS r,
+          greatest(c / sum(c) OVER w, CASE WHEN c > 0 THEN 0 ELSE 1e-4 END) AS c
+        FROM (SELECT "column", bin, count(*) FILTER (WHERE ref)::DOUBLE AS r, count(*) FILTER (WHERE NOT ref)::DOUBLE AS c
+              FROM ({long}) GROUP BY "column", bin) WINDOW w AS (PARTITION BY "column")) GROUP BY "column" """
+
+
+def numeric_psi_sql(source: str, reference: str, columns: tuple[str, ...]) -> str:
+    """The index of columns of numbers and flags; those with more than 20 values get ten bins of equal width."""
+    numbers = ", ".join(f'{c}::DOUBLE AS "{c}"' for c in columns)
+    listed = ", ".join(f'"{c}"' for c in columns)
+    return _psi(f"""SELECT "column", CASE WHEN n > 20 THEN least(9, greatest(0, coalesce(floor((x - lo) * 10 / nullif(hi - lo, 0)), 0))) ELSE x END AS bin, ref
+        FROM (UNPIVOT (SELECT {reference} AS ref, {numbers} FROM {source}) ON {listed} INTO NAME "column" VALUE x) AS cells
+        JOIN (SELECT "column", count(DISTINCT x) AS n, min(x) AS lo, max(x) AS hi
+              FROM (UNPIVOT (SELECT {numbers} FROM {source}) ON {listed} INTO NAME "column" VALUE x) GROUP BY "column") AS ends USING ("column")""")
+
+
 def psi_sql(source: str, reference: str, binned: tuple[str, ...], by_value: tuple[str, ...]) -> str:
     """Long form of all columns with their bins, then shares and the index."""
     parts = []
     for c in binned:
-        parts.append(f"""SELECT '{c}' AS "column", CAST(least(9, greatest(0, coalesce(floor(({c}::DOUBLE - lo) * 10 / nullif(hi - lo, 0)), 0)))
-            AS INTEGER)::VARCHAR AS bin, {reference} AS ref FROM {source},
-            (SELECT min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi FROM {source}) WHERE {c} IS NOT NULL""")
+        parts.append(f"""SELECT '{c}' AS "column", CASE WHEN n > 20 THEN CAST(least(9, greatest(0, coalesce(floor(({c}::DOUBLE - lo) * 10 / nullif(hi - lo, 0)), 0)))
+            AS INTEGER)::VARCHAR ELSE {c}::VARCHAR END AS bin, {reference} AS ref FROM {source},
+            (SELECT min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi, count(DISTINCT {c}) AS n FROM {source}) WHERE {c} IS NOT NULL""")
     for c in by_value:
         parts.append(f"""SELECT '{c}' AS "column", {c}::VARCHAR AS bin, {reference} AS ref FROM {source} WHERE {c} IS NOT NULL""")
-    long = " UNION ALL ".join(parts)
-    return f"""SELECT "column", sum((r - c) * ln(r / c)) AS psi FROM (
-        SELECT "column", greatest(r / sum(r) OVER w, CASE WHEN r > 0 THEN 0 ELSE 1e-4 END) AS r,
-          greatest(c / sum(c) OVER w, CASE WHEN c > 0 THEN 0 ELSE 1e-4 END) AS c
-        FROM (SELECT "column", bin, count(*) FILTER (WHERE ref)::DOUBLE AS r, count(*) FILTER (WHERE NOT ref)::DOUBLE AS c
-              FROM ({long}) GROUP BY "column", bin) WINDOW w AS (PARTITION BY "column")) GROUP BY "column" """
+    return _psi(" UNION ALL ".join(parts))
 
 
 def _ordered(names, done: list[str]) -> list[str]:

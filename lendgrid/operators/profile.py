@@ -69,10 +69,14 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def target_correlations(df: DataFrame, columns: list[str], target: str = "TARGET") -> DataFrame:
-    """Pearson correlation of each column with the target over complete pairs, in one pass."""
+    """Pearson correlation of each column with the target over complete pairs, in one pass.
+
+    A column that is constant but for rounding has none.
+    """
     y = F.col(target).cast("double")
-    row = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(f"r{i}") for i, c in enumerate(columns)])
-    return _long(row, {c: [F.col(f"r{i}")] for i, c in enumerate(columns)}, ["corr"], "feature")
+    x = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns]
+    row = df.where(y.isNotNull()).agg(*[F.when(F.stddev_pop(v) > 1e-9 * F.abs(F.avg(v)), F.corr(v, y)).alias(f"r{i}") for i, v in enumerate(x)])
+    return _long(row, {c: [F.nanvl(F.col(f"r{i}"), F.lit(None))] for i, c in enumerate(columns)}, ["corr"], "feature")
 
 
 def group_default_rate(df: DataFrame, column: str, target: str = "TARGET") -> DataFrame:
