@@ -11,7 +11,7 @@ from lendgrid.catalog.views import LETTERS, numeric_psi_sql, psi_sql
 from lendgrid.functions import defaults
 from lendgrid.functions.texts import snippet, tokens
 from lendgrid.operators import answers as an, attributions as at, drift as dr, fusion as fu, keyword as kw
-from lendgrid.operators import reasons as re_, review as rv, scoring as sc, vectors as ve
+from lendgrid.operators import reasons as re_, review as rv, scoring as sc, vector_index as vi, vectors as ve
 from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
 from lendgrid.operators.models import feature_columns
@@ -138,24 +138,50 @@ def r6_vector_upsert(spark, d):
 _CENTROID = ", ".join(f"avg(embedding[{i + 1}]::DOUBLE)" for i in range(64))
 
 
-@register(
-    "r7_cosine_top_k",
-    f"""WITH q AS (SELECT label AS query_id, [{_CENTROID}] AS v FROM embeddings GROUP BY label),
+_COSINE_SQL = f"""WITH q AS (SELECT label AS query_id, [{_CENTROID}] AS v FROM embeddings GROUP BY label),
          e AS (SELECT vec_id AS item_id, embedding::DOUBLE[] AS v FROM embeddings),
          s AS (SELECT query_id, item_id, round(list_dot_product(q.v, e.v) / sqrt(list_dot_product(q.v, q.v))
                  / sqrt(list_dot_product(e.v, e.v)), 9) AS score FROM q, e)
        SELECT query_id, item_id, score, "rank" FROM (SELECT *, CAST(row_number() OVER (
-         PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS "rank" FROM s) WHERE "rank" <= 10""",
-    (), ("query_id", "item_id", "rank"), ("score",),
-)
-def r7_cosine_top_k(spark, d):
-    """The ten vectors nearest to the centre of every label."""
+         PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS "rank" FROM s) WHERE "rank" <= 10"""
+
+
+def _centre_search(spark, d):
+    """The vectors, and the centre of every label as a query."""
     e = proxy.given(spark, d, "embeddings")
     centre = e.groupBy(F.col("label").alias("query_id")).agg(
         F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(64)]).alias("vector")
     )
-    vectors = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
-    return ve.cosine_top_k(vectors, centre, 10)
+    return e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector")), centre
+
+
+@register("r7_cosine_top_k", _COSINE_SQL, (), ("query_id", "item_id", "rank"), ("score",))
+def r7_cosine_top_k(spark, d):
+    """The ten vectors nearest to the centre of every label."""
+    return ve.cosine_top_k(*_centre_search(spark, d), 10)
+
+
+@register("r7_indexed_top_k", _COSINE_SQL, (), ("query_id", "item_id", "rank"), ("score",))
+def r7_indexed_top_k(spark, d):
+    """The same rows from the table in cells, of which a query reads those that its bounds leave open."""
+    vectors, centre = _centre_search(spark, d)
+    return vi.search_cells(vi.build_vector_index(vectors), centre, 10)[0]
+
+
+@register(
+    "r7_own_neighbours",
+    """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+         s AS (SELECT q.vec_id AS query_id, e.vec_id AS item_id, round(list_dot_product(q.v, e.v) / sqrt(list_dot_product(q.v, q.v))
+                 / sqrt(list_dot_product(e.v, e.v)), 9) AS score FROM e AS q, e WHERE q.vec_id % 100 = 0)
+       SELECT query_id, item_id, score, "rank" FROM (SELECT *, CAST(row_number() OVER (
+         PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS "rank" FROM s) WHERE "rank" <= 10""",
+    (), ("query_id", "item_id", "rank"), ("score",),
+)
+def r7_own_neighbours(spark, d):
+    """Every vector whose id is divisible by 100 against all vectors, through the table in cells."""
+    vectors, _ = _centre_search(spark, d)
+    asked = vectors.where(F.col("item_id") % 100 == 0).select(F.col("item_id").alias("query_id"), "vector")
+    return vi.search_cells(vi.build_vector_index(vectors), asked, 10)[0]
 
 
 def letter_counts(texts: list[str]) -> list[list[float]]:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendgrid.functions.texts import snippet, strip_fences, tokens, words
-from lendgrid.operators import answers as an, fusion as fu, keyword as kw, vectors as ve
+from lendgrid.operators import answers as an, fusion as fu, keyword as kw, vector_index as vi, vectors as ve
 from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
 from lendgrid.plans.retrieval import retrieve
@@ -280,3 +280,38 @@ def test_tiles_give_the_same_top_rows(monkeypatch):
     monkeypatch.setattr(ve, "TILE_QUERIES", 2)
     tiled = ve._block_top(np.arange(60), x, np.arange(9), q, 4)
     assert whole.reset_index(drop=True).equals(tiled.reset_index(drop=True))
+
+
+@pytest.mark.parametrize("shape", ["clusters", "copies", "one"])
+def test_cells_find_what_brute_force_finds(spark, width, shape):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8))
+    x = {"clusters": np.concatenate([c + 0.05 * rng.normal(size=(80, 8)) for c in centres] + [np.zeros((3, 8))]),
+         "copies": np.concatenate([np.tile(centres[0], (200, 1)), rng.normal(size=(60, 8))]), "one": centres[:1]}[shape]
+    q = np.concatenate([centres[:4] + 0.01, rng.normal(size=(3, 8)), np.zeros((1, 8))])
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "item_id long, vector array<double>")
+    asked = spark.createDataFrame([(f"q{i}", v.tolist()) for i, v in enumerate(q)], "query_id string, vector array<double>")
+    index = vi.build_vector_index(items)
+    unit = lambda m: m / np.where(np.linalg.norm(m, axis=1, keepdims=True) == 0, 1, np.linalg.norm(m, axis=1, keepdims=True))
+    scores = np.round(unit(q) @ unit(x).T, 9)
+    for numbers in (16, 4_000_000):
+        found, share = vi.search_cells(index, asked, 6, query_numbers=numbers)
+        got = {(r.query_id, r["rank"]): (r.item_id, r.score) for r in found.collect()}
+        for i in range(len(q)):
+            order = sorted(range(len(x)), key=lambda j: (-scores[i, j], j))[:6]
+            assert [got[f"q{i}", r + 1][1] for r in range(len(order))] == pytest.approx([scores[i, j] for j in order], abs=1e-8)
+            if shape != "copies":
+                assert [got[f"q{i}", r + 1][0] for r in range(len(order))] == order or len(set(scores[i, order])) < len(order)
+        assert 0 < share <= 1
+    if shape == "clusters":
+        near, share = vi.search_cells(index, asked.where("query_id < 'q4'"), 6)
+        assert near.count() == 24 and share < 0.5
+
+
+def test_cells_of_nothing(spark):
+    none = vi.build_vector_index(spark.createDataFrame([], "item_id long, vector array<double>"))
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vector array<double>")
+    assert vi.search_cells(none, asked, 3)[0].collect() == []
+    some = vi.build_vector_index(spark.createDataFrame([(1, [1.0, 0.0])], "item_id long, vector array<double>"))
+    assert vi.search_cells(some, asked.limit(0), 3)[0].collect() == []
+    assert [tuple(r) for r in vi.search_cells(some, asked, 3)[0].collect()] == [(1, 1, 1, 1.0)]
