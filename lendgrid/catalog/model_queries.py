@@ -15,6 +15,7 @@ from lendgrid.operators import attributions as at, fairness as fa, models as mo,
 from lendgrid.operators import segments as sg, splits as sp, whatif as wi
 from lendgrid.operators.ordered import exact_quantiles, sample_rows
 from lendgrid.plans.training import train_full_model
+from lendgrid.session import cut_lineage
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.score_log import append_log, log_entries, read_log
 
@@ -574,6 +575,50 @@ def x1_additivity(spark, d):
     )
 
 
+def _tree_wide(spark, d):
+    """Attributions of every labelled applicant by the boosted trees, written once a query, with the base value and names."""
+    scorer = _trees(spark, d)
+    wide, base = at.tree_attributions(scorer, _train(spark, d), "SK_ID_CURR")
+    return cut_lineage(wide), base, scorer.names
+
+
+@register("x3_tree_importance")
+def x3_tree_importance(spark, d):
+    wide, _, names = _tree_wide(spark, d)
+    return at.global_importance(wide, names)
+
+
+@register("x7_tree_stability")
+def x7_tree_stability(spark, d):
+    wide, _, names = _tree_wide(spark, d)
+    return at.rank_stability(wide, names)
+
+
+@register("x9_tree_waterfall")
+def x9_tree_waterfall(spark, d):
+    wide, base, names = _tree_wide(spark, d)
+    return at.waterfall(wide, names, base)
+
+
+@register(
+    "x11_tree_records",
+    """SELECT SK_ID_CURR AS sk_id_curr, true AS adds_up, true AS reasons_for_high_risk_only FROM application WHERE IS_TRAIN = 1""",
+    ("application",), ("sk_id_curr", "adds_up", "reasons_for_high_risk_only"),
+)
+def x11_tree_records(spark, d):
+    """Score, decision, attributions and reasons of every labelled applicant by the boosted trees, and what must hold of them."""
+    wide, base, names = _tree_wide(spark, d)
+    scored = wide.join(_train(spark, d).select(F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y")), "id").select("id", "y", (1 / (1 + F.exp(-F.col("margin")))).alias("p"))
+    records = sc.score_records(scored, sc.rate_matched_threshold(scored))
+    explained = re_.explain_records(wide, records, names, base)
+    total = F.aggregate("shap_values", F.col("base_value"), lambda a, v: a + v)
+    protected = F.exists("reason_codes", lambda r: r.contains("CODE_GENDER") | r.contains("DAYS_BIRTH"))
+    return explained.withColumns({
+        "adds_up": F.abs(1 / (1 + F.exp(-total)) - F.col("probability")) < 1e-9,
+        "reasons_for_high_risk_only": ((F.col("decision") == defaults.HIGH_RISK) | (F.size("reason_codes") == 0)) & (F.size("reason_codes") <= 4) & ~protected,
+    })
+
+
 def _missing_sql(columns) -> str:
     return " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in columns)
 

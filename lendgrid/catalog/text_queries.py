@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lendgrid.catalog.feature_queries import FEATURE_INPUTS, stored_features, _scratch
 from lendgrid.catalog.model_queries import NAMES, _REASONS_SQL, _linear_scorer
@@ -18,6 +18,7 @@ from lendgrid.operators.models import feature_columns
 from lendgrid.plans.retrieval import hybrid_candidates, retrieve
 from lendgrid.session import cut_lineage, spread
 from lendgrid.sources import proxy, tables
+from lendgrid.sources.keyed_store import KeyedStore
 from lendgrid.sources.corpus import scan_corpus, split_title
 from lendgrid.sources.score_log import append_log, log_entries, read_log, summarize_log
 from lendgrid.streaming import score_log as stream
@@ -116,23 +117,32 @@ def r5_keyword_search(spark, d):
 
 @register(
     "r6_vector_upsert",
-    """WITH incoming AS (SELECT CASE WHEN label % 2 = 0 THEN vec_id ELSE vec_id + 1000000 END AS item_id, label + 100 AS label, vec_id AS o
-                         FROM embeddings UNION ALL SELECT vec_id, label + 200, vec_id + 5000000 FROM embeddings WHERE label = 0)
-       SELECT item_id, arg_max(label, o) AS label FROM incoming GROUP BY item_id
-       UNION ALL SELECT vec_id, label FROM embeddings WHERE vec_id NOT IN (SELECT item_id FROM incoming)""",
-    (), ("item_id", "label"),
+    """WITH incoming AS (SELECT CASE WHEN label % 2 = 0 THEN vec_id ELSE vec_id + 1000000 END AS item_id, label + 100 AS label, embedding AS v, vec_id AS o
+                         FROM embeddings UNION ALL SELECT vec_id, label + 200, list_reverse(embedding), vec_id + 5000000 FROM embeddings WHERE label = 0),
+         rows AS (SELECT item_id, arg_max(label, o) AS label, arg_max(v, o) AS v FROM incoming GROUP BY item_id
+                  UNION ALL SELECT vec_id, label, embedding FROM embeddings WHERE vec_id NOT IN (SELECT item_id FROM incoming))
+       SELECT item_id, label, len(v) AS dimensions, v[1]::DOUBLE AS head, v[64]::DOUBLE AS tail, list_sum([x::DOUBLE FOR x IN v]) AS total FROM rows""",
+    (), ("item_id", "label", "dimensions"), ("head", "tail", "total"),
 )
 def r6_vector_upsert(spark, d):
-    """Re-embedded items replace the stored ones, new ids are added; the last write of an id wins."""
+    """Re-embedded items replace the stored ones, new ids are added; the last write of an id wins.
+
+    Three batches go to a keyed store; the second is sent again after the third, which changes nothing, and a compaction follows.
+    """
     e = proxy.given(spark, d, "embeddings")
-    stored = e.select(F.col("vec_id").alias("item_id"), "label", F.col("embedding").alias("vector"))
-    moved = F.when(F.col("label") % 2 == 0, F.col("vec_id")).otherwise(F.col("vec_id") + 1000000)
-    first = e.select(moved.alias("item_id"), (F.col("label") + 100).alias("label"), F.col("embedding").alias("vector"), F.col("vec_id").alias("o"))
-    later = e.where("label = 0").select(
-        F.col("vec_id").alias("item_id"), (F.col("label") + 200).alias("label"), F.col("embedding").alias("vector"),
-        (F.col("vec_id") + 5000000).alias("o"),
-    )
-    return ve.upsert(stored, first.unionByName(later), "item_id", "o")
+    row = lambda item, label, vector: e.select(item.alias("item_id"), label.alias("label"), vector.alias("vector"), F.col("vec_id").alias("o"))
+    vec, label, vector = F.col("vec_id"), F.col("label"), F.col("embedding")
+    again = row(F.when(label % 2 == 0, vec).otherwise(vec + 1000000), label + 100, vector)
+    store = KeyedStore(spark, _scratch(spark, "keyed"), "item_id")
+    store.write("stored", row(vec, label, vector), "o")
+    store.write("again", again, "o")
+    store.write("later", row(vec, label + 200, F.reverse(vector)).where(F.col("label") == 200), "o")
+    store.write("again", again, "o")
+    store.compact()
+    numbers = F.transform("vector", lambda v: v.cast("double"))
+    return store.read().select(
+        "item_id", "label", F.size("vector").cast("long").alias("dimensions"), numbers[0].alias("head"), numbers[63].alias("tail"),
+        F.aggregate(numbers, F.lit(0.0), lambda a, v: a + v).alias("total"))
 
 
 _CENTROID = ", ".join(f"avg(embedding[{i + 1}]::DOUBLE)" for i in range(64))
@@ -256,6 +266,22 @@ def r11_retrieve(spark, d):
     return retrieve(*_retrieval_inputs(spark, d))
 
 
+@register(
+    "r11_retrieve_reordered",
+    """WITH given AS (SELECT query_id, item_id, row_number() OVER (PARTITION BY query_id ORDER BY item_id DESC) AS g FROM fused WHERE "rank" % 2 = 0)
+       SELECT query_id, CAST(r AS INTEGER) AS "rank", doc_id, chunk_id, title, text FROM (
+         SELECT f.query_id, f.item_id, row_number() OVER (PARTITION BY f.query_id ORDER BY g NULLS LAST, f."rank") AS r
+         FROM fused f LEFT JOIN given USING (query_id, item_id)) JOIN chunks ON item_id = chunk_id WHERE r <= 4""",
+    ("fused", "chunks"), ("query_id", "rank", "doc_id", "chunk_id", "title", "text"),
+)
+def r11_retrieve_reordered(spark, d):
+    """Retrieval with the reply of a ranking model: every second candidate, the last ids first."""
+    inputs = _retrieval_inputs(spark, d)
+    fused = hybrid_candidates(*inputs)
+    given = fused.where(F.col("rank") % 2 == 0).select("query_id", "item_id", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("item_id"))).alias("given_rank"))
+    return retrieve(*inputs, given=given)
+
+
 @register(
     "r12_citations", "SELECT * FROM citations", ("citations",), ("query_id", "rank", "title", "chunk_id", "snippet")
 )

@@ -12,6 +12,7 @@ from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
 from lendgrid.plans.retrieval import retrieve
 from lendgrid.sources import tables
+from lendgrid.sources.keyed_store import KeyedStore
 from lendgrid.sources.corpus import scan_corpus
 
 
@@ -315,3 +316,23 @@ def test_cells_of_nothing(spark):
     some = vi.build_vector_index(spark.createDataFrame([(1, [1.0, 0.0])], "item_id long, vector array<double>"))
     assert vi.search_cells(some, asked.limit(0), 3)[0].collect() == []
     assert [tuple(r) for r in vi.search_cells(some, asked, 3)[0].collect()] == [(1, 1, 1, 1.0)]
+
+
+def test_keyed_store(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "store"), "id")
+    frame_of = lambda rows: spark.createDataFrame(rows, "id long, vector array<double>, at int")
+    rows = lambda: {r.id: r.vector[0] for r in store.read().collect()}
+    with pytest.raises(ValueError):
+        store.read()
+    assert store.write("a", frame_of([(1, [1.0], 0), (2, [2.0], 0), (None, [9.0], 0), (2, [2.5], 1)]), "at")
+    assert rows() == {1: 1.0, 2: 2.5}
+    assert store.write("b", frame_of([(2, [20.0], 0), (3, [30.0], 0)]), "at")
+    before = sorted(p.name for p in (tmp_path / "store").iterdir())
+    assert not store.write("a", frame_of([(1, [-1.0], 0)]), "at")  # the batch is known: nothing changes
+    assert rows() == {1: 1.0, 2: 20.0, 3: 30.0} and sorted(p.name for p in (tmp_path / "store").iterdir()) == before
+    frame_of([(1, [77.0], 0)]).drop("at").write.parquet(str(tmp_path / "store" / "delta-half"))  # a batch that failed before its entry
+    store.compact()
+    assert rows() == {1: 1.0, 2: 20.0, 3: 30.0} and len(store._live()) == 1
+    assert store.write("c", frame_of([(3, [31.0], 0)]), "at") and rows() == {1: 1.0, 2: 20.0, 3: 31.0}
+    with pytest.raises(Exception):
+        store._commit(2, "late", "x", False)  # a version is made once
