@@ -14,7 +14,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lendgrid.llm.components import connected_components
 from lendgrid.llm.frames import fresh, slices, texts_as_bytes, written
@@ -172,6 +172,20 @@ def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_link_buckets, "a long, b long").distinct()
 
 
+def _classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc_id``, ``fp``, ``component_id`` and ``root`` (the class itself, as one of its fingerprints) of every row."""
+    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    marked = written(texts.mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    parts = written(connected_components(fingerprint_links(distinct.select("fp"))), "components")
+    of_fp = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
+    several = of_fp.filter("component IS NOT NULL")
+    least = several.groupBy("component").agg(F.min("least").alias("of_component"))
+    classes = several.join(least, "component").select("fp", F.col("of_component").alias("component_id"), F.col("component").alias("root")).unionByName(
+        of_fp.filter("component IS NULL").select("fp", F.col("least").alias("component_id"), F.col("fp").alias("root")))
+    return marked.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
+
+
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, one row per row of ``docs``.
 
@@ -180,31 +194,32 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     of nothing else has none. Other columns are ignored. Fingerprints are written once; equal ones are one node, so copies of
     a text make no links, and a bucket of near copies gives a forest instead of all its pairs.
     """
-    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    marked = written(texts.mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    parts = written(connected_components(fingerprint_links(distinct.select("fp"))), "components")
-    of_fp = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
-    several = of_fp.filter("component IS NOT NULL")
-    least = several.groupBy("component").agg(F.min("least").alias("of_component"))
-    classes = several.join(least, "component").select("fp", F.col("of_component").alias("component_id")).unionByName(
-        of_fp.filter("component IS NULL").select("fp", F.col("least").alias("component_id")))
-    return marked.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return _classes(docs, doc_id, text).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class of near duplicates: the row with the smallest id; rows that repeat it count once.
+    """One document of each class of near duplicates: a row with the class's smallest id; rows that repeat it count once.
 
-    Rows without an id are kept: nothing tells them apart.
+    Rows that share an id but not a class are judged each by their own class. Rows without an id are kept: nothing tells them apart.
     """
     known = docs.filter(F.col(f"`{doc_id}`").isNotNull())
-    classes = near_duplicate_classes(known, doc_id, text)
-    name, several, goes = fresh(docs, "class_id", "several", "goes")
-    # only ids that go, or stand for several rows, are joined: few beside all rows, so the texts mostly stay where they are
-    marks = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("least"))
-    marks = marks.select(F.col("doc_id").alias(name), (F.col("n") > 1).alias(several), (F.col("least") != F.col("doc_id")).alias(goes))
-    marked = docs.join(written(marks.filter(F.col(several) | F.col(goes)), "duplicates"), F.col(f"`{doc_id}`") == F.col(name), "left")
+    classes = _classes(known, doc_id, text)
+    name, several, goes, mixed = fresh(docs, "class_id", "several", "goes", "mixed")
+    # only ids that go, stand for several rows or are of several classes are joined: few beside all rows, so the texts mostly stay where they are
+    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("least"), F.min("root").alias("first"), F.max("root").alias("last"))
+    apart = F.col("first") != F.col("last")
+    marks = ids.select(F.col("doc_id").alias(name), (~apart & (F.col("n") > 1)).alias(several), (~apart & (F.col("least") != F.col("doc_id"))).alias(goes), apart.alias(mixed))
+    marked = docs.join(written(marks.filter(F.col(several) | F.col(goes) | F.col(mixed)), "duplicates"), F.col(f"`{doc_id}`") == F.col(name), "left")
     left = marked.filter(F.col(name).isNull() | ~F.col(goes))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return left.filter(F.col(name).isNull()).select(*columns).unionByName(left.filter(F.col(several)).dropDuplicates([name]).select(*columns))
+    own = left.filter(F.col(mixed)).select(F.struct(*columns).alias("row"), F.col(name).alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+    def mark(batches):
+        for part in slices(batches, "text", _SLICE):
+            found = [_signed(fingerprint(t)) for t in texts_as_bytes(part.column(2))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.int64())], names=["row", "doc_id", "fp"])
+
+    kind = T.StructType([own.schema["row"], T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+    judged = own.mapInArrow(mark, kind).join(classes.filter(F.col("component_id") == F.col("doc_id")).select("doc_id", "fp", "root").distinct(), ["doc_id", "fp"])
+    return left.filter(F.col(name).isNull()).select(*columns).unionByName(left.filter(F.col(several)).dropDuplicates([name]).select(*columns)).unionByName(
+        judged.dropDuplicates(["doc_id", "root"]).select("row.*"))

@@ -350,10 +350,18 @@ SCHEMA_COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 def test_repeated_and_missing_ids(spark):
     docs = table(spark, ["same text here", "same text here", "same text here", "other words"], ids=[4, 4, None, 4])
     assert simhash.near_duplicate_classes(docs).count() == 4
-    assert sorted(str(r["doc_id"]) for r in simhash.drop_near_duplicates(docs).collect()) == ["4", "None"]
+    left = sorted((str(r["doc_id"]), r["text"]) for r in simhash.drop_near_duplicates(docs).collect())
+    assert left == [("4", "other words"), ("4", "same text here"), ("None", "same text here")]
     assert simhash.near_duplicate_classes(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_each(spark):
+    a, near, b = "one two three four five six seven", "one two three four five six seven", "quite another text with other words in it"
+    docs = table(spark, [a, near, b, b, b, "third kind of text"], ids=[3, 5, 5, 5, 9, 9])
+    left = sorted((r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(docs).collect())
+    assert left == [(3, a), (5, b), (9, "third kind of text")]
+
+
 def test_chains_lose_no_link():
     rng = np.random.default_rng(3)
     for _ in range(2000):
