@@ -115,7 +115,7 @@ def c6_segment_keys(spark, d):
 @register("c7_sweep_k")
 def c7_sweep_k(spark, d):
     standard, scaling = _vectors(spark, d)
-    return sg.sweep_k(standard, scaling.columns, "SK_ID_CURR", restarts=1)
+    return sg.sweep_k(standard, scaling.columns, "SK_ID_CURR")
 
 
 @register(

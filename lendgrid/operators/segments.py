@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendgrid.functions.defaults import SEED, SEGMENT_COUNT, SEGMENT_INPUTS
+from lendgrid.operators.kmeans import Fit, fit_many
 from lendgrid.operators.ordered import exact_quantiles, sample_rows
 from lendgrid.sources.tables import enforce_unique
 
@@ -79,18 +79,17 @@ class Centres:
     inertia: float
 
 
+def _ordered(columns: tuple[str, ...], fit: Fit) -> Centres:
+    """Centres by falling size."""
+    order = sorted(range(len(fit.sizes)), key=lambda i: (-fit.sizes[i], tuple(fit.points[i])))
+    return Centres(tuple(columns), tuple(tuple(float(v) for v in fit.points[i]) for i in order), float(fit.inertia))
+
+
 def fit_kmeans(vectors: DataFrame, columns: tuple[str, ...], k: int = SEGMENT_COUNT, seed: int = SEED, restarts: int = 10,
                iterations: int = 300) -> Centres:
-    """Best of several seeded fits by inertia. ``vectors`` should be cached by the caller."""
-    best = None
-    for restart in range(restarts):
-        model = KMeans(k=k, seed=seed + restart, maxIter=iterations, featuresCol="vector").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    sizes = best.summary.clusterSizes
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], tuple(best.clusterCenters()[i])))
-    points = tuple(tuple(float(v) for v in best.clusterCenters()[i]) for i in order)
-    return Centres(tuple(columns), points, float(best.summary.trainingCost))
+    """Best of several seeded fits by inertia, all advanced by the same scans. ``vectors`` should be cached by the caller."""
+    fits, _ = fit_many(vectors.select(vector_to_array("vector").alias("x")), [(k, seed + r) for r in range(restarts)], iterations)
+    return _ordered(columns, min(fits, key=lambda f: f.inertia))
 
 
 def nearest_centre(centres: Centres) -> Column:
@@ -124,14 +123,18 @@ def build_segments(features: DataFrame, k: int = SEGMENT_COUNT, seed: int = SEED
 
 def sweep_k(standard: DataFrame, columns: tuple[str, ...], id_col: str, ks=range(2, 9), seed: int = SEED, restarts: int = 10,
             sample: int | None = None) -> DataFrame:
-    """Inertia and squared-Euclidean silhouette per k, on all rows; ``sample`` takes the silhouette on so many seeded ones."""
+    """Inertia and squared-Euclidean silhouette per k, on all rows; ``sample`` takes the silhouette on so many seeded ones.
+
+    All starts of all k are advanced by the same scans.
+    """
     vectors = with_vector(standard, columns).select(id_col, "vector", *columns).persist()
     drawn = vectors if sample is None else sample_rows(vectors, id_col, sample, seed).persist()
     evaluator = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster")
     rows = []
     try:
+        fits, _ = fit_many(vectors.select(vector_to_array("vector").alias("x")), [(k, seed + r) for k in ks for r in range(restarts)])
         for k in ks:
-            centres = fit_kmeans(vectors, columns, k, seed, restarts)
+            centres = _ordered(columns, min((f for f in fits if f.k == k), key=lambda f: f.inertia))
             labelled = drawn.withColumn("cluster", nearest_centre(centres))
             rows.append((int(k), centres.inertia, float(evaluator.evaluate(labelled))))
     finally:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.catalog import QUERIES, model_queries
 from lendgrid.functions.defaults import SEGMENT_INPUTS
-from lendgrid.operators import attributions as at, boosting as bo, models as mo, reasons as re_, scoring as sc, segments as sg, whatif as wi
+from lendgrid.operators import attributions as at, boosting as bo, kmeans as km, models as mo, reasons as re_, scoring as sc, segments as sg, whatif as wi
 from lendgrid.plans.training import train_full_model
 
 
@@ -68,6 +68,28 @@ def test_centres_are_ordered_by_size(spark):
     assert {r.c: r["count"] for r in labels} == {0: 20, 1: 9, 2: 5}
 
 
+def test_many_fits_share_their_scans(spark, width):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([c + rng.normal(size=(60, 3)) for c in rng.normal(size=(4, 3)) * 9])
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(3).persist()
+    runs = [(k, s) for k in (1, 2, 4, 6) for s in range(4)]
+    fits, scans = km.fit_many(rows, runs)
+    assert [(f.k, f.seed) for f in fits] == runs and scans == max(f.rounds for f in fits) < 100
+    for f in fits:
+        away = ((x[:, None] - f.points[None]) ** 2).sum(axis=2)
+        own = away.argmin(axis=1)
+        assert f.inertia == pytest.approx(away.min(axis=1).sum()) and (f.sizes == np.bincount(own, minlength=len(f.points))).all()
+        for j in np.unique(own):
+            assert f.points[j] == pytest.approx(x[own == j].mean(axis=0))
+    best = [min(f.inertia for f in fits if f.k == k) for k in (1, 2, 4, 6)]
+    assert best == sorted(best, reverse=True) and best[0] == pytest.approx(((x - x.mean(axis=0)) ** 2).sum()) and best[2] < 3.6 * len(x)
+    rows.unpersist()
+    assert km.fit_many(rows.limit(0), [(2, 1)]) == ([], 0)
+    copies = spark.createDataFrame([([1.0, 2.0],)] * 5, "x array<double>")
+    fit = km.fit_many(copies, [(3, 1)])[0][0]
+    assert fit.points.tolist() == [[1.0, 2.0]] and fit.inertia == 0 and fit.sizes.tolist() == [5]
+
+
 def test_projection(people):
     years = sg.add_cluster_input_columns(people)
     scaling = sg.fit_scaling(years)
