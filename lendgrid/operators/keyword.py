@@ -19,7 +19,7 @@ from lendgrid.sources.tables import scan_parquet
 
 AT = ("doc_id", "chunk_no")
 #: Tokens of a segment, beyond which the next chunk begins a new one; postings of a block; queries that travel with the tasks at a time.
-SEGMENT_TOKENS, BLOCK, QUERY_BLOCK = 1 << 21, 128, 20_000
+SEGMENT_TOKENS, BLOCK, QUERY_BLOCK = 1 << 20, 128, 20_000
 
 
 @dataclass(frozen=True)
@@ -152,7 +152,7 @@ class _Opened:
         of = lambda name: batch.column(batch.schema.get_field_index(name))[i]
         self.doc_ids, self.chunk_nos, self.terms = of("doc_ids").values, of("chunk_nos").values, of("terms").values
         for name, kind in (("lengths", np.int32), ("starts", np.int64), ("places", np.int32), ("counts", np.int32), ("block_starts", np.int64), ("most", np.int32), ("shortest", np.int32)):
-            setattr(self, name, np.frombuffer(of(name).as_py(), kind))
+            setattr(self, name, np.frombuffer(of(name).as_buffer(), kind))  # no copy
 
 
 def query_weights(index: Index, queries: DataFrame) -> DataFrame:
