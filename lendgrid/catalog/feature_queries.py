@@ -10,7 +10,8 @@ from lendgrid.functions.defaults import NO_RECORD, NON_FEATURES
 from lendgrid.operators import features as fe, profile as pr
 from lendgrid.operators.encoding import encode_categoricals
 from lendgrid.plans.feature_build import build_feature_table, joined_features
-from lendgrid.session import shared_folder
+from lendgrid.plans.history_store import HistoryStore
+from lendgrid.session import shared_folder, shuffle_width
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.schemas import SCHEMAS
 
@@ -225,6 +226,16 @@ def fe15_feature_table(spark, d):
     return _features(spark, d)
 
 
+@register("fe11_history_store", "SELECT * FROM joined", ("joined",), (*JOINED_EXACT, *FLAGS), JOINED_DOUBLES)
+def fe11_history_store(spark, d):
+    """The feature join from stored sums: the histories arrive in two batches, of which one is put twice."""
+    histories = {name: rows for name, rows in proxy.credit_tables(spark, d).items() if not name.startswith("application")}
+    store = HistoryStore(spark, _scratch(spark, "histories"), shuffle_width(_application(spark, d)))
+    for part in (0, 1, 0):
+        store.put(f"part-{part}", {name: rows.where(F.pmod(F.hash(*rows.columns), F.lit(2)) == part) for name, rows in histories.items()})
+    return store.features(fe.add_business_ratios(fe.clean_days_employed(_application(spark, d))))
+
+
 @register(
     "fe16_ever_past_due",
     """SELECT SK_ID_CURR, CAST(sum(ever_dpd) AS BIGINT) AS bureau_credits_ever_dpd FROM bureau JOIN
