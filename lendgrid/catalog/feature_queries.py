@@ -8,11 +8,13 @@ from lendgrid.catalog.registry import register
 from lendgrid.catalog.views import MARKET_SEGMENTS
 from lendgrid.functions.defaults import NO_RECORD, NON_FEATURES
 from lendgrid.operators import features as fe, profile as pr
+from lendgrid.operators.dictionary import category_drift, category_numbers, extend_dictionary
 from lendgrid.operators.encoding import encode_categoricals
 from lendgrid.plans.feature_build import build_feature_table, joined_features
 from lendgrid.plans.history_store import HistoryStore
 from lendgrid.session import shared_folder, shuffle_width
 from lendgrid.sources import proxy, tables
+from lendgrid.sources.checked_csv import checked_csv
 from lendgrid.sources.schemas import SCHEMAS
 
 
@@ -67,6 +69,29 @@ def io1_csv_scan(spark, d):
     return tables.scan_csv(spark, folder, "bureau", schema=SCHEMAS["bureau"])
 
 
+@register(
+    "io1_checked_scan",
+    """SELECT SK_ID_BUREAU, AMT_CREDIT_SUM, upper(CREDIT_ACTIVE) AS note, SK_ID_BUREAU % 10 AS score,
+         '' AS failed FROM bureau WHERE SK_ID_BUREAU % 17 <> 0
+       UNION ALL SELECT SK_ID_BUREAU, NULL, upper(CREDIT_ACTIVE), SK_ID_BUREAU % 10, 'AMT_CREDIT_SUM' FROM bureau WHERE SK_ID_BUREAU % 17 = 0""",
+    ("bureau",), ("SK_ID_BUREAU", "note", "failed"), ("AMT_CREDIT_SUM", "score"),
+)
+def io1_checked_scan(spark, d):
+    """A CSV with an amount that is no number in some rows, and two columns without a declared type: nothing turns null unseen."""
+    key, folder = F.col("SK_ID_BUREAU"), _scratch(spark, "csv")
+    spoilt = F.when(key % 17 == 0, F.lit("n/a")).otherwise(F.col("AMT_CREDIT_SUM").cast("string"))
+    proxy.bureau(spark, d).select(
+        "SK_ID_CURR", "SK_ID_BUREAU", "CREDIT_ACTIVE", spoilt.alias("AMT_CREDIT_SUM"), F.upper("CREDIT_ACTIVE").alias("note"), (key % 10).alias("score"),
+    ).write.option("header", True).csv(f"{folder}/bureau.csv")
+    table = checked_csv(spark, f"{folder}/bureau.csv", SCHEMAS["bureau"], f"{folder}/bureau", limit=0.5)
+    good = table.rows.select("SK_ID_BUREAU", "AMT_CREDIT_SUM", "note", "score", F.lit("").alias("failed"))
+    bad = table.rejects.select(
+        F.col("fields.SK_ID_BUREAU").cast("long").alias("SK_ID_BUREAU"), F.lit(None).cast("double").alias("AMT_CREDIT_SUM"),
+        "fields.note", F.col("fields.score").cast("double").alias("score"), F.array_join("failed", ",").alias("failed"),
+    )
+    return good.unionByName(bad)
+
+
 @register("io2_pruned_scan", "SELECT SK_ID_CURR, SK_ID_BUREAU FROM bureau", ("bureau",), ("SK_ID_CURR", "SK_ID_BUREAU"))
 def io2_pruned_scan(spark, d):
     return proxy.bureau(spark, d).select("SK_ID_CURR", "SK_ID_BUREAU")
@@ -212,6 +237,53 @@ def fe14_one_hot(spark, d):
     return encode_categoricals(fe.join_features(app, [prev]))
 
 
+_CATEGORIES = ("c_name", "c_mktsegment")
+
+
+def _numbers_sql(column: str) -> str:
+    """Numbers of one column: first those of even customers in the order of values, then the others."""
+    return f"""(SELECT {column}, row_number() OVER (ORDER BY bool_or(c_custkey % 2 = 0) DESC, {column}) AS number
+                FROM customer WHERE {column} IS NOT NULL GROUP BY {column})"""
+
+
+@register(
+    "fe14_category_dictionary",
+    f"""SELECT c_custkey, coalesce(names.number, 0) AS name_number, coalesce(segments.number, 0) AS segment_number
+        FROM customer LEFT JOIN {_numbers_sql('c_name')} AS names USING (c_name)
+        LEFT JOIN {_numbers_sql('c_mktsegment')} AS segments USING (c_mktsegment)""",
+    (), ("c_custkey", "name_number", "segment_number"),
+)
+def fe14_category_dictionary(spark, d):
+    """Every name and segment as a number; the dictionary is made from even customers and extended by the rest."""
+    customers = proxy.given(spark, d, "customer")
+    known = None
+    for rows in (customers.where(F.col("c_custkey") % 2 == 0), customers):
+        path = _scratch(spark, "dictionary")
+        tables.write_table(extend_dictionary(rows, list(_CATEGORIES), known), path)
+        known = tables.scan_parquet(spark, path)
+    numbers = category_numbers(customers, known, list(_CATEGORIES), "c_custkey")
+    return numbers.select("c_custkey", F.col("numbers")["c_name"].alias("name_number"), F.col("numbers")["c_mktsegment"].alias("segment_number"))
+
+
+def _flag_psi_sql(column: str) -> str:
+    """The index of every category of a column against all others, from shares; 0.0001 stands for none."""
+    return f"""SELECT '{column}' AS "column", value, (r - c) * ln(r / c) + (r1 - c1) * ln(r1 / c1) AS psi FROM (
+        SELECT value, CASE WHEN r > 0 THEN r / all_r ELSE 1e-4 END AS r, CASE WHEN c > 0 THEN c / all_c ELSE 1e-4 END AS c,
+          CASE WHEN r < all_r THEN 1 - r / all_r ELSE 1e-4 END AS r1, CASE WHEN c < all_c THEN 1 - c / all_c ELSE 1e-4 END AS c1
+        FROM (SELECT *, sum(r) OVER () AS all_r, sum(c) OVER () AS all_c FROM (
+          SELECT {column}::VARCHAR AS value, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16')::DOUBLE AS r,
+            count(*) FILTER (WHERE NOT ts < TIMESTAMP '2024-01-16')::DOUBLE AS c FROM events GROUP BY 1)))"""
+
+
+@register(
+    "d1_category_drift", f"{_flag_psi_sql('event_type')} UNION ALL {_flag_psi_sql('user_id')}", (), ("column", "value"), ("psi",),
+)
+def d1_category_drift(spark, d):
+    """Drift of each event type and each user, without a column for each."""
+    before = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    return category_drift(proxy.given(spark, d, "events"), ["event_type", "user_id"], before)
+
+
 FEATURE_EXACT = (
     *JOINED_EXACT, "DAYS_EMPLOYED_ANOM", "DAYS_EMPLOYED", "DAYS_BIRTH", "CODE_GENDER_M", "CNT_CHILDREN", *FLAGS, *ONE_HOT
 )
