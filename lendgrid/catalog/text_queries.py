@@ -15,6 +15,7 @@ from lendgrid.operators import reasons as re_, review as rv, scoring as sc, vect
 from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
 from lendgrid.operators.models import feature_columns
+from lendgrid.operators.replies import ReplyStore
 from lendgrid.plans.retrieval import hybrid_candidates, retrieve
 from lendgrid.session import cut_lineage, spread
 from lendgrid.sources import proxy, tables
@@ -22,6 +23,7 @@ from lendgrid.sources.keyed_store import KeyedStore
 from lendgrid.sources.corpus import scan_corpus, split_title
 from lendgrid.sources.score_log import append_log, log_entries, read_log, summarize_log
 from lendgrid.streaming import score_log as stream
+from lendgrid.streaming.log_store import LogStore, known_only, start_log_store
 
 # corpus and chunks
 
@@ -308,6 +310,25 @@ def r14_batch_apply(spark, d):
     return asked.select("query_id", F.array_join(F.transform("vector", lambda x: x.cast("int").cast("string")), ",").alias("counts"))
 
 
+@register(
+    "r14_reply_store",
+    """SELECT query_id, array_to_string([CAST(x AS INTEGER) FOR x IN v], ',') AS counts, (SELECT count(DISTINCT query) FROM questions) AS n_replies
+       FROM question_vectors UNION ALL SELECT query_id + 1000000, array_to_string([CAST(x AS INTEGER) FOR x IN v], ','),
+         (SELECT count(DISTINCT query) FROM questions) FROM question_vectors""",
+    ("questions", "question_vectors"), ("query_id", "counts", "n_replies"),
+)
+def r14_reply_store(spark, d):
+    """Each question twice, asked in a first run about even ids and in a second one about all: a reply per text is kept."""
+    questions = proxy.policy_questions(spark, d)
+    twice = questions.unionByName(questions.withColumn("query_id", F.col("query_id") + 1_000_000))
+    table = KeyedStore(spark, _scratch(spark, "replies"), "digest")
+    store = ReplyStore(table, "letters", "array<double>")
+    store.ask(twice.where(F.col("query_id") % 2 == 0), "query", letter_counts, "vector")
+    asked = store.ask(twice, "query", letter_counts, "vector")
+    counts = F.array_join(F.transform("vector", lambda x: x.cast("int").cast("string")), ",")
+    return asked.select("query_id", counts.alias("counts"), F.lit(table.read().count()).alias("n_replies"))
+
+
 def measure_prompt(prompts: list[str]) -> list[str]:
     """Stand-in for a chat model: the size of what it was asked."""
     return [f"{len(p)} caracteres" for p in prompts]
@@ -577,6 +598,21 @@ def io6_append_log(spark, d):
     return read_log(spark, _written_log(spark, d))
 
 
+@register(
+    "io6_exactly_once_log", "SELECT * FROM event_log WHERE sk_id_curr IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')", ("event_log",), LOG_EXACT,
+    ("probability", "threshold"),
+)
+def io6_exactly_once_log(spark, d):
+    """Scores streamed into the log in batches; the stream is then run from the start again, which adds nothing. Only the customers of one segment are known."""
+    incoming, store = _scratch(spark, "incoming"), LogStore(spark, _scratch(spark, "log"))
+    _event_scores(spark, d).write.json(incoming)
+    known = proxy.given(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("sk_id_curr"))
+    entries = known_only(stream.stream_log(spark, incoming), known)
+    for _ in range(2):
+        start_log_store(entries, store, "events", _scratch(spark, "state")).awaitTermination()
+    return store.read()
+
+
 @register(
     "d4_log_summary",
     """SELECT decision, count(*) AS n, avg(probability) AS mean_probability, avg((probability >= threshold)::INTEGER) AS high_risk_share

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lendgrid.functions.texts import snippet
 from lendgrid.operators.batches import apply_in_batches
+from lendgrid.operators.replies import ReplyStore
 from lendgrid.session import cut_lineage
 
 
@@ -29,15 +30,19 @@ def ground(retrieved: DataFrame) -> DataFrame:
     )
 
 
-def answer_questions(queries: DataFrame, retrieved: DataFrame, chat: Callable[[list[str]], list[str]], batch: int = 16) -> DataFrame:
+def answer_questions(queries: DataFrame, retrieved: DataFrame, chat: Callable[[list[str]], list[str]], batch: int = 16,
+                     replies: ReplyStore | None = None) -> DataFrame:
     """``(query_id, answer, citations)``. Citations come from the retrieved chunks, never from the answer.
 
-    Answers are written once, so a lost task does not ask the model again.
+    Answers are written once, so a lost task does not ask the model again; with ``replies`` a later run does not ask again either.
     """
     none = F.array().cast("array<struct<doc_title:string,chunk_id:string,snippet:string>>")
     grounded = queries.join(ground(retrieved), "query_id", "left").select(
         "query_id", F.coalesce("citations", none).alias("citations"),
         F.concat(F.lit("Contexto:\n\n"), F.coalesce("context", F.lit("")), F.lit("\n\nPregunta: "), F.col("query")).alias("prompt"),
     )
-    answered = apply_in_batches(grounded, "prompt", chat, "answer", "string", batch)
-    return cut_lineage(answered).select("query_id", "answer", "citations")
+    if replies:
+        answered = replies.ask(grounded, "prompt", chat, "answer", batch)
+    else:
+        answered = cut_lineage(apply_in_batches(grounded, "prompt", chat, "answer", "string", batch))
+    return answered.select("query_id", "answer", "citations")
