@@ -16,7 +16,7 @@ from lendgrid.operators.batches import apply_in_batches
 from lendgrid.operators.chunks import chunk_documents
 from lendgrid.operators.models import feature_columns
 from lendgrid.operators.replies import ReplyStore
-from lendgrid.plans.retrieval import hybrid_candidates, retrieve
+from lendgrid.plans.retrieval import hybrid_candidates, policy_citations, retrieve
 from lendgrid.session import cut_lineage, spread
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.keyed_store import KeyedStore
@@ -201,13 +201,13 @@ def letter_counts(texts: list[str]) -> list[list[float]]:
     return [[float(t.lower().count(c)) for c in LETTERS] for t in texts]
 
 
-def _retrieval_inputs(spark, d):
+def _retrieval_inputs(spark, d, questions=None):
     # the store is written once, as after ingestion; searches scan it
     path = _scratch(spark, "store")
     embedded = apply_in_batches(_chunks(spark, d), "text", letter_counts, "vector", "array<double>")
     tables.write_table(embedded, path)
     store = tables.scan_parquet(spark, path)
-    questions = proxy.policy_questions(spark, d)
+    questions = proxy.policy_questions(spark, d) if questions is None else questions
     asked = apply_in_batches(questions, "query", letter_counts, "vector", "array<double>").select("query_id", "vector")
     vectors = store.select(F.col("chunk_id").alias("item_id"), "vector")
     return questions, asked, vectors, kw.build_index(store.drop("vector"))
@@ -390,6 +390,25 @@ def q1_evidence(spark, d):
     return _flat(_evidence(spark, d))
 
 
+@register(
+    "q1_retrieved_evidence",
+    f"""WITH per_question AS (SELECT query_id, string_agg(title || '/' || chunk_id || '/' || snippet, '|' ORDER BY "rank") AS found FROM citations GROUP BY query_id)
+        SELECT sk_id_curr, decision, reasons, CASE WHEN decision = 'alto_riesgo' THEN coalesce(found, '') ELSE '' END AS cited
+        FROM ({_EVIDENCE_SQL}) LEFT JOIN per_question ON query_id = sk_id_curr % (SELECT count(*) FROM questions)""",
+    (*_EVIDENCE_VIEWS, "questions", "citations"), ("sk_id_curr", "decision", "reasons", "cited"),
+)
+def q1_retrieved_evidence(spark, d):
+    """Evidence with citations that are retrieved: every applicant has one of the policy questions, and high risk is cited."""
+    records = cut_lineage(_evidence(spark, d))
+    questions = proxy.policy_questions(spark, d)
+    number = F.pmod(F.col("sk_id_curr"), F.lit(questions.count()))
+    asked = records.where(F.col("decision") == defaults.HIGH_RISK).withColumn("query_id", number).join(questions, "query_id").select("sk_id_curr", "query")
+    cited = policy_citations(asked, lambda queries: retrieve(*_retrieval_inputs(spark, d, cut_lineage(queries))))
+    evidence = rv.gather_evidence(records.drop("reason_codes", "citations"), records.select("sk_id_curr", "reason_codes"), cited)
+    listed = F.transform("citations", lambda c: F.concat_ws("/", c["doc_title"], c["chunk_id"], c["snippet"]))
+    return _flat(evidence).withColumn("cited", F.array_join(listed, "|"))
+
+
 _N = "chr(10)"
 _PROMPT_SQL = f"""SELECT *, 'Score: sk_id_curr=' || sk_id_curr || ', probability=' || probability || ', threshold=' || threshold
       || ', decision=' || decision || {_N} || {_N} || 'Reason codes:' || {_N}

@@ -9,11 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from lendgrid.operators.batches import apply_in_batches
+from lendgrid.operators.lookup import lookup
 from lendgrid.sources.keyed_store import KeyedStore
 
-#: Prompts that a larger share of the rows have than one in so many get their reply from a broadcast table: fewer entries than that.
-FREQUENT = 1000
-
 
 @dataclass(frozen=True)
 class ReplyStore:
@@ -35,18 +33,10 @@ class ReplyStore:
         key = self.table.key
         digest = F.when(F.col(prompt).isNotNull(), F.sha2(F.concat(F.lit(f"{self.name}\n"), F.col(prompt)), 256))
         keyed = rows.withColumn(key, digest)
-        asked = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(prompt).alias("_prompt"), F.count(F.lit(1)).alias("_n"))
-        new = asked.select(key, "_prompt")
+        new = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.first(prompt).alias("_prompt"))
         if self.table.entries():
             new = new.join(self.table.read().select(key), key, "left_anti")
         replied = apply_in_batches(new, "_prompt", model, "reply", self.kind, batch).select(key, "reply")
         self.table.write(uuid.uuid4().hex, replied)
-        replies = self.table.read().select(key, F.col("reply").alias(output), F.lit(True).alias("_found"))
-        total = F.broadcast(asked.agg(F.sum("_n").alias("_all")).withColumn("_one", F.lit(1)))
-        shares = asked.withColumn("_one", F.lit(1)).join(total, "_one")
-        often = shares.where(F.col("_n") * FREQUENT > F.col("_all")).select(key).join(replies, key)
-        near = keyed.join(F.broadcast(often), key, "left")
-        rare = F.col("_found").isNull() & F.col(key).isNotNull()
-        columns = [*rows.columns, output]
-        far = near.where(rare).drop(output, "_found").join(replies, key).select(*columns)
-        return near.where(~rare).select(*columns).unionByName(far)
+        replies = self.table.read().select(key, F.col("reply").alias(output))
+        return lookup(keyed, key, replies).select(*rows.columns, output)

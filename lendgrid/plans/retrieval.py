@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from lendgrid.functions.defaults import CANDIDATES, TOP_K
+from lendgrid.operators.answers import ground
 from lendgrid.operators.fusion import reciprocal_rank_fusion, reorder
 from lendgrid.operators.keyword import Index, search
+from lendgrid.operators.lookup import lookup
 from lendgrid.operators.vectors import cosine_top_k
 
 
@@ -37,3 +41,15 @@ def retrieve(queries: DataFrame, query_vectors: DataFrame, chunk_vectors: DataFr
     else:
         top = reorder(fused, given, top_k)
     return attach_chunks(top, index.chunks)
+
+
+def policy_citations(asked: DataFrame, search_for: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(sk_id_curr, citations)`` for applicants with a policy question, ``asked`` as ``(sk_id_curr, query)``.
+
+    Applicants share questions: each text is searched once. ``search_for`` gets ``(query_id, query)`` and returns what ``retrieve`` does. A
+    question that finds nothing, and a null one, have no citations.
+    """
+    texts = asked.where(F.col("query").isNotNull()).groupBy("query").agg(F.min("sk_id_curr").alias("query_id"))
+    found = ground(search_for(texts.select("query_id", "query"))).select("query_id", "citations")
+    cited = lookup(asked.select("sk_id_curr", "query"), "query", texts.join(found, "query_id").select("query", "citations"))
+    return cited.where(F.col("citations").isNotNull()).select("sk_id_curr", "citations")

@@ -106,3 +106,34 @@ def test_answers_with_kept_replies(spark, tmp_path):
     plain = an.answer_questions(queries, found, counting(str(tmp_path / "seen")))
     assert runs[0] == runs[1] == sorted(map(tuple, plain.select("query_id", "answer").collect()))
     assert len(list(seen.iterdir())) == 4  # two for the stored runs, two for the plain one
+
+
+@pytest.mark.parametrize("frequent", [1, 1000])
+def test_lookup_is_a_left_join(spark, monkeypatch, frequent):
+    from lendgrid.operators import lookup as lk
+
+    monkeypatch.setattr(lk, "FREQUENT", frequent)  # 1: no key is frequent
+    rows = [(i, None if i % 11 == 0 else "hot" if i % 2 else f"k{i}") for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, k string")
+    table = spark.createDataFrame([("hot", 1), ("k2", 2), ("k4", None), ("unused", 3)], "k string, v int")
+    got = sorted(map(tuple, lk.lookup(df, "k", table).collect()))
+    assert got == [(i, k, {"hot": 1, "k2": 2}.get(k)) for i, k in rows]
+    assert lk.lookup(df.where("id < 0"), "k", table).count() == 0
+
+
+def test_each_policy_question_is_searched_once(spark):
+    from lendgrid.plans.retrieval import policy_citations
+
+    asked = spark.createDataFrame([(i, None if i == 7 else "nothing" if i == 8 else "why?" if i % 2 else "what?") for i in range(1, 12)], "sk_id_curr long, query string")
+    searched = []
+
+    def search(queries):
+        searched.extend(r["query"] for r in queries.collect())
+        hit = queries.where("query <> 'nothing'")
+        return hit.select("query_id", F.explode(F.array(F.lit(2), F.lit(1))).alias("rank"), "query").select(
+            "query_id", "rank", F.concat(F.lit("c"), "rank").alias("chunk_id"), F.col("query").alias("title"), F.lit("text").alias("text"))
+
+    out = {r["sk_id_curr"]: [(c["doc_title"], c["chunk_id"]) for c in r["citations"]] for r in policy_citations(asked, search).collect()}
+    assert sorted(searched) == ["nothing", "what?", "why?"]
+    assert sorted(out) == [1, 2, 3, 4, 5, 6, 9, 10, 11]
+    assert out[1] == [("why?", "c1"), ("why?", "c2")] and out[2][0] == ("what?", "c1")
