@@ -16,6 +16,7 @@ SAMPLE = (
     "fe6_bureau_balance", "fe15_feature_table", "p1_null_profile", "p6_target_correlations", "m2_stratified_holdout",
     "m11_metrics_by_group", "m15_threshold", "a9_fairness_report", "c5_assign_clusters", "x4_reason_codes",
     "r5_keyword_search", "r11_retrieve", "q5_review_batch", "d1_feature_drift", "d4_streamed_log",
+    "io1_checked_scan", "io6_exactly_once_log", "fe11_history_store", "fe14_category_dictionary", "d1_category_drift", "r14_reply_store",
 )
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
