@@ -12,7 +12,7 @@ from lendgrid.operators.dictionary import category_drift, category_numbers, exte
 from lendgrid.operators.encoding import encode_categoricals
 from lendgrid.plans.feature_build import build_feature_table, joined_features
 from lendgrid.plans.history_store import HistoryStore
-from lendgrid.session import shared_folder, shuffle_width
+from lendgrid.session import shared_folder
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.checked_csv import checked_csv
 from lendgrid.sources.schemas import SCHEMAS
@@ -302,7 +302,7 @@ def fe15_feature_table(spark, d):
 def fe11_history_store(spark, d):
     """The feature join from stored sums: the histories arrive in two batches, of which one is put twice."""
     histories = {name: rows for name, rows in proxy.credit_tables(spark, d).items() if not name.startswith("application")}
-    store = HistoryStore(spark, _scratch(spark, "histories"), shuffle_width(_application(spark, d)))
+    store = HistoryStore(spark, _scratch(spark, "histories"), spark.sparkContext.defaultParallelism)
     for part in (0, 1, 0):
         store.put(f"part-{part}", {name: rows.where(F.pmod(F.hash(*rows.columns), F.lit(2)) == part) for name, rows in histories.items()})
     return store.features(fe.add_business_ratios(fe.clean_days_employed(_application(spark, d))))
