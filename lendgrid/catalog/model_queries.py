@@ -311,7 +311,7 @@ def _trees(spark, d):
 
 
 def _bundle(spark, d):
-    return train_full_model(_training_table(spark, d), final=_trees(spark, d))
+    return train_full_model(_training_table(spark, d), final=lambda: _trees(spark, d))
 
 
 @register("m4_baseline")

@@ -2,16 +2,20 @@
 
 Rows lie in blocks of bytes. What a level needs from them is the sum of gradients and hessians per column, bin and node; these sums are
 whole numbers (fixed point), so they do not depend on how rows are dealt, and a model is the same for any number of blocks (with the same cuts).
-If all rows fit one block, one task grows all trees; else each level is one job that sums the blocks' histograms.
+If all rows fit one block, one task grows all trees; else each level is one job of one stage: a task per core sums the histograms of its
+blocks, and the driver adds these. A worker keeps the blocks that it has seen, with their margins and nodes, and takes them up where it left
+them, so that a level sends no rows; what a worker does not have is made from its row and the trees since, so what is kept changes no result.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, Broadcast, StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendgrid.functions import defaults
@@ -21,13 +25,15 @@ from lendgrid.session import cut_lineage, shared_folder
 #: Distinct values up to which a column keeps a bin for each; quantiles of the others. One more bin is for missing values.
 MOST_BINS = 254
 #: Bytes of bins in a block, rows counted at a time, and fixed point of gradients.
-BLOCK_BYTES, TILE, UNIT = 16 << 20, 1 << 14, float(1 << 24)
-#: Rounds after which margins are brought up to date and held-out rows are ranked, and after which lineage is cut.
-REFRESH, CUT = 10, 100
+BLOCK_BYTES, TILE, UNIT = 16 << 20, 1 << 15, float(1 << 24)
+#: Least bytes of bins for a task of its own, and bytes of blocks that a worker keeps between tasks.
+TASK_BYTES, KEPT_BYTES = 1 << 20, 256 << 20
+#: Rounds after which margins are written down: with held-out rows, which are ranked then, and without; and after which lineage is cut.
+REFRESH, REFRESH_ALONE, CUT = 10, 50, 100
 #: Rounds without a better validation AUC after which boosting has ended (fixed value).
 PATIENCE = 50
-#: Values of one histogram row that travel together.
-CHUNK = 1 << 13
+#: Tasks whose sums the driver adds itself; those of more are added in the cluster first.
+MOST_ADDED = 32
 
 
 @dataclass(frozen=True)
@@ -195,12 +201,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Rows of one block: bins, labels, weights, keys and margins, and the sums that growing a tree asks for."""
+    """Rows of one block: bins by column, labels, weights, keys and margins, and the sums that growing a tree asks for."""
 
     def __init__(self, bins: Bins, codes: np.ndarray, y: np.ndarray, held: np.ndarray, keys: np.ndarray, margin: np.ndarray, settings: TreeSettings):
-        self.bins, self.codes, self.y, self.held, self.keys, self.margin, self.settings = bins, codes, y, held, keys, margin, settings
+        self.bins, self.codes, self.y, self.held, self.keys, self.margin, self.settings = bins, np.ascontiguousarray(codes.T), y, held, keys, margin, settings
         self.weight = np.where(y > 0, settings.positive_weight, 1.0)
         self.missing = (bins.sizes - 1).astype(np.int64)
+        self.tree, self.done = -1, 0
+
+    @property
+    def nbytes(self) -> int:
+        return self.codes.nbytes + 48 * len(self.y)
 
     def begin(self, tree: int) -> None:
         """Gradients and hessians of the rows that a tree learns from: a share of those not held out, by the hash of their key."""
@@ -210,47 +221,51 @@ class Block:
         w = self.weight[self.rows]
         self.g = np.rint((p - self.y[self.rows]) * w * UNIT)
         self.h = np.rint(np.maximum(p * (1 - p), 1e-16) * w * UNIT)
-        self.columns = None
-
-    def nodes_of(self, tree: Tree, rows: np.ndarray | None = None, node: np.ndarray | None = None, codes: np.ndarray | None = None) -> np.ndarray:
-        """The node that each row has reached."""
-        codes = self.codes if codes is None else codes
-        node = np.zeros(len(codes), np.int32) if node is None else node
-        while True:
-            inner = np.flatnonzero(tree.left[node] >= 0)
-            if not len(inner):
-                return node
-            at = node[inner]
-            seen = codes[inner, tree.feature[at]]
-            goes_left = np.where(seen == self.missing[tree.feature[at]], tree.missing_left[at], seen <= tree.bin[at])
-            node[inner] = np.where(goes_left, tree.left[at], tree.right[at])
-
-    def sums(self, tree: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
-        """Whole-number sums (nodes x slots x 2) of gradients and hessians by column and bin."""
+        self.tree, self.at, self.splits = tree, np.zeros(len(self.y), np.int32), 0
+
+    def move(self, tree: Tree) -> None:
+        """Every row to the node that it reaches in ``tree``."""
+        inner = np.flatnonzero(tree.left[self.at] >= 0)
+        while len(inner):
+            at = self.at[inner]
+            feature = tree.feature[at]
+            seen = self.codes[feature, inner]
+            to = np.where(np.where(seen == self.missing[feature], tree.missing_left[at], seen <= tree.bin[at]), tree.left[at], tree.right[at])
+            self.at[inner] = to
+            inner = inner[tree.left[to] >= 0]
+
+    def sums(self, number: int, tree: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
+        """Whole-number sums (nodes x slots x 2) of gradients and hessians by column and bin; ``tree`` is what there is of tree ``number``."""
+        splits = int((tree.left >= 0).sum())
+        if self.tree != number or self.splits > splits:
+            self.begin(number)
+        self.move(tree)
+        self.splits = splits
         sizes = self.bins.sizes[columns]
         starts = np.concatenate([[0], np.cumsum(sizes)])
-        if self.columns is None:
-            self.columns = columns
-            self.own = self.codes[self.rows]
-            self.slots = self.own[:, columns].astype(np.int32) + starts[:-1].astype(np.int32)
-            self.at = np.zeros(len(self.rows), np.int32)
-        self.at = self.nodes_of(tree, node=self.at, codes=self.own)
-        width = int(starts[-1])
         place = np.full(len(tree.left), -1, np.int64)
         place[wanted] = np.arange(len(wanted))
-        where = place[self.at]
-        rows = np.flatnonzero(where >= 0)
-        out = np.zeros((len(wanted) * width, 2), np.int64)
-        for start in range(0, len(rows), TILE):
-            part = rows[start:start + TILE]
-            index = (self.slots[part] + where[part][:, None] * width).ravel()
-            for k, of in ((0, self.g), (1, self.h)):
+        where = place[self.at[self.rows]]
+        chosen = np.flatnonzero(where >= 0)
+        out = np.zeros((2, len(wanted), int(starts[-1])))
+        for start in range(0, len(chosen), TILE):
+            part = chosen[start:start + TILE]
+            rows, node, g, h = self.rows[part], where[part], self.g[part], self.h[part]
+            for column, first, size in zip(columns, starts, sizes):
+                index = self.codes[column][rows].astype(np.int64)
+                if len(wanted) > 1:
+                    index += node * size
                 # sums of whole numbers far below 2^53 are exact in doubles
-                out[:, k] += np.bincount(index, np.repeat(of[part], len(columns)), len(out)).astype(np.int64)
-        return out.reshape(len(wanted), width, 2)
+                out[0, :, first:first + size] += np.bincount(index, g, len(wanted) * size).reshape(len(wanted), size)
+                out[1, :, first:first + size] += np.bincount(index, h, len(wanted) * size).reshape(len(wanted), size)
+        return np.ascontiguousarray(out.astype(np.int64).transpose(1, 2, 0))
 
-    def add(self, tree: Tree) -> None:
-        self.margin = self.margin + tree.value[self.nodes_of(tree)]
+    def add(self, number: int, tree: Tree) -> None:
+        """Margins after tree ``number``."""
+        if self.tree != number:
+            self.at = np.zeros(len(self.y), np.int32)
+        self.move(tree)
+        self.margin, self.tree, self.done = self.margin + tree.value[self.at], -1, number + 1
 
 
 def _auc(y: np.ndarray, score: np.ndarray) -> float | None:
@@ -285,9 +300,8 @@ def _grow_in_task(block: Block, splits: Splits, patience: int) -> list[Tree]:
     trees, stopper = [], Stopper(patience)
     held = np.flatnonzero(block.held)
     for k in range(splits.settings.trees):
-        block.begin(k)
-        trees.append(grow_tree(splits, k, block.sums))
-        block.add(trees[-1])
+        trees.append(grow_tree(splits, k, lambda t, c, w: block.sums(k, t, c, w)))  # noqa: B023
+        block.add(k, trees[-1])
         if len(held) and stopper.over(k + 1, _auc(block.y[held], block.margin[held])):
             break
     return trees[:stopper.best] if stopper.best else trees
@@ -314,6 +328,7 @@ def trees_of(nodes: pa.Table) -> list[Tree]:
 
 
 _STATE = "block long, rows long, codes binary, labels binary, held binary, keys binary, margins binary"
+_NAMES = [f.split()[0] for f in _STATE.split(", ")]
 
 
 def _block(bins: Bins, settings: TreeSettings, row: dict) -> Block:
@@ -322,10 +337,31 @@ def _block(bins: Bins, settings: TreeSettings, row: dict) -> Block:
     return Block(bins, of("codes", np.uint8).reshape(n, -1), of("labels", np.uint8).astype(np.float64), of("held", bool), of("keys", np.uint64), of("margins", np.float64), settings)
 
 
+_KEPT: OrderedDict[tuple[str, int], Block] = OrderedDict()
+
+
+def kept_block(fit: str, number: int, first: int, pending: list[Tree], make: Callable[[], Block] | None = None) -> Block | None:
+    """Block ``number`` with the margins after ``first`` and the ``pending`` trees, from where this worker left it; else from ``make``, which
+    gives it with the margins after ``first`` trees, or none."""
+    block = _KEPT.pop((fit, number), None)
+    if block is None or not first <= block.done <= first + len(pending):
+        if make is None:
+            return None
+        block = make()
+        block.done = first
+    for tree in pending[block.done - first:]:
+        block.add(block.done, tree)
+    _KEPT[fit, number] = block
+    while len(_KEPT) > 1 and sum(b.nbytes for b in _KEPT.values()) > KEPT_BYTES:
+        _KEPT.popitem(last=False)
+    return block
+
+
 def write_blocks(train: DataFrame, bins: Bins, y: str, validation: str | None, key: str | None, base: float, rows: int, block_bytes: int) -> tuple[DataFrame, int]:
-    """The training rows as blocks of bins, written to the shared folder, and their number."""
+    """The training rows as blocks of bins, written to the shared folder, and the number of their parts: one if they fit a block, else up to one per core."""
     spark = train.sparkSession
-    parts = max(1, -(-rows * max(1, len(bins.columns)) // block_bytes))
+    size = rows * max(1, len(bins.columns))
+    parts = 1 if size <= block_bytes else max(2, min(spark.sparkContext.defaultParallelism, -(-size // min(block_bytes, TASK_BYTES))))
     hashed = F.xxhash64(F.col(f"`{key}`")) if key else F.xxhash64(*[F.col(f"`{c}`") for c in bins.columns])
     flat = train.select(F.col(f"`{y}`").cast("int").alias("y"), F.coalesce(F.col(validation), F.lit(False)).alias("held") if validation else F.lit(False).alias("held"),
                         hashed.alias("key"), values_of(bins.columns).alias("x")).where("y IS NOT NULL")
@@ -365,53 +401,47 @@ def _fresh() -> str:
     return uuid.uuid4().hex
 
 
-def _sum_blocks(state: DataFrame, bins: Bins, settings: TreeSettings, pending: list[Tree], tree: int, partial: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
-    """One level as one job: every task sums its blocks, the sums are added chunk by chunk, and the driver gets the total."""
-    spark = state.sparkSession
-    sent = spark.sparkContext.broadcast((bins, settings, pending, tree, partial, columns, wanted))
+def _plain_rows(state: DataFrame) -> tuple[RDD, RDD]:
+    """The blocks as plain tuples, and only their numbers; both stay where they are."""
+    rows = state.rdd.map(lambda r: tuple(bytes(v) if isinstance(v, bytearray) else v for v in r)).persist(StorageLevel.MEMORY_AND_DISK)
+    return rows, rows.map(lambda r: r[0]).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _sum_blocks(rows: RDD, numbers: RDD, sent: Broadcast, fit: str, first: int, pending: list[Tree], tree: int, partial: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
+    """One level: every task sums its blocks, and the driver gets one sum per task, or of more than ``MOST_ADDED`` tasks the sum of several.
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, settings, pending, tree, partial, columns, wanted = sent.value
+    Tasks get the numbers of their blocks; for those parts whose worker has not kept them, a second job sends the rows.
+    """
+    def add(blocks: Iterator[Block | None]) -> np.ndarray | None:
         total = None
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _block(bins, settings, row)
-                for t in pending:
-                    block.add(t)
-                block.begin(tree)
-                own = block.sums(partial, columns, wanted).ravel()
-                total = own if total is None else total + own
-        if total is not None:
-            pieces = [total[i:i + CHUNK].tobytes() for i in range(0, len(total), CHUNK)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["chunk", "sums"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = np.frombuffer(own, np.int64)
-                totals[chunk] = totals[chunk] + own if chunk in totals else own
-        if totals:
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())], names=["chunk", "sums"])
+        for block in blocks:
+            if block is None:
+                return None
+            own = block.sums(tree, partial, columns, wanted)
+            total = own if total is None else total + own
+        return 0 if total is None else total
 
-    kinds = "chunk int, sums binary"
-    merged = state.mapInArrow(sums, kinds).repartition("chunk").mapInArrow(merge, kinds).collect()
-    flat = np.concatenate([np.frombuffer(r["sums"], np.int64) for r in sorted(merged, key=lambda r: r["chunk"])])
-    sent.unpersist()
-    return flat.reshape(len(wanted), -1, 2)
+    def of_kept(at: int, part: Iterator[int]) -> Iterator[tuple]:
+        yield at, add(kept_block(fit, number, first, pending) for number in list(part))
 
+    def of_rows(part: Iterator[tuple]) -> Iterator[np.ndarray]:
+        yield add(kept_block(fit, row[0], first, pending, lambda: _block(*sent.value, dict(zip(_NAMES, row)))) for row in part)  # noqa: B023
+
+    if rows.getNumPartitions() > MOST_ADDED:
+        return rows.mapPartitions(of_rows).treeReduce(lambda a, b: a + b)
+    found = dict(numbers.mapPartitionsWithIndex(of_kept).collect())
+    missing = [at for at, own in found.items() if own is None]
+    rest = rows.context.runJob(rows, of_rows, missing) if missing else []
+    return sum([own for own in found.values() if own is not None] + rest)
 
-def _advance(state: DataFrame, bins: Bins, settings: TreeSettings, pending: list[Tree]) -> DataFrame:
-    """The blocks with the margins after the ``pending`` trees."""
-    sent = state.sparkSession.sparkContext.broadcast((bins, settings, pending))
 
+def _advance(state: DataFrame, sent: Broadcast, fit: str, first: int, pending: list[Tree]) -> DataFrame:
+    """The blocks, whose margins are those after ``first`` trees, with the margins after the ``pending`` ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, settings, pending = sent.value
+        bins, settings = sent.value
         for batch in batches:
             for i, row in enumerate(batch.to_pylist()):
-                block = _block(bins, settings, row)
-                for t in pending:
-                    block.add(t)
+                block = kept_block(fit, row["block"], first, pending, lambda: _block(bins, settings, row))  # noqa: B023
                 yield pa.RecordBatch.from_arrays([*[c.slice(i, 1) for c in batch.columns[:-1]], pa.array([block.margin.tobytes()], pa.binary())], names=batch.schema.names)
 
     return state.mapInArrow(run, _STATE)
@@ -428,35 +458,43 @@ def _held_margins(state: DataFrame, bins: Bins, settings: TreeSettings, pending:
                 block = _block(bins, settings, row)
                 held = np.flatnonzero(block.held)
                 for at, t in enumerate(pending):
-                    block.add(t)
+                    block.add(at, t)
                     yield pa.RecordBatch.from_arrays([pa.array(block.y[held].astype(np.int32)), pa.array(np.full(len(held), at, np.int32)), pa.array(block.margin[held])], names=["y", "at", "p"])
 
     return state.mapInArrow(run, "y int, at int, p double")
 
 
 def _grow_by_jobs(blocks: DataFrame, splits: Splits, patience: int, held: bool) -> list[Tree]:
-    """All trees with one job a level. Margins are brought up to date every ``REFRESH`` rounds; held-out rows are ranked then, for each round."""
+    """All trees with one job a level. Margins are written down every ``REFRESH`` rounds and held-out rows ranked then, for each round; every ``REFRESH_ALONE`` without such rows."""
     from lendgrid.operators.scoring import ranking_metrics
 
-    state, trees, pending, stopper = blocks.persist(), [], [], Stopper(patience)
+    state, trees, pending, stopper, fit = blocks.persist(), [], [], Stopper(patience), _fresh()
     bins, settings = splits.bins, splits.settings
+    sent = blocks.sparkSession.sparkContext.broadcast((bins, settings))
+    (rows, numbers), refresh = _plain_rows(state), REFRESH if held else REFRESH_ALONE
     try:
         for k in range(settings.trees):
-            trees.append(grow_tree(splits, k, lambda t, c, w: _sum_blocks(state, bins, settings, pending, k, t, c, w)))  # noqa: B023
+            trees.append(grow_tree(splits, k, lambda t, c, w: _sum_blocks(rows, numbers, sent, fit, k - len(pending), pending, k, t, c, w)))  # noqa: B023
             pending.append(trees[-1])
-            if len(pending) < REFRESH and k + 1 < settings.trees:
+            if len(pending) < refresh and k + 1 < settings.trees:
                 continue
             if held:
                 areas = {r["at"]: r["roc_auc"] for r in ranking_metrics(_held_margins(state, bins, settings, pending), keys=("at",)).select("at", "roc_auc").collect()}
                 if any(stopper.over(len(trees) - len(pending) + i + 1, areas.get(i)) for i in range(len(pending))):
                     break
-            older, state = state, _advance(state, bins, settings, pending)
+            if k + 1 == settings.trees:
+                break
+            older, state = (state, rows, numbers), _advance(state, sent, fit, k + 1 - len(pending), pending)
             state = cut_lineage(state) if (k + 1) % CUT == 0 else state.persist()
-            state.count()
-            older.unpersist()
+            rows, numbers = _plain_rows(state)
+            numbers.count()
+            for df in older:
+                df.unpersist()
             pending = []
     finally:
-        state.unpersist()
+        for df in (numbers, rows, state):
+            df.unpersist()
+        sent.unpersist()
     return trees[:stopper.best] if stopper.best else trees
 
 

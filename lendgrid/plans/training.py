@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -32,17 +34,19 @@ class Bundle:
 
 
 def train_full_model(features: DataFrame, columns: list[str] | None = None, settings: TreeSettings = TreeSettings(),
-                     final: TreeScorer | None = None) -> Bundle:
-    """Holdout metrics of a first fit, then a fit on all labelled rows; ``final`` is that fit, if there is one already.
+                     final: Callable[[], TreeScorer] | None = None) -> Bundle:
+    """Holdout metrics of a first fit, then a fit on all labelled rows; ``final`` gives that fit, if not this one is to.
 
-    ``features`` should be a written table: the fits and the scoring scan it again.
+    ``features`` should be a written table: the fits and the scoring scan it again. The two fits do not wait for one another.
     """
     columns = columns or feature_columns(features)
     train = features.where("IS_TRAIN = 1")
     split = stratified_holdout(train, "SK_ID_CURR", "TARGET")
-    first = fit_trees(split.where("NOT is_holdout"), columns, settings=settings)
+    with ThreadPoolExecutor(1) as pool:
+        later = pool.submit(final or (lambda: fit_trees(train, columns, settings=settings)))
+        first = fit_trees(split.where("NOT is_holdout"), columns, settings=settings)
+        whole = later.result()
     metrics = ranking_metrics(first.score(split.where("is_holdout")), y="TARGET").first().asDict()
-    final = final or fit_trees(train, columns, settings=settings)
     # scores feed the threshold and every later lookup, so they are written once; only what those need
-    scored = cut_lineage(final.score(train).select("SK_ID_CURR", "IS_TRAIN", "TARGET", "p", F.col("TARGET").cast("int").alias("y")))
-    return Bundle(final, tuple(columns), scored, rate_matched_threshold(scored), metrics)
+    scored = cut_lineage(whole.score(train).select("SK_ID_CURR", "IS_TRAIN", "TARGET", "p", F.col("TARGET").cast("int").alias("y")))
+    return Bundle(whole, tuple(columns), scored, rate_matched_threshold(scored), metrics)

@@ -252,6 +252,36 @@ def test_model_does_not_depend_on_blocks(cases):
         assert all((getattr(a, f) == getattr(b, f)).all() for f in bo.Tree.__dataclass_fields__)
 
 
+def test_blocks_are_taken_up_where_a_worker_left_them():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    bins = bo.Bins(("a", "b", "c"), tuple(np.quantile(x[:, j], np.arange(1, 20) / 20) for j in range(3)))
+    settings = mo.TreeSettings(trees=4, depth=3, step=0.5, min_child=2)
+    y, keys = (x[:, 0] + x[:, 1] > 0).astype(float), rng.integers(0, 2**62, 300).astype(np.uint64)
+    fresh, made, trees = lambda: bo.Block(bins, bins.encode(x), y, np.zeros(300, bool), keys, np.zeros(300), settings), [], []
+
+    def make():
+        made.append(1)
+        return fresh()
+
+    for k in range(4):
+        trees.append(bo.grow_tree(bo.Splits(bins, settings), k, lambda t, c, w: bo.kept_block("fit", 7, 0, trees, make).sums(k, t, c, w)))  # noqa: B023
+        other = bo.kept_block("other", k, 0, trees, fresh)  # a worker that sees the block for the first time
+        assert (other.margin == bo.kept_block("fit", 7, 0, trees).margin).all() and other.done == k + 1
+    assert len(made) == 1 and bo.kept_block("unknown", 7, 0, trees) is None
+    # the state of an earlier round is asked for again: the block is made anew
+    assert bo.kept_block("fit", 7, 0, trees[:2], make).done == 2 and len(made) == 2
+
+
+def test_more_rows_than_a_block_go_to_all_cores(cases, tmp_path):
+    train = cases.where("IS_TRAIN = 1")
+    bins, n = bo.fit_bins(train, COLUMNS), train.count()
+    size, cores = n * len(COLUMNS), train.sparkSession.sparkContext.defaultParallelism
+    for block_bytes, parts in ((size, 1), (size - 1, 2), (max(1, size // 100), cores)):
+        blocks, found = bo.write_blocks(train, bins, "TARGET", None, "SK_ID_CURR", 0.0, n, block_bytes)
+        assert found == parts and blocks.agg({"rows": "sum"}).first()[0] == train.where("TARGET IS NOT NULL").count()
+
+
 def test_degenerate_training_tables(spark):
     schema = "SK_ID_CURR long, TARGET int, x double, gone double"
     for rows in ([], [(1, None, 1.0, None)], [(i, 1, float(i), None) for i in range(30)], [(i, i % 2, float("nan"), None) for i in range(30)]):
