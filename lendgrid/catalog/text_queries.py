@@ -55,7 +55,9 @@ def io7_corpus(spark, d):
     """Every document written as a file of its own, then read back as a corpus."""
     folder = _scratch(spark, "corpus")
     page = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("text"))
-    proxy.policy_documents(spark, d).select(page.alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    # making a file takes far longer than moving its text, and tasks move their own files into place
+    pages = spread(proxy.policy_documents(spark, d)).select(page.alias("value"))
+    pages.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
     return scan_corpus(spark, folder, "*.txt")
 
 

@@ -336,3 +336,15 @@ def test_keyed_store(spark, tmp_path):
     assert store.write("c", frame_of([(3, [31.0], 0)]), "at") and rows() == {1: 1.0, 2: 20.0, 3: 31.0}
     with pytest.raises(Exception):
         store._commit(2, "late", "x", False)  # a version is made once
+
+
+def test_files_of_documents_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    from lendgrid.catalog import QUERIES, text_queries
+
+    rows = [(i, None if i == 3 else f"text {i % 20}", "en", "web", 7) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(text_queries, "_scratch", lambda spark, name: str(tmp_path / name))
+    found = QUERIES["io7_corpus"](spark, str(tmp_path)).collect()
+    assert sorted((r.title, r.text) for r in found if r.text) == sorted((f"Doc {i}", t) for i, t, *_ in rows if t)
+    names = [p.name for p in (tmp_path / "corpus").glob("part-*")]
+    assert len(names) == 40 and len({n[:10] for n in names}) > 1
