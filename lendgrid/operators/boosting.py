@@ -407,32 +407,66 @@ def _plain_rows(state: DataFrame) -> tuple[RDD, RDD]:
     return rows, rows.map(lambda r: r[0]).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _sum_blocks(rows: RDD, numbers: RDD, sent: Broadcast, fit: str, first: int, pending: list[Tree], tree: int, partial: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
-    """One level: every task sums its blocks, and the driver gets one sum per task, or of more than ``MOST_ADDED`` tasks the sum of several.
+def sums_then_input(at: int, part: Iterator, kept: Callable[[], np.ndarray | None], made: Callable[[Iterator], np.ndarray] | None = None) -> Iterator[tuple]:
+    """The part's number, its sums and whether they needed its input: sums of what the worker has ``kept``, else those ``made`` from the input, or none.
 
-    Tasks get the numbers of their blocks; for those parts whose worker has not kept them, a second job sends the rows.
+    A task's input comes in a packet of its own, some 40 ms after its function where the network waits for an answer to the first packet.
+    So sums that need no input are made and sent first. It is still read to its end, or the worker would end, and with it what it keeps.
     """
-    def add(blocks: Iterator[Block | None]) -> np.ndarray | None:
-        total = None
-        for block in blocks:
-            if block is None:
-                return None
-            own = block.sums(tree, partial, columns, wanted)
-            total = own if total is None else total + own
-        return 0 if total is None else total
-
-    def of_kept(at: int, part: Iterator[int]) -> Iterator[tuple]:
-        yield at, add(kept_block(fit, number, first, pending) for number in list(part))
-
-    def of_rows(part: Iterator[tuple]) -> Iterator[np.ndarray]:
-        yield add(kept_block(fit, row[0], first, pending, lambda: _block(*sent.value, dict(zip(_NAMES, row)))) for row in part)  # noqa: B023
-
-    if rows.getNumPartitions() > MOST_ADDED:
-        return rows.mapPartitions(of_rows).treeReduce(lambda a, b: a + b)
-    found = dict(numbers.mapPartitionsWithIndex(of_kept).collect())
-    missing = [at for at, own in found.items() if own is None]
-    rest = rows.context.runJob(rows, of_rows, missing) if missing else []
-    return sum([own for own in found.values() if own is not None] + rest)
+    own = kept()
+    if own is None and made is not None:
+        yield at, made(part), True
+    else:
+        yield at, own, False
+    for _ in part:
+        pass
+
+
+class _Levels:
+    """The blocks of a fit as they lie in the cluster, and the sums of a level over them."""
+
+    def __init__(self, state: DataFrame, sent: Broadcast, fit: str, first: int):
+        self.sent, self.fit, self.first, self.settled = sent, fit, first, False
+        self.rows, self.numbers = _plain_rows(state)
+        self.dealt = self.numbers.glom().collect()
+
+    def sums(self, pending: list[Tree], tree: int, partial: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
+        """One level: every task sums its blocks, and the driver gets one sum per task, or of more than ``MOST_ADDED`` tasks the sum of several.
+
+        Tasks get the rows of their blocks until no worker needed them, from then on only the numbers. Where a worker has not kept a block
+        then, a second job sends the rows of that part, and the next levels send rows again.
+        """
+        sent, fit, first, dealt = self.sent, self.fit, self.first, self.dealt
+
+        def add(blocks: Iterator[Block | None]) -> np.ndarray | None:
+            total = None
+            for block in blocks:
+                if block is None:
+                    return None
+                own = block.sums(tree, partial, columns, wanted)
+                total = own if total is None else total + own
+            return 0 if total is None else total
+
+        def of_kept(at: int) -> np.ndarray | None:
+            return add(kept_block(fit, number, first, pending) for number in dealt[at])
+
+        def of_rows(part: Iterator[tuple]) -> np.ndarray:
+            return add(kept_block(fit, row[0], first, pending, lambda: _block(*sent.value, dict(zip(_NAMES, row)))) for row in part)  # noqa: B023
+
+        if len(dealt) > MOST_ADDED:
+            return self.rows.mapPartitions(lambda part: [of_rows(part)]).treeReduce(lambda a, b: a + b)
+        if self.settled:
+            found = self.numbers.mapPartitionsWithIndex(lambda at, part: sums_then_input(at, part, lambda: of_kept(at))).collect()
+        else:
+            found = self.rows.mapPartitionsWithIndex(lambda at, part: sums_then_input(at, part, lambda: of_kept(at), of_rows)).collect()
+        missing = [at for at, own, _ in found if own is None]
+        rest = self.rows.context.runJob(self.rows, lambda part: [of_rows(part)], missing) if missing else []
+        self.settled = not missing and not any(made for _, _, made in found)
+        return sum([own for _, own, _ in found if own is not None] + rest)
+
+    def unpersist(self) -> None:
+        self.numbers.unpersist()
+        self.rows.unpersist()
 
 
 def _advance(state: DataFrame, sent: Broadcast, fit: str, first: int, pending: list[Tree]) -> DataFrame:
@@ -471,10 +505,10 @@ def _grow_by_jobs(blocks: DataFrame, splits: Splits, patience: int, held: bool)
     state, trees, pending, stopper, fit = blocks.persist(), [], [], Stopper(patience), _fresh()
     bins, settings = splits.bins, splits.settings
     sent = blocks.sparkSession.sparkContext.broadcast((bins, settings))
-    (rows, numbers), refresh = _plain_rows(state), REFRESH if held else REFRESH_ALONE
+    levels, refresh = _Levels(state, sent, fit, 0), REFRESH if held else REFRESH_ALONE
     try:
         for k in range(settings.trees):
-            trees.append(grow_tree(splits, k, lambda t, c, w: _sum_blocks(rows, numbers, sent, fit, k - len(pending), pending, k, t, c, w)))  # noqa: B023
+            trees.append(grow_tree(splits, k, lambda t, c, w: levels.sums(pending, k, t, c, w)))  # noqa: B023
             pending.append(trees[-1])
             if len(pending) < refresh and k + 1 < settings.trees:
                 continue
@@ -484,16 +518,15 @@ def _grow_by_jobs(blocks: DataFrame, splits: Splits, patience: int, held: bool)
                     break
             if k + 1 == settings.trees:
                 break
-            older, state = (state, rows, numbers), _advance(state, sent, fit, k + 1 - len(pending), pending)
+            older, state = (state, levels), _advance(state, sent, fit, k + 1 - len(pending), pending)
             state = cut_lineage(state) if (k + 1) % CUT == 0 else state.persist()
-            rows, numbers = _plain_rows(state)
-            numbers.count()
-            for df in older:
-                df.unpersist()
+            levels = _Levels(state, sent, fit, k + 1)
+            for held_before in older:
+                held_before.unpersist()
             pending = []
     finally:
-        for df in (numbers, rows, state):
-            df.unpersist()
+        levels.unpersist()
+        state.unpersist()
         sent.unpersist()
     return trees[:stopper.best] if stopper.best else trees
 

@@ -273,6 +273,40 @@ def test_blocks_are_taken_up_where_a_worker_left_them():
     assert bo.kept_block("fit", 7, 0, trees[:2], make).done == 2 and len(made) == 2
 
 
+def test_sums_go_out_before_the_input_is_read():
+    seen = []
+
+    def part():
+        seen.append("read")
+        yield 1
+
+    steps = bo.sums_then_input(3, part(), lambda: 5)
+    assert next(steps) == (3, 5, False) and not seen
+    assert not list(steps) and seen == ["read"]  # read to its end, so that the worker stays
+    assert list(bo.sums_then_input(3, iter([1, 2]), lambda: None, sum)) == [(3, 3, True)]
+    assert list(bo.sums_then_input(3, iter([1, 2]), lambda: None)) == [(3, None, False)]
+
+
+def test_a_level_sends_rows_until_workers_have_their_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 2))
+    df = spark.createDataFrame([(int(a[0] > 0), float(a[0]), float(a[1])) for a in x], "y int, a double, b double")
+    bins, settings = bo.fit_bins(df, ["a", "b"]), bo.TreeSettings(trees=1, depth=2, min_child=1.0, row_sample=1.0, column_sample=1.0)
+    blocks, parts = bo.write_blocks(df, bins, "y", None, None, 0.0, 600, 400)
+    assert parts > 1
+    sent = spark.sparkContext.broadcast((bins, settings))
+    levels = bo._Levels(blocks, sent, "levels", 0)
+    root = bo.Tree(*[np.full(1, v, k) for v, k in ((0, np.int32), (0, np.int32), (np.inf, float), (False, bool), (-1, np.int32), (-1, np.int32), (0.0, float), (0.0, float), (0.0, float))])
+    found = [levels.sums([], 0, root, np.array([0, 1]), [0])]
+    assert not levels.settled  # no worker had a block
+    while not levels.settled:
+        found.append(levels.sums([], 0, root, np.array([0, 1]), [0]))
+    found.append(levels.sums([], 0, root, np.array([0, 1]), [0]))
+    assert all((f == found[0]).all() for f in found)
+    assert sum(len(d) for d in levels.dealt) == blocks.count()
+    levels.unpersist()
+
+
 def test_more_rows_than_a_block_go_to_all_cores(cases, tmp_path):
     train = cases.where("IS_TRAIN = 1")
     bins, n = bo.fit_bins(train, COLUMNS), train.count()
