@@ -15,8 +15,8 @@ from lendgrid.llm.words import number_texts, number_words, plain_words
 SLOTS, RANK, SPARE = 1 << 13, 96, 8
 #: Windows of the texts start every BLOCK words and are 2 or 4 blocks long; items are cut into passages that fit in one.
 BLOCK, PASSAGE = 16, 48
-#: Corpus passages that the latent space is fitted on, about; every window is then searched.
-FIT_PASSAGES = 20_000
+#: Passages multiplied at a time, and slots whose rows of a product travel together.
+PASSAGES_AT_ONCE, SLOT_RUN = 32, 256
 #: A window is a candidate if it scores like one that holds this share of a passage's weight.
 SHARE = 0.55
 #: A passage has leaked if so much of it is there in order, or less with its answer.
@@ -82,80 +82,106 @@ def _passage_starts(ends: np.ndarray, size: int) -> np.ndarray:
 def _frequencies(batches):
     """Of each task: in how many passages each slot occurs, at -1 the number of passages."""
     counts, passages = np.zeros(SLOTS, np.int64), 0
-    for part in slices(batches, "text", 2 << 20):
-        flat, ends = number_texts(part.column(0))
-        starts = _passage_starts(ends, 4 * BLOCK)
-        passages += len(starts)
-        if len(flat):
+    for batch in batches:
+        for slots, starts in zip(*(c.to_pylist() for c in batch.columns)):
+            flat, starts = np.frombuffer(slots, np.uint16), np.frombuffer(starts, np.int32)
+            passages += len(starts)
             row = np.zeros(len(flat), np.int64)
             row[starts[1:]] = 1
-            pairs = np.cumsum(row) * SLOTS + _slot(flat)
+            pairs = np.cumsum(row) * SLOTS + flat
             pairs.sort()
             counts += np.bincount(pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] % SLOTS, minlength=SLOTS)
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], used])), pa.array(np.concatenate([[passages], counts[used]]))], names=["slot", "n"])
 
 
-def _sample_passages(batches):
+def _passage_slots(batches):
+    """Of each slice: the slots of its words, two bytes each, and where its passages start."""
     for part in slices(batches, "text", 2 << 20):
         flat, ends = number_texts(part.column(0))
-        starts = _passage_starts(ends, 4 * BLOCK)
-        slots = np.split(_slot(flat).astype(np.int32), starts[1:]) if len(starts) else []
-        yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in slots], pa.binary())], names=["slots"])
-
-
-def _gram(rows: list[np.ndarray], idf: np.ndarray, basis: np.ndarray, weight: float) -> np.ndarray:
-    """Sum over unit TF-IDF rows a of a (a . basis), scaled by ``weight``; rows are lists of slots."""
-    out = np.zeros_like(basis)
-    rows = [r for r in rows if len(r)]
-    for at in range(0, len(rows), 512):
-        some = rows[at:at + 512]
-        slots, sizes = np.concatenate(some).astype(np.int64), np.array([len(r) for r in some])
-        starts, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(some)), sizes)
-        norm = np.sqrt(np.add.reduceat(idf[slots] ** 2, starts))
-        value = (idf[slots] / norm[row])[:, None]
-        image = np.add.reduceat(basis[slots] * value, starts, axis=0)
-        order = np.argsort(slots, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(slots[order]) > 0]))
-        out[slots[order][heads]] += np.add.reduceat((image[row] * value)[order], heads, axis=0)
-    return out * np.float32(weight)
-
-
-def fit_space(texts: DataFrame, passages: Passages, rank: int = RANK, fit_passages: int = FIT_PASSAGES, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+        if len(flat):
+            starts = _passage_starts(ends, 4 * BLOCK).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([_slot(flat).astype(np.uint16).tobytes()], pa.binary()), pa.array([starts.tobytes()], pa.binary())], names=["slots", "starts"])
+
+
+def _gram(flat: np.ndarray, starts: np.ndarray, idf: np.ndarray, basis: np.ndarray, out: np.ndarray) -> None:
+    """Add to ``out`` the sum over unit TF-IDF rows a of a (a . basis); ``flat`` are the slots of all rows, and ``starts`` where each begins."""
+    bounds = np.append(starts, len(flat)).astype(np.int64)
+    place = np.zeros(SLOTS, np.int64)
+    for at in range(0, len(starts), PASSAGES_AT_ONCE):
+        some = bounds[at:at + PASSAGES_AT_ONCE + 1]
+        slots, sizes = flat[some[0]:some[-1]], np.diff(some)
+        # a small dense matrix over the slots that these passages have, so that both products are quick
+        there = np.zeros(SLOTS, bool)
+        there[slots] = True
+        used = np.flatnonzero(there)
+        place[used] = np.arange(len(used))
+        weight = idf[slots]
+        norm = np.sqrt(np.add.reduceat(weight * weight, some[:-1] - some[0]))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        dense = np.bincount(row * len(used) + place[slots], weight / norm[row], len(sizes) * len(used)).astype(np.float32).reshape(len(sizes), -1)
+        out[used] += dense.T @ (dense @ basis[used])
+
+
+def _corpus_product(found: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The sum of ``_gram`` over all passages of the corpus: a task per core sums up its own, and these sums are added in the cluster,
+    a run of slots at a time. What reaches the driver is one matrix of slots x directions."""
+    context = found.sparkSession.sparkContext
+    sent = context.broadcast((idf, basis))
+    kinds = "run int, rows binary"
+
+    def of(run, rows):
+        return pa.RecordBatch.from_arrays([pa.array([run], pa.int32()), pa.array([rows.astype(np.float32).tobytes()], pa.binary())], names=["run", "rows"])
+
+    def product(batches):
+        weights, directions = sent.value
+        out = None
+        for batch in batches:
+            for slots, starts in zip(*(c.to_pylist() for c in batch.columns)):
+                out = np.zeros(directions.shape) if out is None else out
+                _gram(np.frombuffer(slots, np.uint16), np.frombuffer(starts, np.int32), weights, directions, out)
+        for run in range(0, 0 if out is None else SLOTS, SLOT_RUN):
+            yield of(run, out[run:run + SLOT_RUN])
+
+    def add(batches):
+        sums = {}
+        for batch in batches:
+            for run, rows in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[run] = sums.get(run, 0) + np.frombuffer(rows, np.float32).astype(np.float64)
+        for run, rows in sums.items():
+            yield of(run, rows)
+
+    image = np.zeros(basis.shape)
+    parts = found.coalesce(context.defaultParallelism).mapInArrow(product, kinds)
+    for r in parts.repartition("run").mapInArrow(add, kinds).collect():
+        image[r["run"]:r["run"] + SLOT_RUN] = np.frombuffer(r["rows"], np.float32).reshape(-1, basis.shape[1])
+    sent.destroy()
+    return image
+
+
+def fit_space(texts: DataFrame, passages: Passages, rank: int = RANK, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """IDF over all passages of ``texts`` and a basis of the latent space (slots x rank).
 
-    The basis is a randomised SVD with one power step of about ``fit_passages`` corpus passages, chosen by the hash of their
-    text, together with the benchmark's passages at the same total weight. The products with the passages run in tasks;
+    The basis is a randomised SVD with one power step of all corpus passages, together with the benchmark's passages at the same
+    total weight. The products with the passages run in tasks over their slots, written once (two bytes a word);
     what reaches the driver is a few slots x rank matrices, whatever the corpus.
     """
-    counted = texts.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    found = written(texts.mapInArrow(_passage_slots, "slots binary, starts binary"), "passage-slots")
+    counted = found.mapInArrow(_frequencies, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     seen = {r["slot"]: r["n"] for r in counted}
     total = seen.pop(-1, 0)
     df = np.zeros(SLOTS)
     df[list(seen)] = list(seen.values())
     idf = np.log((total + 1) / (df + 1) + 1).astype(np.float32)
-    part = min(1.0, fit_passages / max(1, total))
-    chosen = texts.filter((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(part * 1_000_000) + 1)))
-    sample = written(chosen.mapInArrow(_sample_passages, "slots binary"), "fit-passages")
-    n_sample = sample.count()
     own = [_slot(np.array(w, np.uint64)) for w in passages.words]
+    begins = np.cumsum([0, *(len(w) for w in own[:-1])])
     basis = np.random.default_rng(seed).standard_normal((SLOTS, rank + SPARE), np.float32) / np.float32(SLOTS**0.5)
     for _ in range(2):
-        sent = texts.sparkSession.sparkContext.broadcast((idf, basis))
-
-        def product(batches, sent=sent):
-            weights, directions = sent.value
-            out = np.zeros_like(directions)
-            for batch in batches:
-                rows = [np.frombuffer(x, np.int32) for x in batch.column(0).to_pylist()]
-                out += _gram(rows, weights, directions, 1.0)
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["product"])
-
-        image = _gram(own, idf, basis, max(1, n_sample) / max(1, len(own)))
-        for row in sample.repartition(4).mapInArrow(product, "product binary").toLocalIterator():
-            image += np.frombuffer(row["product"], np.float32).reshape(image.shape)
-        basis = _left_vectors(image)
-        sent.destroy()
+        image = np.zeros(basis.shape)
+        if own:
+            _gram(np.concatenate(own), begins, idf, basis, image)
+        image = image * (max(1, total) / max(1, len(own))) + _corpus_product(found, idf, basis)
+        basis = _left_vectors(image.astype(np.float32))
     return idf, basis[:, :rank].copy()
 
 

@@ -234,6 +234,40 @@ def test_classifier_edges(spark):
 
 # --- decontamination --------------------------------------------------------------------------------------------------------
 
+def test_latent_space_knows_every_passage(spark):
+    rng = random.Random(3)
+    common = [f"word{i}" for i in range(300)]
+    slot = lambda words: decontaminate._slot(np.array(number_words(words), np.uint64)).tolist()
+    taken = set(slot(common))
+    # texts with words of their own, among so many others that a sample of 20,000 by the hash of the text left them out
+    rare = [[w for w in (f"rare{i}x{j}" for j in range(12)) if slot([w])[0] not in taken] for i in range(80)]
+    hashed = table(spark, [" ".join(r) for r in rare]).select("doc_id", F.pmod(F.xxhash64("text"), F.lit(1_000_000)).alias("h")).collect()
+    left_out = [rare[r["doc_id"]] for r in hashed if r["h"] > 900_000][:3]
+    assert left_out
+    texts = [" ".join(rng.choices(common, k=5)) for _ in range(23_000)] + [" ".join(r) for r in left_out] * 20
+    passages = decontaminate.cut_items([(1, " ".join(common[:30]), None)])
+    idf, basis = decontaminate.fit_space(table(spark, texts).select("text"), passages)
+    assert (np.abs(basis[slot([w for r in left_out for w in r])]).max(axis=1) > 0).all()
+    assert basis.shape == (decontaminate.SLOTS, decontaminate.RANK) and np.allclose(basis.T @ basis, np.eye(decontaminate.RANK), atol=1e-2)
+
+
+def test_products_of_the_corpus_are_the_dense_ones(spark):
+    rng = np.random.default_rng(4)
+    texts = [None, "", *[" ".join(f"w{i}" for i in rng.integers(0, 50, n)) for n in rng.integers(1, 200, 40)]]
+    found = table(spark, texts).select("text").mapInArrow(decontaminate._passage_slots, "slots binary, starts binary")
+    idf, basis = rng.random(decontaminate.SLOTS, np.float32) + 1, rng.standard_normal((decontaminate.SLOTS, 6), np.float32)
+    dense = []
+    for text in texts:
+        words = decontaminate._slot(np.array(number_words(plain_words(text or "")), np.uint64))
+        for at in range(0, len(words), 4 * decontaminate.BLOCK):
+            some = words[at:at + 4 * decontaminate.BLOCK]
+            row = np.bincount(some, idf[some], decontaminate.SLOTS)
+            dense.append(row / np.sqrt((idf[some] ** 2).sum()))
+    dense = np.array(dense)
+    got = decontaminate._corpus_product(found, idf, basis)
+    assert np.allclose(got, dense.T @ (dense @ basis), rtol=1e-3, atol=1e-3)
+
+
 def test_leaks_and_recall(spark):
     rng = random.Random(8)
     vocabulary = [f"word{i}" for i in range(400)]
