@@ -2,13 +2,21 @@
 
 Rows lie in blocks of bytes. What a level needs from them is the sum of gradients and hessians per column, bin and node; these sums are
 whole numbers (fixed point), so they do not depend on how rows are dealt, and a model is the same for any number of blocks (with the same cuts).
-If all rows fit one block, one task grows all trees; else each level is one job of one stage: a task per core sums the histograms of its
+If all rows fit one block, one task grows all trees. Else the tasks of a barrier stage, one per core, hold a part of the blocks each and grow ``ROUNDS``
+trees together: each sums the histograms of its blocks, adds those of all tasks for its share of the columns, and all take the best of the splits so found.
+What they tell each other lies in the shared folder until all have read it.
+
+Where Spark cannot run a barrier stage, or the shared folder is no plain one, each level is one job of one stage: a task per core sums the histograms of its
 blocks, and the driver adds these. A worker keeps the blocks that it has seen, with their margins and nodes, and takes them up where it left
 them, so that a level sends no rows; what a worker does not have is made from its row and the trees since, so what is kept changes no result.
 """
 
 from __future__ import annotations
 
+import os
+import pickle
+import shutil
+import time
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -32,8 +40,10 @@ TASK_BYTES, KEPT_BYTES = 1 << 20, 256 << 20
 REFRESH, REFRESH_ALONE, CUT = 10, 50, 100
 #: Rounds without a better validation AUC after which boosting has ended (fixed value).
 PATIENCE = 50
-#: Tasks whose sums the driver adds itself; those of more are added in the cluster first.
+#: Tasks whose sums the driver adds itself; those of more are added in the cluster first. No more than these grow trees together.
 MOST_ADDED = 32
+#: Trees that the tasks of a barrier stage grow before their margins are written down, and seconds that they wait for one another.
+ROUNDS, MOST_WAIT = 100, 900.0
 
 
 @dataclass(frozen=True)
@@ -123,7 +133,21 @@ class Splits:
         return -self.settings.step * g / (h + self.settings.ridge)
 
     def best(self, sums: np.ndarray, columns: np.ndarray) -> list[tuple | None]:
-        """Of each node's ``sums`` (slots x 2, of ``columns``): gain, column, last bin on the left, side of missing values, sums of the left child."""
+        """Of each node's ``sums`` (slots x 2, of ``columns``): gain, column, last bin on the left, side of missing values, sums of both children."""
+        return self.chosen([self.candidates(sums, columns)])
+
+    def chosen(self, found: list[list[tuple]]) -> list[tuple | None]:
+        """Each node's split from the candidates of runs of columns, in the order of the columns: the first of equal ones."""
+        out = []
+        for of_node in zip(*found):
+            right_first, left_first = ([side[at] for side in of_node] for at in (0, 1))
+            a, b = (side[int(np.argmax([split[0] for split in side]))] for side in (right_first, left_first))
+            split = b if b[0] > a[0] else a
+            out.append(split if split[0] > 1e-6 else None)
+        return out
+
+    def candidates(self, sums: np.ndarray, columns: np.ndarray) -> list[tuple]:
+        """Of each node the best split with missing values on the right and that with them on the left, as ``best`` gives them."""
         sizes = self.bins.sizes[columns]
         starts = np.concatenate([[0], np.cumsum(sizes)])
         x = sums / UNIT
@@ -148,34 +172,36 @@ class Splits:
         right_first, left_first = gains(left, missing_slot), gains(left + lost, missing_slot | last_value)
         found = []
         for i in range(len(x)):
-            a, b = int(right_first[i].argmax()), int(left_first[i].argmax())
-            to_left = left_first[i, b] > right_first[i, a]
-            at, gain = (b, left_first[i, b]) if to_left else (a, right_first[i, a])
-            if not gain > 1e-6:
-                found.append(None)
-                continue
-            j = int(np.searchsorted(starts, at, "right")) - 1
-            own = left[i, at] + (lost[i, at] if to_left else 0)
-            found.append((float(gain), int(columns[j]), int(at - starts[j]), bool(to_left), own, total[i] - own))
+            sides = []
+            for to_left, gain in ((False, right_first[i]), (True, left_first[i])):
+                at = int(gain.argmax())
+                j = int(np.searchsorted(starts, at, "right")) - 1
+                own = left[i, at] + (lost[i, at] if to_left else 0)
+                sides.append((float(gain[at]), int(columns[j]), int(at - starts[j]), to_left, own, total[i] - own))
+            found.append(tuple(sides))
         return found
 
 
-def grow_tree(splits: Splits, tree: int, sums_of: Callable[["Tree", np.ndarray, list[int]], np.ndarray]) -> Tree:
+def grow_tree(splits: Splits, tree: int, sums_of: Callable[["Tree", np.ndarray, list[int]], np.ndarray],
+              share_of: Callable[[np.ndarray], np.ndarray] = lambda columns: columns, best: Callable[[np.ndarray, np.ndarray], list[tuple | None]] | None = None) -> Tree:
     """One tree, level by level. ``sums_of(partial tree, columns, nodes)`` gives the sums of these nodes.
 
-    Of two siblings only the one with less weight is summed; the other is what is left of the parent.
+    Of two siblings only the one with less weight is summed; the other is what is left of the parent. Where several grow the same tree, ``sums_of``
+    gives the sums of the caller's ``share_of(columns)`` (one or more), and ``best`` the splits that all agree on.
     """
+    best = best or splits.best
     cap = 2 ** (splits.settings.depth + 1)
     t = Tree(np.zeros(cap, np.int32), np.zeros(cap, np.int32), np.full(cap, np.inf), np.zeros(cap, bool), np.full(cap, -1, np.int32),
              np.full(cap, -1, np.int32), np.zeros(cap), np.zeros(cap), np.zeros(cap))
     columns = splits.columns_of(tree)
+    share = share_of(columns)
     held = {0: sums_of(t, columns, [0])[0]}
-    first = held[0][:int(splits.bins.sizes[columns[0]])].sum(axis=0) / UNIT
+    first = held[0][:int(splits.bins.sizes[share[0]])].sum(axis=0) / UNIT
     t.value[0], t.cover[0], count = splits.leaf(*first), first[1], 1
     for level in range(splits.settings.depth):
         nodes = sorted(held)
         new = []
-        for node, split in zip(nodes, splits.best(np.stack([held[n] for n in nodes]), columns)):
+        for node, split in zip(nodes, best(np.stack([held[n] for n in nodes]), share)):
             if split is None:
                 continue
             gain, column, last, missing_left, left, right = split
@@ -469,6 +495,162 @@ class _Levels:
         self.rows.unpersist()
 
 
+class _Round:
+    """What tasks that run at the same time tell each other: files in a folder that all see, named by turn and task. A file is there as a whole or not at all.
+
+    A turn has two exchanges: after the second one all have read what was put down for the first, so everyone takes his own file away.
+    """
+
+    def __init__(self, folder: str, at: int, tasks: int):
+        self.folder, self.at, self.tasks, self.turn = folder, at, tasks, 0
+        os.makedirs(folder, exist_ok=True)
+
+    def _put(self, kind: str, data: bytes) -> None:
+        path = f"{self.folder}/{kind}-{self.turn}-{self.at}"
+        with open(f"{path}.part", "wb") as f:
+            f.write(data)
+        os.replace(f"{path}.part", path)
+
+    def _get(self, kind: str, task: int, start: int = 0, size: int = -1) -> bytes:
+        began = looked = time.monotonic()
+        while True:
+            try:
+                with open(f"{self.folder}/{kind}-{self.turn}-{task}", "rb") as f:
+                    f.seek(start)
+                    return f.read(size)
+            except FileNotFoundError:
+                now = time.monotonic()
+                if now - began > MOST_WAIT:
+                    raise TimeoutError(f"task {task} has put down nothing for {MOST_WAIT:.0f} s") from None
+                if now - looked > 0.05:  # a network folder may remember that a file was not there, until the folder is read again
+                    os.listdir(self.folder)
+                    looked = time.monotonic()
+                time.sleep(0.0005)
+
+    def added(self, own: list[np.ndarray]) -> np.ndarray:
+        """The sum, over all tasks, of what each has for this one; ``own`` are this task's sums for task 0, 1, ...; of equal shapes over all tasks."""
+        self._put("sums", b"".join(np.ascontiguousarray(o).tobytes() for o in own))
+        start, total = sum(o.nbytes for o in own[:self.at]), own[self.at].copy()
+        for task in range(self.tasks):
+            if task != self.at:
+                total += np.frombuffer(self._get("sums", task, start, total.nbytes), total.dtype).reshape(total.shape)
+        return total
+
+    def all(self, own: object) -> list:
+        """What every task has, in the order of the tasks; ends the turn."""
+        self._put("found", pickle.dumps(own))
+        found = [own if task == self.at else pickle.loads(self._get("found", task)) for task in range(self.tasks)]
+        os.remove(f"{self.folder}/sums-{self.turn}-{self.at}")
+        if self.turn:  # all have put down something for this turn, so they have read what was found in the one before
+            os.remove(f"{self.folder}/found-{self.turn - 1}-{self.at}")
+        self.turn += 1
+        return found
+
+
+def column_shares(sizes: np.ndarray, tasks: int) -> list[tuple[int, int]]:
+    """Runs of columns for the tasks, in order, with about as many slots each; tasks for which none is left look at the first column, like another one."""
+    ends = np.cumsum(sizes)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(1, tasks) * (ends[-1] / tasks), "left") + 1, [len(sizes)]]).clip(0, len(sizes)))
+    runs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    return runs + [(0, 1)] * (tasks - len(runs))
+
+
+def _plain_folder(path: str) -> str | None:
+    """The shared folder as Python opens it; none if only Spark can."""
+    plain = path[len("file:"):] if path.startswith("file:") else path
+    return "/" + plain.lstrip("/") if plain.startswith("/") else None
+
+
+def grows_together(spark: SparkSession, parts: int, size: int) -> bool:
+    """Whether the parts, of ``size`` bytes in all, can be held by tasks that all run at the same time and see the shared folder."""
+    conf = spark.sparkContext.getConf()
+    slots = spark.sparkContext.defaultParallelism // int(conf.get("spark.task.cpus", "1"))
+    adapts = conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true"
+    return not adapts and parts <= min(MOST_ADDED, slots) and size <= parts * KEPT_BYTES and _plain_folder(shared_folder(spark)) is not None
+
+
+class _Together:
+    """The blocks of a fit, dealt to tasks that grow trees together. Margins lie in the fit's folder by block and number of trees, so that a job that fails
+    is run again from the trees before it."""
+
+    def __init__(self, state: DataFrame, sent: Broadcast, splits: Splits, parts: int, fit: str):
+        self.sent, self.splits, self.parts = sent, splits, parts
+        self.folder = f"{_plain_folder(shared_folder(state.sparkSession))}/fit-{fit}"
+        os.makedirs(self.folder)
+        # block numbers begin with the number of their part
+        self.rows = state.rdd.map(lambda r: (r[0] >> 20, tuple(bytes(v) if isinstance(v, bytearray) else v for v in r))).partitionBy(parts, lambda part: part)
+
+    def grow(self, first: int, count: int) -> list[Tree]:
+        """Trees ``first`` to ``first + count - 1``; margins after them are in the folder then."""
+        sent, splits, parts, folder = self.sent, self.splits, self.parts, self.folder
+
+        def run(part: Iterator[tuple]) -> Iterator[bytes]:
+            from pyspark import BarrierTaskContext
+
+            context, blocks = BarrierTaskContext.get(), []
+            for _, row in part:
+                block = _block(*sent.value, dict(zip(_NAMES, row)))
+                if first:
+                    block.margin = np.load(f"{folder}/margins-{first}-{row[0]}.npy")
+                blocks.append((row[0], block))
+            at = context.partitionId()
+            # a stage that is run again has another folder, so that nothing of the earlier run is read
+            told = _Round(f"{folder}/{context.allGather(_fresh())[0]}", at, parts)
+            sizes = splits.bins.sizes
+
+            def share_of(columns: np.ndarray) -> np.ndarray:
+                return columns[slice(*column_shares(sizes[columns], parts)[at])]
+
+            def sums_of(number: int, partial: Tree, columns: np.ndarray, wanted: list[int]) -> np.ndarray:
+                starts = np.concatenate([[0], np.cumsum(sizes[columns])])
+                own = sum((block.sums(number, partial, columns, wanted) for _, block in blocks), np.zeros((len(wanted), int(starts[-1]), 2), np.int64))
+                return told.added([own[:, starts[a]:starts[b]] for a, b in column_shares(sizes[columns], parts)])
+
+            def best(sums: np.ndarray, columns: np.ndarray) -> list[tuple | None]:
+                return splits.chosen(told.all(splits.candidates(sums, columns)))
+
+            trees = []
+            for k in range(first, first + count):
+                trees.append(grow_tree(splits, k, lambda t, c, w: sums_of(k, t, c, w), share_of, best))  # noqa: B023
+                for _, block in blocks:
+                    block.add(k, trees[-1])
+            for number, block in blocks:
+                np.save(f"{folder}/margins-{first + count}-{number}.npy", block.margin)
+            if at == 0:
+                yield pickle.dumps(trees)
+
+        return pickle.loads(self.rows.barrier().mapPartitions(run).collect()[0])
+
+    def margins(self, done: int) -> str | None:
+        """Where the margins after ``done`` trees begin; none before the first."""
+        return f"{self.folder}/margins-{done}-" if done else None
+
+    def close(self) -> None:
+        shutil.rmtree(self.folder, ignore_errors=True)
+
+
+def _grow_together(blocks: DataFrame, splits: Splits, patience: int, held: bool, parts: int) -> list[Tree]:
+    """All trees by barrier stages of ``ROUNDS`` trees each; of ``REFRESH`` with held-out rows, which are ranked after each stage for each of its rounds."""
+    from lendgrid.operators.scoring import ranking_metrics
+
+    bins, settings, trees, stopper = splits.bins, splits.settings, [], Stopper(patience)
+    sent = blocks.sparkSession.sparkContext.broadcast((bins, settings))
+    together = _Together(blocks, sent, splits, parts, _fresh())
+    try:
+        while len(trees) < settings.trees:
+            first = len(trees)
+            trees += together.grow(first, min(REFRESH if held else ROUNDS, settings.trees - first))
+            if held:
+                margins = _held_margins(blocks, bins, settings, trees[first:], together.margins(first))
+                areas = {r["at"]: r["roc_auc"] for r in ranking_metrics(margins, keys=("at",)).select("at", "roc_auc").collect()}
+                if any(stopper.over(first + i + 1, areas.get(i)) for i in range(len(trees) - first)):
+                    break
+    finally:
+        together.close()
+        sent.unpersist()
+    return trees[:stopper.best] if stopper.best else trees
+
+
 def _advance(state: DataFrame, sent: Broadcast, fit: str, first: int, pending: list[Tree]) -> DataFrame:
     """The blocks, whose margins are those after ``first`` trees, with the margins after the ``pending`` ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,8 +663,9 @@ def _advance(state: DataFrame, sent: Broadcast, fit: str, first: int, pending: l
     return state.mapInArrow(run, _STATE)
 
 
-def _held_margins(state: DataFrame, bins: Bins, settings: TreeSettings, pending: list[Tree]) -> DataFrame:
-    """``y``, ``at`` and ``p``: the margin of every held-out row after the first, second, ... of the ``pending`` trees."""
+def _held_margins(state: DataFrame, bins: Bins, settings: TreeSettings, pending: list[Tree], margins: str | None = None) -> DataFrame:
+    """``y``, ``at`` and ``p``: the margin of every held-out row after the first, second, ... of the ``pending`` trees. Margins before these are
+    those of the blocks, or lie in files that begin with ``margins``."""
     sent = state.sparkSession.sparkContext.broadcast((bins, settings, pending))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -490,6 +673,8 @@ def _held_margins(state: DataFrame, bins: Bins, settings: TreeSettings, pending:
         for batch in batches:
             for row in batch.to_pylist():
                 block = _block(bins, settings, row)
+                if margins:
+                    block.margin = np.load(f"{margins}{row['block']}.npy")
                 held = np.flatnonzero(block.held)
                 for at, t in enumerate(pending):
                     block.add(at, t)
@@ -601,7 +786,10 @@ def fit_booster(train: DataFrame, columns: list[str], y: str = "TARGET", setting
     splits = Splits(bins, settings)
     if not n or not columns:
         return Booster(tuple(columns), (), base)
-    blocks, parts = write_blocks(train, bins, y, validation, key, base, n if not validation else train.count(), block_bytes)
+    rows = n if not validation else train.count()
+    blocks, parts = write_blocks(train, bins, y, validation, key, base, rows, block_bytes)
+    if parts > 1 and grows_together(train.sparkSession, parts, rows * (len(columns) + 48)):
+        return Booster(tuple(columns), tuple(_grow_together(blocks, splits, patience, validation is not None, parts)), base)
     if parts > 1:
         return Booster(tuple(columns), tuple(_grow_by_jobs(blocks, splits, patience, validation is not None)), base)
 

@@ -10,6 +10,7 @@ from lendgrid.catalog import QUERIES, model_queries
 from lendgrid.functions.defaults import SEGMENT_INPUTS
 from lendgrid.operators import attributions as at, boosting as bo, kmeans as km, models as mo, reasons as re_, scoring as sc, segments as sg, whatif as wi
 from lendgrid.plans.training import train_full_model
+from lendgrid.session import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -252,6 +253,57 @@ def test_model_does_not_depend_on_blocks(cases):
         assert all((getattr(a, f) == getattr(b, f)).all() for f in bo.Tree.__dataclass_fields__)
 
 
+@pytest.mark.parametrize("held", [None, "held"])
+def test_trees_grown_together_are_those_of_levels(cases, held, monkeypatch):
+    train, spark = cases.where("IS_TRAIN = 1").withColumn("held", F.col("SK_ID_CURR") % 5 == 0), cases.sparkSession
+    monkeypatch.setattr(bo, "ROUNDS", 5)
+    monkeypatch.setattr(bo, "REFRESH", 5)
+    fit = lambda: mo.fit_trees(train, COLUMNS, settings=mo.TreeSettings(trees=13, depth=3, step=0.3, min_child=3), validation=held, block_bytes=500).booster.trees
+    together = fit()
+    monkeypatch.setattr(bo, "grows_together", lambda *_: False)
+    by_levels = fit()
+    assert len(together) == len(by_levels) >= 1
+    for a, b in zip(together, by_levels):
+        assert all((getattr(a, f) == getattr(b, f)).all() for f in bo.Tree.__dataclass_fields__)
+    assert not [f for f in os.listdir(shared_folder(spark)) if f.startswith("fit-")]  # nothing is left behind
+
+
+def test_jobs_do_not_grow_with_trees(cases):
+    train, context = cases.where("IS_TRAIN = 1"), cases.sparkSession.sparkContext
+    jobs = []
+    for trees in (1, 9):
+        context.setJobGroup(f"trees-{trees}", "a fit")
+        assert len(mo.fit_trees(train, COLUMNS, settings=mo.TreeSettings(trees=trees, depth=3, min_child=3), block_bytes=500).booster.trees) == trees
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"trees-{trees}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
+def test_tasks_without_a_column_agree_with_the_others(tmp_path):
+    rng = np.random.default_rng(8)
+    for sizes, tasks in (([3], 4), ([2, 200, 2, 2], 3), ([5, 5, 5, 5, 5], 2), ([2, 2, 90], 8), ([90, 2, 2], 8)):
+        shares = bo.column_shares(np.array(sizes), tasks)
+        used = sorted(set(shares))
+        assert len(shares) == tasks and sorted({c for a, b in used for c in range(a, b)}) == list(range(len(sizes)))
+        bins = bo.Bins(tuple(map(str, sizes)), tuple(np.arange(s - 2.0) for s in sizes))
+        splits, columns = bo.Splits(bins, mo.TreeSettings(min_child=1)), np.arange(len(sizes))
+        rows = [[rng.integers(0, s, 400) for s in sizes] for _ in range(2)]
+        # gains that are equal in several columns: the first one is taken
+        g, h = np.rint(rng.normal(size=400) * bo.UNIT), np.full(400, bo.UNIT / 4)
+        sums = np.stack([np.concatenate([np.stack([np.bincount(c, w, s) for w in (g, h)], axis=1) for c, s in zip(r, sizes)]) for r in rows]).astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        apart = splits.chosen([splits.candidates(sums[:, starts[a]:starts[b]], columns[a:b]) for a, b in shares])
+        for one, other in zip(splits.best(sums, columns), apart):
+            assert one[:4] == other[:4] and (one[4] == other[4]).all() and (one[5] == other[5]).all()
+
+
+def test_where_trees_are_grown_together(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert bo.grows_together(spark, cores, 1000) and not bo.grows_together(spark, cores + 1, 1000)
+    assert not bo.grows_together(spark, 2, 2 * bo.KEPT_BYTES + 1)
+    assert bo._plain_folder("/a/b") == bo._plain_folder("file:/a/b") == bo._plain_folder("file:///a/b") == "/a/b" and bo._plain_folder("hdfs://x/a") is None
+
+
 def test_blocks_are_taken_up_where_a_worker_left_them():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 3))
