@@ -17,6 +17,8 @@ from lendgrid.session import spread
 
 #: Leaves that are sent to the tasks together, and leaves x rows that a task handles at a time.
 LEAVES, CELLS = 1 << 16, 1 << 17
+#: Most features on a way whose payoffs are tabulated, leaves and rows that are looked up together, and rows from which a table pays.
+TABLED, TABLE_LEAVES, TABLE_ROWS, LEAST_ROWS = 6, 256, 256, 128
 
 
 @dataclass(frozen=True)
@@ -77,41 +79,98 @@ def tree_paths(trees: tuple[Tree, ...] | list[Tree], most: int = LEAVES) -> list
 def path_attributions(x: np.ndarray, paths: Paths, out: np.ndarray) -> None:
     """Add the Shapley values of the leaves to ``out`` (rows x features).
 
-    A leaf pays its value times the product of a factor for each feature on its path: 1 or 0 for a known feature, whose value leads on or not,
-    and the share for an unknown one. The Shapley value of feature j is the payoff with it less that without it, averaged over all orders;
-    that average is the integral over t of the product of the others' factors ``share * (1 - t) + known * t``, a polynomial of
-    degree depth - 1, which Gauss-Legendre quadrature with half as many points gives exactly. So a leaf takes a number of
-    operations that is quadratic in its depth.
+    What a leaf pays depends on a row only by which of its features lead on: with few features on the way there are few such sets, so their
+    payoffs are made once and looked up for each row; long ways, and few rows, are worked out row by row. A table has ``2 ** depth`` entries a leaf.
     """
+    if paths.feature.shape[1] <= TABLED and len(x) >= LEAST_ROWS:
+        _look_up(x, paths, out)
+        return
     leaves, depth = paths.feature.shape
-    points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
-    points, weights = (points + 1) / 2, weights / 2
     # columns of cells by feature: what each feature gets is one run
     for first in range(0, leaves, 4096):
         part = slice(first, first + 4096)
-        feature, share = paths.feature[part].T.copy(), np.maximum(paths.share[part].T, 1e-200)
+        feature, share = paths.feature[part].T.copy(), paths.share[part].T
         low, high, lost, value = paths.low[part].T, paths.high[part].T, paths.lost[part].T, paths.value[part]
         order = np.argsort(feature.ravel(), kind="stable")
         owners, heads = np.unique(feature.ravel()[order], return_index=True)
         step = max(1, CELLS // feature.shape[1])
         for at in range(0, len(x), step):
             rows = x[at:at + step]
-            known, factors = [], []
+            known = []
             for j in range(depth):
                 seen = rows[:, feature[j]]
-                known.append(np.where(np.isnan(seen), lost[j], (seen > low[j]) & (seen <= high[j])))
-            effect = [np.zeros(known[0].shape) for _ in range(depth)]
-            for t, w in zip(points, weights):
-                factors = [share[j] * (1 - t) + known[j] * t for j in range(depth)]
-                product = w * value
-                for f in factors:
-                    product = product * f
-                for j in range(depth):
-                    effect[j] += product / factors[j]
-            cells = np.concatenate([(known[j] - share[j]) * effect[j] for j in range(depth)], axis=1)
+                known.append(np.where(np.isnan(seen), lost[j], ((seen > low[j]) | np.isneginf(low[j])) & (seen <= high[j])))
+            cells = np.concatenate(_payoffs(known, share, value), axis=1)
             out[at:at + step, owners] += np.add.reduceat(cells[:, order], heads, axis=1)
 
 
+def _payoffs(known: list[np.ndarray], share: np.ndarray, value: np.ndarray) -> list[np.ndarray]:
+    """What each feature of each leaf's way gets, by which of them are ``known`` to lead on (rows x leaves a feature).
+
+    A leaf pays its value times the product of a factor for each feature on its path: 1 or 0 for a known feature, whose value leads on or not,
+    and the share for an unknown one. The Shapley value of feature j is the payoff with it less that without it, averaged over all orders;
+    that average is the integral over t of the product of the others' factors ``share * (1 - t) + known * t``, a polynomial of
+    degree depth - 1, which Gauss-Legendre quadrature with half as many points gives exactly. So a leaf takes a number of
+    operations that is quadratic in its depth.
+    """
+    depth, share = len(known), np.maximum(share, 1e-200)
+    points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+    points, weights = (points + 1) / 2, weights / 2
+    effect = [np.zeros(known[0].shape) for _ in range(depth)]
+    for t, w in zip(points, weights):
+        factors = [share[j] * (1 - t) + known[j] * t for j in range(depth)]
+        product = w * value
+        for f in factors:
+            product = product * f
+        for j in range(depth):
+            effect[j] += product / factors[j]
+    return [(known[j] - share[j]) * effect[j] for j in range(depth)]
+
+
+def _look_up(x: np.ndarray, paths: Paths, out: np.ndarray) -> None:
+    """``path_attributions`` by tables: leaves by rows, so that a feature's values are copied and compared as runs."""
+    depth, gone = paths.feature.shape[1], np.isnan(x).T
+    sets = np.arange(1 << depth)
+    for first in range(0, len(paths.value), TABLE_LEAVES):
+        part = slice(first, first + TABLE_LEAVES)
+        feature, share, lost, value = paths.feature[part].T.copy(), paths.share[part].T, paths.lost[part].T, paths.value[part]
+        # each feature's values as their place among its bounds: a value is in an interval if its place is
+        used = np.unique(feature)
+        places, low, high = np.empty((len(used), len(x)), np.int32), np.empty(feature.shape, np.int32), np.empty(feature.shape, np.int32)
+        own = np.searchsorted(used, feature)
+        for i, f in enumerate(used):
+            mine = own == i
+            below, above = paths.low[part].T[mine], paths.high[part].T[mine]
+            bounds = np.unique(np.concatenate([below, above]))
+            bounds = bounds[np.isfinite(bounds)]
+            places[i] = np.where(gone[f], -2, np.searchsorted(bounds, x[:, f], "left"))
+            low[mine] = np.where(np.isneginf(below), -1, np.searchsorted(bounds, below))
+            high[mine] = np.searchsorted(bounds, above)
+        known = [np.repeat(((sets >> j) & 1)[:, None], len(value), axis=1).astype(bool) for j in range(depth)]
+        table = np.stack(_payoffs(known, share, value)).transpose(0, 2, 1)  # feature on the way x leaf x set
+        # a feature whose share is whole and that always leads on gets nothing: so do the places that pad a way
+        real = (np.abs(share - 1) > 0) | ~np.isneginf(paths.low[part].T) | ~np.isposinf(paths.high[part].T) | ~lost
+        cells = np.flatnonzero(real.ravel())
+        if not len(cells):
+            continue
+        cells = cells[np.argsort(feature.ravel()[cells], kind="stable")]
+        owners, heads = np.unique(feature.ravel()[cells], return_index=True)
+        leaf, entries = cells % len(value), np.ascontiguousarray(table.reshape(-1, len(sets))[cells]).ravel()
+        begin = (np.arange(len(cells)) * len(sets))[:, None]
+        missing = gone[used].any()
+        for at in range(0, len(x), TABLE_ROWS):
+            rows = slice(at, at + TABLE_ROWS)
+            place, absent = np.ascontiguousarray(places[:, rows]), np.ascontiguousarray(gone[used, rows])
+            found = np.zeros((len(value), place.shape[1]), np.uint8)
+            for j in range(depth):
+                seen = place[own[j]]
+                leads = (seen > low[j][:, None]) & (seen <= high[j][:, None])
+                if missing:
+                    leads |= absent[own[j]] & lost[j][:, None]
+                found |= leads.view(np.uint8) << np.uint8(j)
+            out[rows, owners] += np.add.reduceat(entries.take(found[leaf] + begin, mode="clip"), heads, axis=0).T
+
+
 def tree_attributions(scorer: TreeScorer, df: DataFrame, id_col: str, leaves: int = LEAVES) -> tuple[DataFrame, float]:
     """``(id, contributions, margin)`` per row and the base value of the ensemble.
 

@@ -253,6 +253,31 @@ def test_model_does_not_depend_on_blocks(cases):
         assert all((getattr(a, f) == getattr(b, f)).all() for f in bo.Tree.__dataclass_fields__)
 
 
+def test_payoffs_are_looked_up_once_a_set(monkeypatch):
+    """Many rows take the tables: the same values as row by row, and as few payoffs as there are sets, not one a row."""
+    rng = np.random.default_rng(12)
+    x = np.where(rng.random((700, 4)) < 0.2, np.nan, np.round(rng.normal(size=(700, 4)), 1))
+    x[5], x[6], x[7, 0], x[8, 0] = np.nan, 0.0, np.inf, -np.inf
+    bins = bo.Bins(tuple("abcd"), tuple(np.unique(x[np.isfinite(x[:, j]), j])[::3] for j in range(4)))
+    settings = mo.TreeSettings(trees=25, depth=5, step=0.4, min_child=1, row_sample=1.0, column_sample=1.0)
+    block = bo.Block(bins, bins.encode(x), (rng.random(700) < np.where(np.isnan(x[:, 3]), 0.8, 0.3)).astype(float), np.zeros(700, bool), np.arange(700).astype(np.uint64), np.zeros(700), settings)
+    trees = bo._grow_in_task(block, bo.Splits(bins, settings), 50)
+    assert any(np.isinf(t.threshold[t.left >= 0]).any() for t in trees) and sum((t.left < 0).sum() for t in trees) > at.TABLE_LEAVES
+    pieces, worked, payoffs = at.tree_paths(trees), [], at._payoffs
+    monkeypatch.setattr(at, "_payoffs", lambda known, *rest: worked.append(len(known[0])) or payoffs(known, *rest))
+    looked_up, by_row = np.zeros(x.shape), np.zeros(x.shape)
+    for piece in pieces:
+        at.path_attributions(x, piece, looked_up)
+    assert max(worked) <= 1 << 5
+    monkeypatch.setattr(at, "TABLED", 0)
+    for piece in pieces:
+        at.path_attributions(x, piece, by_row)
+    assert max(worked) > 1 << 5
+    assert np.abs(looked_up - by_row).max() < 1e-9 and np.abs(by_row).max() > 0.01
+    margin = bo.margins_of(x, bo.Booster(tuple("abcd"), tuple(trees), 0.0).stacked(), 0.0)  # of the infinite values too
+    assert np.abs(looked_up.sum(axis=1) + sum(p.expected for p in pieces) - margin).max() < 1e-9
+
+
 @pytest.mark.parametrize("held", [None, "held"])
 def test_trees_grown_together_are_those_of_levels(cases, held, monkeypatch):
     train, spark = cases.where("IS_TRAIN = 1").withColumn("held", F.col("SK_ID_CURR") % 5 == 0), cases.sparkSession
