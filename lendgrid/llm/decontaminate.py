@@ -105,22 +105,25 @@ def _passage_slots(batches):
 
 
 def _gram(flat: np.ndarray, starts: np.ndarray, idf: np.ndarray, basis: np.ndarray, out: np.ndarray) -> None:
-    """Add to ``out`` the sum over unit TF-IDF rows a of a (a . basis); ``flat`` are the slots of all rows, and ``starts`` where each begins."""
+    """Add to ``out`` the sum over unit TF-IDF rows a of a (a . basis); ``flat`` are the slots of all rows, and ``starts`` where each begins.
+
+    The rows of one call are summed in single precision, calls in that of ``out``.
+    """
     bounds = np.append(starts, len(flat)).astype(np.int64)
-    place = np.zeros(SLOTS, np.int64)
+    weight, sizes = idf[flat], np.diff(bounds)
+    row, place, there, sums = np.repeat(np.arange(len(sizes)), sizes), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, bool), np.zeros(out.shape, np.float32)
+    weight = weight / np.sqrt(np.add.reduceat(weight * weight, bounds[:-1]))[row]
     for at in range(0, len(starts), PASSAGES_AT_ONCE):
-        some = bounds[at:at + PASSAGES_AT_ONCE + 1]
-        slots, sizes = flat[some[0]:some[-1]], np.diff(some)
+        n = min(PASSAGES_AT_ONCE, len(starts) - at)
+        some = slice(bounds[at], bounds[at + n])
         # a small dense matrix over the slots that these passages have, so that both products are quick
-        there = np.zeros(SLOTS, bool)
-        there[slots] = True
+        there[flat[some]] = True
         used = np.flatnonzero(there)
+        there[used] = False
         place[used] = np.arange(len(used))
-        weight = idf[slots]
-        norm = np.sqrt(np.add.reduceat(weight * weight, some[:-1] - some[0]))
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        dense = np.bincount(row * len(used) + place[slots], weight / norm[row], len(sizes) * len(used)).astype(np.float32).reshape(len(sizes), -1)
-        out[used] += dense.T @ (dense @ basis[used])
+        dense = np.bincount((row[some] - at) * len(used) + place[flat[some]], weight[some], n * len(used)).astype(np.float32).reshape(n, -1)
+        sums[used] += dense.T @ (dense @ basis.take(used, axis=0))
+    out += sums
 
 
 def _corpus_product(found: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:

@@ -506,3 +506,25 @@ def test_word_numbers():
     assert flat.tolist() == number_words(words) and 0 not in flat
     assert len(set(flat.tolist())) == len(set(words))
     assert number_texts(pa.array([], pa.string()))[0].size == 0
+
+
+def test_corpus_product_by_brute_force():
+    """Sums of unit rows by their products; the large matrix is written to once a call, not once a group of passages."""
+    de = decontaminate
+
+    class Counted(np.ndarray):
+        writes = 0
+
+        def __setitem__(self, key, value):
+            Counted.writes += 1
+            super().__setitem__(key, value)
+
+    rng = np.random.default_rng(3)
+    flat, starts = rng.integers(0, 400, 3000).astype(np.uint16), np.arange(0, 3000, 30).astype(np.int32)
+    idf, basis = rng.random(de.SLOTS).astype(np.float32) + 1, rng.standard_normal((de.SLOTS, 5)).astype(np.float32)
+    rows = np.zeros((100, de.SLOTS))
+    np.add.at(rows, (np.arange(3000) // 30, flat), idf[flat])
+    rows /= np.sqrt((idf[flat].reshape(100, 30).astype(float) ** 2).sum(axis=1))[:, None]
+    out = np.ones((de.SLOTS, 5)).view(Counted)
+    de._gram(flat, starts, idf, basis, out)
+    assert np.abs(np.asarray(out) - 1 - rows.T @ (rows @ basis)).max() < 1e-4 and Counted.writes <= 1
