@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import pickle
+import re
 import shutil
 import time
 from collections import OrderedDict
@@ -561,11 +562,22 @@ def _plain_folder(path: str) -> str | None:
     return "/" + plain.lstrip("/") if plain.startswith("/") else None
 
 
+def task_slots(settings: dict[str, str], parallelism: int, executors: int) -> int:
+    """Tasks that surely run at the same time: the default parallelism is the number of cores, unless it is set to something else."""
+    if "spark.default.parallelism" in settings:
+        local = re.fullmatch(r"local(?:\[(\d+)(?:,\d+)?\])?", settings.get("spark.master", ""))
+        cores = int(local[1] or 1) if local else executors * int(settings.get("spark.executor.cores", "1"))
+        parallelism = min(parallelism, cores)
+    return parallelism // int(settings.get("spark.task.cpus", "1"))
+
+
 def grows_together(spark: SparkSession, parts: int, size: int) -> bool:
     """Whether the parts, of ``size`` bytes in all, can be held by tasks that all run at the same time and see the shared folder."""
-    conf = spark.sparkContext.getConf()
-    slots = spark.sparkContext.defaultParallelism // int(conf.get("spark.task.cpus", "1"))
-    adapts = conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true"
+    context = spark.sparkContext
+    settings = dict(context.getConf().getAll())
+    # the driver is one of those that hold blocks
+    slots = task_slots(settings, context.defaultParallelism, max(1, context._jsc.sc().getExecutorMemoryStatus().size() - 1))
+    adapts = settings.get("spark.dynamicAllocation.enabled", "false").lower() == "true"
     return not adapts and parts <= min(MOST_ADDED, slots) and size <= parts * KEPT_BYTES and _plain_folder(shared_folder(spark)) is not None
 
 

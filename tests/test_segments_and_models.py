@@ -326,6 +326,10 @@ def test_where_trees_are_grown_together(spark):
     cores = spark.sparkContext.defaultParallelism
     assert bo.grows_together(spark, cores, 1000) and not bo.grows_together(spark, cores + 1, 1000)
     assert not bo.grows_together(spark, 2, 2 * bo.KEPT_BYTES + 1)
+    # a parallelism that is set says nothing of the cores: a barrier stage with more tasks than these would not start
+    more = {"spark.default.parallelism": "96", "spark.executor.cores": "4"}
+    assert bo.task_slots({}, 12, 3) == 12 and bo.task_slots({"spark.task.cpus": "2"}, 12, 3) == 6
+    assert bo.task_slots(more | {"spark.master": "spark://a:1"}, 96, 3) == 12 and bo.task_slots(more | {"spark.master": "local[8]"}, 96, 1) == 8
     assert bo._plain_folder("/a/b") == bo._plain_folder("file:/a/b") == bo._plain_folder("file:///a/b") == "/a/b" and bo._plain_folder("hdfs://x/a") is None
 
 
