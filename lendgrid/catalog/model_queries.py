@@ -645,7 +645,8 @@ def _shifts(spark, d):
     numeric = [c for c in inputs if types[c] != "boolean"]
     medians = {c: q[0] for c, q in exact_quantiles(train, {c: [0.5] for c in numeric}).items() if q[0] is not None}
     scored = scorer.score(train.withColumn("n_missing", wi.missing_count(inputs)))
-    native = scored.select(F.col("SK_ID_CURR").alias("id"), "p", "n_missing", F.col("TARGET").alias("y"))
+    # the threshold reads the scores several times, so they are written once
+    native = cut_lineage(scored.select(F.col("SK_ID_CURR").alias("id"), "p", "n_missing", F.col("TARGET").alias("y")))
     imputed = scorer.score(wi.impute(train, medians)).select(F.col("SK_ID_CURR").alias("id"), "p")
     return wi.imputation_shift(native, imputed, sc.rate_matched_threshold(native))
 

@@ -757,26 +757,29 @@ class Booster:
         return spark.createDataFrame(pa.Table.from_batches(batches)) if batches else spark.createDataFrame([], NODES)
 
 
-def margins_of(x: np.ndarray, stacked: dict[str, np.ndarray], base: float, tile: int = 256) -> np.ndarray:
+def margins_of(x: np.ndarray, stacked: dict[str, np.ndarray], base: float, tile: int = 64) -> np.ndarray:
     """The margin of each row of values."""
     out = np.full(len(x), base)
     count, width = stacked["feature"].shape
     if not count:
         return out
-    flat = {k: v.ravel() for k, v in stacked.items()}
+    columns = x.shape[1]
     origin = (np.arange(count) * width).astype(np.int64)
+    # a row's values stand there twice: a missing one compares as false, so it goes right, and is below every threshold in the second copy
+    feature = (stacked["feature"] + columns * stacked["missing_left"]).ravel().astype(np.int64)
+    threshold, value = stacked["threshold"].ravel(), stacked["value"].ravel()
+    to = np.stack([stacked["right"] + origin[:, None], stacked["left"] + origin[:, None]], axis=2).ravel().astype(np.int64)
     for start in range(0, len(x), tile):
         rows = x[start:start + tile]
-        gone = np.isnan(rows)
-        node = np.broadcast_to(origin, (len(rows), count))
+        both = np.concatenate([rows, np.where(np.isnan(rows), -np.inf, rows)], axis=1).ravel()
+        at = (np.arange(len(rows)) * 2 * columns)[:, None]
+        node = np.tile(origin, (len(rows), 1))
         while True:
-            feature = flat["feature"][node]
-            goes_left = np.where(np.take_along_axis(gone, feature, 1), flat["missing_left"][node], np.take_along_axis(rows, feature, 1) <= flat["threshold"][node])
-            new = np.where(goes_left, flat["left"][node], flat["right"][node]) + origin
+            new = to.take(2 * node + (both.take(at + feature.take(node)) <= threshold.take(node)))
             if (new == node).all():
                 break
             node = new
-        out[start:start + tile] += flat["value"][node].sum(axis=1)
+        out[start:start + tile] += value.take(node).sum(axis=1)
     return out
 
 

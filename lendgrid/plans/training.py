@@ -41,7 +41,8 @@ def train_full_model(features: DataFrame, columns: list[str] | None = None, sett
     """
     columns = columns or feature_columns(features)
     train = features.where("IS_TRAIN = 1")
-    split = stratified_holdout(train, "SK_ID_CURR", "TARGET")
+    # ranks shuffle whole rows, so the split is written once; the fit and its metrics scan it several times
+    split = cut_lineage(stratified_holdout(train, "SK_ID_CURR", "TARGET"))
     with ThreadPoolExecutor(1) as pool:
         later = pool.submit(final or (lambda: fit_trees(train, columns, settings=settings)))
         first = fit_trees(split.where("NOT is_holdout"), columns, settings=settings)
