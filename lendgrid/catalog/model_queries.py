@@ -301,6 +301,13 @@ def _train(spark, d):
     return _training_table(spark, d).where("IS_TRAIN = 1")
 
 
+def _split(spark, d):
+    """The labelled rows with their holdout flag, written once: ranks shuffle whole rows, and a fit scans its input many times."""
+    path = _scratch(spark, "split")
+    tables.write_table(sp.stratified_holdout(_train(spark, d), "SK_ID_CURR", "TARGET"), path)
+    return tables.scan_parquet(spark, path)
+
+
 def _trees(spark, d):
     """Boosted trees with the full settings on all columns and labelled rows, fitted once a session."""
     key = (spark.sparkContext.applicationId, d)
@@ -316,9 +323,8 @@ def _bundle(spark, d):
 
 @register("m4_baseline")
 def m4_baseline(spark, d):
-    train = _train(spark, d)
-    split = sp.stratified_holdout(train, "SK_ID_CURR", "TARGET")
-    scorer = mo.fit_baseline(split.where("NOT is_holdout"), mo.feature_columns(train))
+    split = _split(spark, d)
+    scorer = mo.fit_baseline(split.where("NOT is_holdout"), mo.feature_columns(_train(spark, d)))
     return sc.ranking_metrics(scorer.score(split.where("is_holdout")), y="TARGET")
 
 

@@ -47,7 +47,7 @@ def test_scores_are_written_before_the_threshold_reads_them(spark, monkeypatch):
     assert "PythonUDF" not in plan(seen[0][0][0]) and "EvalPython" not in plan(seen[0][0][0])
 
 
-@pytest.mark.parametrize("name, where, what", [("m17_train_full_model", training, "fit_trees")])
+@pytest.mark.parametrize("name, where, what", [("m4_baseline", model_queries.mo, "fit_baseline"), ("m17_train_full_model", training, "fit_trees")])
 def test_a_split_is_written_before_it_is_fitted(spark, monkeypatch, name, where, what):
     seen = []
     monkeypatch.setattr(model_queries, "_trees", lambda spark, d: SimpleNamespace())
