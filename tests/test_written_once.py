@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from lendgrid.catalog import QUERIES, model_queries
-from lendgrid.operators import boosting as bo
+from lendgrid.operators import boosting as bo, kmeans as km
 from lendgrid.plans import training
 
 FOLDER = "/root/testdata/sf0.001"
@@ -55,3 +55,24 @@ def test_a_split_is_written_before_it_is_fitted(spark, monkeypatch, name, where,
     with pytest.raises(Seen):
         QUERIES[name](spark, FOLDER)
     assert "Window" not in plan(seen[0][0][0])
+
+
+def test_distances_are_summed_once(spark, monkeypatch):
+    asked, moved = [], km._moved
+    monkeypatch.setattr(km, "_moved", lambda rows, centres, inertia=False: asked.append(inertia) or moved(rows, centres, inertia))
+    rows = spark.createDataFrame([([float(i % 7), float(i % 3)],) for i in range(40)], "x array<double>")
+    fits, scans = km.fit_many(rows, [(2, 1), (3, 1), (3, 2)])
+    assert asked == [False] * scans + [True] and [len(f.points) for f in fits] == [2, 3, 3]
+
+
+def test_rows_of_a_tile_go_to_the_nearest_centre_of_each_run():
+    rng = np.random.default_rng(3)
+    x, sizes = rng.integers(-2, 3, (50, 2)).astype(float), [2, 2, 5]
+    stacked = rng.integers(-2, 3, (sum(sizes), 2)).astype(float)  # some are equal: the first one takes the row
+    sums, taken = km.tile_sums(x, stacked, (stacked ** 2).sum(axis=1), [(0, 2, 2), (4, 1, 5)])
+    first = 0
+    for k, own in zip(sizes, [own for of in taken for own in of]):
+        want = ((x[:, None] - stacked[None, first:first + k]) ** 2).sum(axis=2).argmin(axis=1)
+        assert own.tolist() == want.tolist()
+        assert sums[first:first + k].tolist() == [[*x[want == j].sum(axis=0), (want == j).sum()] for j in range(k)]
+        first += k
