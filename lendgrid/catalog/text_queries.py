@@ -200,7 +200,7 @@ def r7_own_neighbours(spark, d):
 
 def letter_counts(texts: list[str]) -> list[list[float]]:
     """Stand-in for an embedding model: how often each letter occurs."""
-    return [[float(t.lower().count(c)) for c in LETTERS] for t in texts]
+    return [[float(t.count(c)) for c in LETTERS] for t in map(str.lower, texts)]
 
 
 def _retrieval_inputs(spark, d, questions=None):
@@ -280,10 +280,8 @@ def r11_retrieve(spark, d):
 )
 def r11_retrieve_reordered(spark, d):
     """Retrieval with the reply of a ranking model: every second candidate, the last ids first."""
-    inputs = _retrieval_inputs(spark, d)
-    fused = hybrid_candidates(*inputs)
-    given = fused.where(F.col("rank") % 2 == 0).select("query_id", "item_id", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("item_id"))).alias("given_rank"))
-    return retrieve(*inputs, given=given)
+    last_first = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("item_id"))).alias("given_rank")
+    return retrieve(*_retrieval_inputs(spark, d), given=lambda fused: fused.where(F.col("rank") % 2 == 0).select("query_id", "item_id", last_first))
 
 
 @register(

@@ -31,20 +31,35 @@ def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
     return ranked.groupby("query_id", dropna=False).head(k)
 
 
-def _block_top(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
-    """Best ``k`` rows of one block per query. Scores are computed tile by tile, whatever the block and the queries."""
+def _block_top(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray | None = None) -> pd.DataFrame:
+    """Best ``k`` rows of one block per query, of those that reach the query's ``floor``. Scores are computed tile by tile, whatever the block and the queries.
+
+    Of a tile only rows that reach the query's k-th best score there are sorted, equal ones by id.
+    """
     parts = []
     for at in range(0, len(query_ids), TILE_QUERIES):
-        asked = _unit(q[at:at + TILE_QUERIES]).T
+        asked = _unit(q[at:at + TILE_QUERIES])
+        least = np.full(len(asked), -np.inf) if floor is None else floor[at:at + TILE_QUERIES].copy()
         for row in range(0, len(x), TILE_ROWS):
-            own = ids[row:row + TILE_ROWS]
-            scores = np.round(_unit(x[row:row + TILE_ROWS]) @ asked, 9)
-            for j in range(asked.shape[1]):
-                order = np.lexsort((own, -scores[:, j]))[:k]
-                parts.append(pd.DataFrame({"query_id": query_ids[at + j], "item_id": own[order], "score": scores[order, j]}))
+            scores = np.round(asked @ _unit(x[row:row + TILE_ROWS]).T, 9)
+            if scores.shape[1] > k:
+                least = np.maximum(least, np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k])
+            query, item = np.nonzero(scores >= least[:, None])
+            own, score = ids[row + item], scores[query, item]
+            order = np.lexsort((own, -score, query))
+            query, own, score = query[order], own[order], score[order]
+            best = np.arange(len(query)) - np.searchsorted(query, query) < k
+            parts.append(pd.DataFrame({"query_id": query_ids[at + query[best]], "item_id": own[best], "score": score[best]}))
     return _best(pd.concat(parts), k) if parts else pd.DataFrame({"query_id": [], "item_id": [], "score": []})
 
 
+def _floor(best: pd.DataFrame, query_ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score that each query has so far, of ``k`` or more rows."""
+    scores = best.groupby("query_id", dropna=False)["score"].agg(["size", "min"])
+    full = scores.loc[scores["size"] >= k, "min"]
+    return full.reindex(query_ids).fillna(-np.inf).to_numpy(dtype=np.float64)
+
+
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, broadcast_numbers: int = QUERY_BLOCK_NUMBERS) -> DataFrame:
     """``(query_id, item_id, rank, score)``: the ``k`` nearest items of every query, exactly.
 
@@ -70,12 +85,14 @@ def _beside(vectors: DataFrame, queries: DataFrame, k: int, schema: str) -> Data
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         query_ids, q = shared.value
-        best = None
+        best, floor = None, None
         for batch in batches:
             if len(batch) and len(query_ids):
                 x = np.stack(batch["vector"].to_numpy()).astype(np.float64)
-                top = _block_top(batch["item_id"].to_numpy(), x, query_ids, q, k)
+                top = _block_top(batch["item_id"].to_numpy(), x, query_ids, q, k, floor)
                 best = top if best is None else _best(pd.concat([best, top]), k)
+                # ids that come twice share their rows, so they have no floor
+                floor = _floor(best, query_ids, k) if pd.Index(query_ids).is_unique else None
         if best is not None:
             yield best
 

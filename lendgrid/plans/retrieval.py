@@ -12,6 +12,7 @@ from lendgrid.operators.fusion import reciprocal_rank_fusion, reorder
 from lendgrid.operators.keyword import Index, search
 from lendgrid.operators.lookup import lookup
 from lendgrid.operators.vectors import cosine_top_k
+from lendgrid.session import cut_lineage
 
 
 def hybrid_candidates(queries: DataFrame, query_vectors: DataFrame, chunk_vectors: DataFrame, index: Index,
@@ -33,9 +34,12 @@ def attach_chunks(ranked: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def retrieve(queries: DataFrame, query_vectors: DataFrame, chunk_vectors: DataFrame, index: Index,
-             given: DataFrame | None = None, candidates: int = CANDIDATES, top_k: int = TOP_K) -> DataFrame:
-    """Top chunks per question. ``given`` is a supplied ranking of the fused candidates."""
+             given: DataFrame | Callable[[DataFrame], DataFrame] | None = None, candidates: int = CANDIDATES, top_k: int = TOP_K) -> DataFrame:
+    """Top chunks per question. ``given`` is a supplied ranking of the fused candidates, or makes it from them; they are written once then."""
     fused = hybrid_candidates(queries, query_vectors, chunk_vectors, index, candidates)
+    if callable(given):
+        fused = cut_lineage(fused)
+        given = given(fused)
     if given is None:
         top = fused.where(F.col("rank") <= top_k).select("query_id", "item_id", "rank")
     else:

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 
 from lendgrid.catalog import QUERIES, model_queries
-from lendgrid.operators import boosting as bo, kmeans as km
-from lendgrid.plans import training
+from lendgrid.operators import boosting as bo, kmeans as km, vectors as ve
+from lendgrid.plans import retrieval, training
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -76,3 +76,24 @@ def test_rows_of_a_tile_go_to_the_nearest_centre_of_each_run():
         assert own.tolist() == want.tolist()
         assert sums[first:first + k].tolist() == [[*x[want == j].sum(axis=0), (want == j).sum()] for j in range(k)]
         first += k
+
+
+def test_candidates_are_made_once_for_a_ranking_of_them(spark, monkeypatch):
+    made = []
+    fused = spark.range(6).selectExpr("id % 2 as query_id", "concat('d::', id) as item_id", "cast(id / 2 as int) + 1 as rank", "1.0d as score")
+    monkeypatch.setattr(retrieval, "hybrid_candidates", lambda *given: made.append(1) or fused)
+    chunks = spark.range(6).selectExpr("concat('d::', id) as chunk_id", "'d' as doc_id", "'t' as title", "'x' as text")
+    given = lambda found: found.where("rank = 3").selectExpr("query_id", "item_id", "1 as given_rank")
+    rows = retrieval.retrieve(None, None, None, SimpleNamespace(chunks=chunks), given=given, top_k=1).collect()
+    assert made == [1] and {(r.query_id, r.chunk_id) for r in rows} == {(0, "d::4"), (1, "d::5")}
+
+
+def test_rows_below_the_floor_are_left_out():
+    rng = np.random.default_rng(5)
+    x, q = rng.integers(-2, 3, (60, 3)).astype(float), rng.integers(-2, 3, (4, 3)).astype(float)
+    ids = np.array([f"i{i:02d}" for i in range(60)], object)
+    whole = ve._block_top(ids, x, np.arange(4), q, 3)
+    first = ve._block_top(ids[:30], x[:30], np.arange(4), q, 3)
+    rest = ve._block_top(ids[30:], x[30:], np.arange(4), q, 3, ve._floor(first, np.arange(4), 3))
+    assert (rest.groupby("query_id")["score"].min() >= first.groupby("query_id")["score"].min().loc[rest["query_id"].unique()]).all()
+    assert ve._best(ve.pd.concat([first, rest]), 3).values.tolist() == whole.values.tolist()
