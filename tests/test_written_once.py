@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import numpy as np
 import pytest
 
-from lendgrid.catalog import QUERIES, model_queries
+from lendgrid.catalog import QUERIES, feature_queries, model_queries
 from lendgrid.operators import boosting as bo, kmeans as km, vectors as ve
 from lendgrid.plans import retrieval, training
 
@@ -97,3 +97,11 @@ def test_rows_below_the_floor_are_left_out():
     rest = ve._block_top(ids[30:], x[30:], np.arange(4), q, 3, ve._floor(first, np.arange(4), 3))
     assert (rest.groupby("query_id")["score"].min() >= first.groupby("query_id")["score"].min().loc[rest["query_id"].unique()]).all()
     assert ve._best(ve.pd.concat([first, rest]), 3).values.tolist() == whole.values.tolist()
+
+
+def test_batches_of_histories_are_not_joined_anew(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(feature_queries.HistoryStore, "put", stop_with(seen))
+    with pytest.raises(Seen):
+        QUERIES["fe11_history_store"](spark, FOLDER)
+    assert not any("Join" in plan(rows) for rows in seen[0][0][2].values())
