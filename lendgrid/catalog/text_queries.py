@@ -20,7 +20,7 @@ from lendgrid.plans.retrieval import hybrid_candidates, policy_citations, retrie
 from lendgrid.session import cut_lineage, spread
 from lendgrid.sources import proxy, tables
 from lendgrid.sources.keyed_store import KeyedStore
-from lendgrid.sources.corpus import scan_corpus, split_title
+from lendgrid.sources.corpus import scan_corpus, split_title, write_corpus
 from lendgrid.sources.score_log import append_log, log_entries, read_log, summarize_log
 from lendgrid.streaming import score_log as stream
 from lendgrid.streaming.log_store import LogStore, known_only, start_log_store
@@ -55,9 +55,8 @@ def io7_corpus(spark, d):
     """Every document written as a file of its own, then read back as a corpus."""
     folder = _scratch(spark, "corpus")
     page = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("text"))
-    # making a file takes far longer than moving its text, and tasks move their own files into place
-    pages = spread(proxy.policy_documents(spark, d)).select(page.alias("value"))
-    pages.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
+    # making a file takes far longer than moving its text
+    write_corpus(spread(proxy.policy_documents(spark, d)).select(page.alias("value")), folder)
     return scan_corpus(spark, folder, "*.txt")
 
 

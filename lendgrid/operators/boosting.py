@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendgrid.functions import defaults
 from lendgrid.operators.summaries import Summary, column_summaries, matrix_of, values_of
-from lendgrid.session import cut_lineage, shared_folder
+from lendgrid.session import cut_lineage, plain_folder as _plain_folder, shared_folder
 
 #: Distinct values up to which a column keeps a bin for each; quantiles of the others. One more bin is for missing values.
 MOST_BINS = 254
@@ -556,12 +556,6 @@ def column_shares(sizes: np.ndarray, tasks: int) -> list[tuple[int, int]]:
     return runs + [(0, 1)] * (tasks - len(runs))
 
 
-def _plain_folder(path: str) -> str | None:
-    """The shared folder as Python opens it; none if only Spark can."""
-    plain = path[len("file:"):] if path.startswith("file:") else path
-    return "/" + plain.lstrip("/") if plain.startswith("/") else None
-
-
 def task_slots(settings: dict[str, str], parallelism: int, executors: int) -> int:
     """Tasks that surely run at the same time: the default parallelism is the number of cores, unless it is set to something else."""
     if "spark.default.parallelism" in settings:

@@ -348,3 +348,36 @@ def test_files_of_documents_are_written_by_all_cores(spark, tmp_path, monkeypatc
     assert sorted((r.title, r.text) for r in found if r.text) == sorted((f"Doc {i}", t) for i, t, *_ in rows if t)
     names = [p.name for p in (tmp_path / "corpus").glob("part-*")]
     assert len(names) == 40 and len({n[:10] for n in names}) > 1
+
+
+def test_files_of_a_corpus_are_dealt_out_and_read_as_spark_reads_them(spark, tmp_path, monkeypatch):
+    from lendgrid.sources import corpus
+
+    files = {"b c%20d.md": "# é\r\nñ".encode(), "bad.md": b"# q\xff\n\xfe\x00z", "bom.md": b"\xef\xbb\xbf# bom\nt", "nl.md": b"\n", "q　[1]#?.md": b"a", "_a=b.md": b"p",
+             "empty.md": b"", "_h.md": b"h", ".h.md": b"h", "x.txt": b"t", "n.MD": b"t", "z._COPYING_": b"1"} | {f"{i}.md": b"# n\ntext %d" % i for i in range(300)}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    (tmp_path / "sub.md").mkdir()
+    (tmp_path / "sub.md" / "i.md").write_text("not direct")
+    read = lambda pattern: sorted(map(tuple, scan_corpus(spark, f"file://{tmp_path}", pattern).collect()))
+    # a task per core, however few files Spark would put into one of its own
+    assert scan_corpus(spark, str(tmp_path)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    found = {p: read(p) for p in ("*.md", "*.txt", "n*", "*.none")}
+    monkeypatch.setattr(corpus, "mounted_folder", lambda spark, path: None)  # as if only Spark could open it
+    assert found == {p: read(p) for p in found} and len(found["*.md"]) == 306
+    monkeypatch.undo()
+    (tmp_path / "parts" / "k=1").mkdir(parents=True)
+    (tmp_path / "parts" / "k=1" / "i.md").write_text("in a partition")
+    assert [r.title for r in scan_corpus(spark, str(tmp_path / "parts")).collect()] == ["in a partition"]
+
+
+def test_a_corpus_is_a_file_for_each_text_and_nothing_else(spark, tmp_path):
+    from lendgrid.sources.corpus import write_corpus
+
+    texts = ["# a\nb", None, "", "same", "same", "é\x00"]
+    write_corpus(spark.createDataFrame([(t,) for t in texts], "value string").coalesce(2), f"file:{tmp_path}/corpus")
+    own = [p for p in (tmp_path / "corpus").iterdir() if p.is_file()]  # no checksum files beside them
+    assert sorted(p.read_bytes() for p in own) == sorted((t or "").encode() + b"\n" for t in texts)
+    assert not any(p.is_file() for p in (tmp_path / "corpus" / "_temporary").rglob("*"))
+    with pytest.raises(FileExistsError):
+        write_corpus(spark.createDataFrame([("x",)], "value string"), str(tmp_path / "corpus"))
