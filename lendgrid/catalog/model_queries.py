@@ -614,7 +614,9 @@ def x9_tree_waterfall(spark, d):
 def x11_tree_records(spark, d):
     """Score, decision, attributions and reasons of every labelled applicant by the boosted trees, and what must hold of them."""
     wide, base, names = _tree_wide(spark, d)
-    scored = wide.join(_train(spark, d).select(F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y")), "id").select("id", "y", (1 / (1 + F.exp(-F.col("margin")))).alias("p"))
+    # by their sizes in columns that compress well, labels of a whole population would be broadcast
+    labels = _train(spark, d).select(F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y")).hint("merge")
+    scored = wide.join(labels, "id").select("id", "y", (1 / (1 + F.exp(-F.col("margin")))).alias("p"))
     records = sc.score_records(scored, sc.rate_matched_threshold(scored))
     explained = re_.explain_records(wide, records, names, base)
     total = F.aggregate("shap_values", F.col("base_value"), lambda a, v: a + v)

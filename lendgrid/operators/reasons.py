@@ -38,10 +38,13 @@ def reason_codes(names: list[str], contributions: Column, limit: int = defaults.
 
 def explain_records(wide: DataFrame, records: DataFrame, names: list[str], base: float,
                     limit: int = defaults.REASON_LIMIT) -> DataFrame:
-    """Score record, base value, attributions in feature order and reasons; reasons only for high risk."""
+    """Score record, base value, attributions in feature order and reasons; reasons only for high risk.
+
+    Spark takes an array of any length for one number and would broadcast the attributions of a population far beyond its limit; the join sorts both sides.
+    """
     codes = reason_codes(names, F.col("contributions"), limit)
     none = F.array().cast("array<string>")
-    joined = records.join(wide.select(F.col("id").alias("sk_id_curr"), "contributions"), "sk_id_curr")
+    joined = records.join(wide.select(F.col("id").alias("sk_id_curr"), "contributions").hint("merge"), "sk_id_curr")
     return joined.select(
         "sk_id_curr", "probability", "threshold", "decision", F.lit(float(base)).alias("base_value"),
         F.col("contributions").alias("shap_values"),

@@ -105,3 +105,26 @@ def test_batches_of_histories_are_not_joined_anew(spark, monkeypatch):
     with pytest.raises(Seen):
         QUERIES["fe11_history_store"](spark, FOLDER)
     assert not any("Join" in plan(rows) for rows in seen[0][0][2].values())
+
+
+def test_attributions_of_a_population_are_not_broadcast(spark):
+    from lendgrid.operators.reasons import explain_records
+
+    names = [f"f{i}" for i in range(60)]
+    wide = spark.range(50).selectExpr("id", "array_repeat(0.5D, 60) AS contributions")
+    records = spark.range(50).selectExpr("id AS sk_id_curr", "0.5D AS probability", "0.4D AS threshold", "'alto_riesgo' AS decision")
+    explained = explain_records(wide, records, names, 0.0)
+    # Spark puts an array down as one number, so its limit for broadcasts does not hold them back
+    assert "BroadcastHashJoin" not in explained._jdf.queryExecution().executedPlan().toString()
+    assert explained.count() == 50
+
+
+def test_tree_records_broadcast_no_population(spark, monkeypatch):
+    seen = []
+    wide = spark.range(50).selectExpr("id", "array_repeat(0.5D, 3) AS contributions", "0.1D AS margin")
+    monkeypatch.setattr(model_queries, "_tree_wide", lambda spark, d: (wide, 0.0, ["a", "b", "c"]))
+    monkeypatch.setattr(model_queries, "_train", lambda spark, d: spark.range(50).selectExpr("id AS SK_ID_CURR", "CAST(id % 2 AS INT) AS TARGET"))
+    monkeypatch.setattr(model_queries.sc, "rate_matched_threshold", stop_with(seen))
+    with pytest.raises(Seen):
+        QUERIES["x11_tree_records"](spark, FOLDER)
+    assert "BroadcastHashJoin" not in seen[0][0][0]._jdf.queryExecution().executedPlan().toString()
