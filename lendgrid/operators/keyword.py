@@ -102,7 +102,8 @@ def build_index(chunks: DataFrame, epsilon: float = BM25_EPSILON, folder: str |
             yield close()
 
     split = chunks.select(F.col("doc_id"), F.col("chunk_no").cast("int").alias("chunk_no"), F.coalesce(tokens(F.col("text")), F.array()).alias("_t"))
-    split.mapInArrow(pack, kind).write.mode("overwrite").parquet(f"{folder}/segments")
+    # a row group each: Spark writes a group, and reads up to 4096 rows of one, at a time, which would be all segments of a file
+    split.mapInArrow(pack, kind).write.mode("overwrite").option("parquet.block.row.count.limit", "1").parquet(f"{folder}/segments")
     segments = spark.read.schema(kind).parquet(f"{folder}/segments")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

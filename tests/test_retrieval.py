@@ -381,3 +381,13 @@ def test_a_corpus_is_a_file_for_each_text_and_nothing_else(spark, tmp_path):
     assert not any(p.is_file() for p in (tmp_path / "corpus" / "_temporary").rglob("*"))
     with pytest.raises(FileExistsError):
         write_corpus(spark.createDataFrame([("x",)], "value string"), str(tmp_path / "corpus"))
+
+
+def test_segments_are_read_one_at_a_time(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    chunks = spark.range(200, numPartitions=2).selectExpr("CAST(id AS STRING) AS doc_id", "0 AS chunk_no", "concat('a b c ', id) AS text")
+    kw.build_index(chunks, folder=str(tmp_path), segment_tokens=40)
+    files = [pq.ParquetFile(p).metadata for p in (tmp_path / "segments").glob("*.parquet")]
+    # Spark's reader takes up to 4096 rows of a row group together, so a file's segments must not share one
+    assert sum(f.num_rows for f in files) == 20 and all(f.num_row_groups == f.num_rows > 1 for f in files)
